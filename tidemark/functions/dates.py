@@ -19,7 +19,7 @@ def parse_date(c: Column | str, dtype: T.DataType | None = None, fmt: str = DATE
         return col
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(col)
-    return F.try_to_date(col.cast("string"), F.lit(fmt))
+    return F.try_to_date(col.cast("string"), fmt)
 
 
 def is_weekend(day_of_week: Column | str = "day_of_week") -> Column:

@@ -1 +1,94 @@
-"""sinks."""
+"""Sinks (A8-A10, A13-A16): partitioned Parquet, catalog tables, the event log."""
+
+from __future__ import annotations
+
+import datetime as _dt
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.schemas import PIPELINE_EVENTS
+
+
+def write_partitioned(
+    df: DataFrame, path: str, keys: Sequence[str], mode: str = "overwrite", cluster: bool = True
+) -> None:
+    """Hive-partitioned Parquet.
+
+    ``cluster`` hash-repartitions on the partition keys first, so each output
+    folder is written by few tasks (no small-file explosion: without it every
+    task writes a file into every folder it touches). Overwrite is dynamic per
+    partition when the session sets ``partitionOverwriteMode=dynamic``.
+    """
+    out = df.repartition(*keys) if cluster and keys else df
+    out.write.mode(mode).partitionBy(*keys).parquet(path)
+
+
+def write_plain(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A10: unpartitioned Parquet."""
+    df.write.mode(mode).parquet(path)
+
+
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """CREATE DATABASE IF NOT EXISTS."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
+
+
+def save_table(
+    df: DataFrame,
+    database: str,
+    table: str,
+    keys: Sequence[str] = (),
+    mode: str = "overwrite",
+    path: str | None = None,
+) -> str:
+    """A catalog table (partitioned when ``keys`` are given); returns its name."""
+    name = f"`{database}`.`{table}`"
+    writer = (df.repartition(*keys) if keys else df).write.mode(mode).format("parquet")
+    if keys:
+        writer = writer.partitionBy(*keys)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return name
+
+
+def repair_partitions(spark: SparkSession, database: str, table: str) -> None:
+    """Register partition folders written outside the catalog."""
+    spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}`")
+
+
+def event_rows(
+    spark: SparkSession, run_id: str, event_type: str, detail: DataFrame, event_time: _dt.datetime | None = None
+) -> DataFrame:
+    """One event row per detail row: (run_id, event_type, detail JSON, event_time).
+
+    ``detail`` is a (usually one-row) DataFrame of metrics; it is encoded with
+    ``to_json`` on the executors, never collected.
+    """
+    ts = event_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return detail.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(event_type).alias("event_type"),
+        F.to_json(F.struct(*detail.columns)).alias("detail"),
+        F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("event_time"),
+    )
+
+
+def log_event(
+    spark: SparkSession, path: str, run_id: str, event_type: str, detail: DataFrame
+) -> None:
+    """Append event rows to the ``pipeline_events`` Parquet table at ``path``."""
+    rows = event_rows(spark, run_id, event_type, detail)
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PIPELINE_EVENTS).parquet(path)
+
+
+def new_run_id() -> str:
+    return uuid.uuid4().hex

@@ -70,36 +70,50 @@ def customer_as_sales(customer: DataFrame, null_customer_every: int = 10) -> Dat
     )
 
 
+def customer_contacts(customer: DataFrame, no_at_every: int = 7) -> DataFrame:
+    """customer → (c_custkey, first_name, last_name, email, phone).
+
+    last_name is null for the BUILDING segment; every ``no_at_every``-th key has
+    an email without '@'.
+    """
+    first = F.substring_index("c_name", "#", 1)
+    last = _null_when(F.col("c_mktsegment") == "BUILDING", F.substring_index("c_name", "#", -1))
+    local = F.concat_ws(".", F.lower(first), last)
+    domain = F.concat(F.lower("c_mktsegment"), F.lit(".com"))
+    email = F.when(F.col("c_custkey") % no_at_every == 0, F.concat(local, domain)).otherwise(
+        F.concat(local, F.lit("@"), domain)
+    )
+    phone = F.concat_ws("-", F.col("c_nationkey").cast("string"), F.col("c_custkey").cast("string"))
+    return customer.select(
+        "c_custkey",
+        first.alias("first_name"),
+        last.alias("last_name"),
+        email.alias("email"),
+        phone.alias("phone"),
+    )
+
+
 def raw_customers(
     orders: DataFrame,
     customer: DataFrame,
     null_id_every: int = 101,
     null_age_every: int = 53,
-    no_at_every: int = 7,
 ) -> DataFrame:
     """One raw customer record per order (so ~10 versions per customer to dedup).
 
     registration_date is the order date; the latest record per customer wins.
     """
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-    first = F.substring_index("c_name", "#", 1)
-    last = _null_when(F.col("c_mktsegment") == "BUILDING", F.substring_index("c_name", "#", -1))
-    local = F.concat_ws(".", F.lower(first), last)
-    domain = F.concat(F.lower("c_mktsegment"), F.lit(".com"))
-    email = F.when(F.col("c_custkey") % no_at_every == 0, F.concat(local, domain)).otherwise(
-        F.concat(local, F.lit("@"), domain)
-    )
+    contacts = customer_contacts(customer)
+    joined = orders.join(contacts, orders.o_custkey == contacts.c_custkey, "inner")
     age = _null_when(
         F.col("o_orderkey") % null_age_every == 0, (F.col("o_orderkey") % 80 + 15).cast("int")
     )
     return joined.select(
         _null_when(F.col("o_orderkey") % null_id_every == 0, F.col("o_custkey")).alias("customer_id"),
-        first.alias("first_name"),
-        last.alias("last_name"),
-        email.alias("email"),
-        F.concat_ws("-", F.col("c_nationkey").cast("string"), F.col("c_custkey").cast("string")).alias(
-            "phone"
-        ),
+        "first_name",
+        "last_name",
+        "email",
+        "phone",
         age.alias("age"),
         F.col("o_orderpriority").alias("city"),
         F.col("o_orderstatus").alias("state"),
