@@ -127,17 +127,31 @@ def attach_daily(df: DataFrame, daily: DataFrame) -> DataFrame:
     return s.join(d, cond, "inner").select("_s.*", *[F.col(f"_d.{c}") for c in extra])
 
 
-def _metrics_skew_safe(df: DataFrame, month_scope: str) -> DataFrame:
+METRIC_COLUMNS = (
+    "monthly_total",
+    "yearly_total",
+    "avg_order_value",
+    "order_rank_in_month",
+    "running_total",
+)
+
+
+def _metrics_skew_safe(
+    df: DataFrame, month_scope: str, per_customer: DataFrame | None = None
+) -> DataFrame:
+    """Rank by range slices; totals from the per-date table, joined back once.
+
+    ``per_customer`` (keyed by customer_id, e.g. segment columns) is joined into
+    the small per-date table first, so the big rows still take a single join.
+    """
     ranked = row_number_skew_safe(df, _month_key(month_scope), rank_order(), "order_rank_in_month")
-    joined = attach_daily(ranked, daily_totals(df, month_scope))
-    return joined.select(
-        *df.columns,
-        "monthly_total",
-        "yearly_total",
-        "avg_order_value",
-        "order_rank_in_month",
-        "running_total",
-    )
+    daily = daily_totals(df, month_scope)
+    extra: list[str] = []
+    if per_customer is not None:
+        extra = [c for c in per_customer.columns if c != "customer_id"]
+        daily = daily.join(per_customer, "customer_id", "left")
+    joined = attach_daily(ranked, daily)
+    return joined.select(*df.columns, *METRIC_COLUMNS, *extra)
 
 
 def business_metrics(

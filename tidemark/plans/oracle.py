@@ -163,6 +163,14 @@ report AS (
   FROM r)"""
 
 
+TEXT_SALES = """text_sales AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS sale_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+         o_orderstatus AS product_id, o_orderpriority AS product_name,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(o_orderdate AS DATE) AS sale_date
+  FROM orders)"""
+
+ROUNDTRIP = "SELECT sale_id, customer_id, amount, sale_date, sales_year, sales_month, amount_category FROM clean"
+
 SQL: dict[str, str] = {
     "customer_segments": f"WITH {ORDERS_SALES}, {clean('orders_sales')}, {SEGMENTS} "
     "SELECT * FROM segments",
@@ -288,4 +296,11 @@ SQL: dict[str, str] = {
     "COALESCE(MAX(CASE WHEN job_name = 'data-pipeline-customer-data-etl-dev' THEN state END) = 'SUCCEEDED', false) "
     "AND COALESCE(MAX(CASE WHEN job_name = 'data-pipeline-sales-data-etl-dev' THEN state END) = 'SUCCEEDED', false) "
     "AS ready FROM latest GROUP BY run_window",
+    "csv_roundtrip": f"WITH {TEXT_SALES}, {clean('text_sales')} {ROUNDTRIP}",
+    "incremental_ingest": f"WITH {TEXT_SALES}, {clean('text_sales')} {ROUNDTRIP}",
+    "partitioned_roundtrip": f"WITH {ORDERS_SALES}, {clean('orders_sales')}, {METRICS}, {SEGMENTS} "
+    "SELECT m.sale_id, m.customer_id, m.amount, m.sale_date, m.sales_year, m.sales_month, "
+    "m.monthly_total, m.order_rank_in_month, m.running_total, s.customer_segment "
+    "FROM metrics m LEFT JOIN segments s USING (customer_id)",
+    "rolling_segments": f"WITH {TEXT_SALES}, {clean('text_sales')}, {SEGMENTS} SELECT * FROM segments",
 }

@@ -36,7 +36,12 @@ from tidemark.operators.quality import (
 )
 from tidemark.operators.sales import as_of_literal, clean_sales, reject_sales
 from tidemark.operators.segments import attach_segments, customer_segments, segment_distribution
+from tidemark.plans.sales_job import process_sales
+from tidemark.session import scratch_path
+from tidemark.sinks import write_partitioned
 from tidemark.sources.events import parse_bus_events, parse_manifest
+from tidemark.sources.files import read_sales
+from tidemark.streaming.ingest import current_segments, ingest_sales, staged_clean, stream_segments
 from tidemark.sources.tables import (
     bus_records,
     customer_as_sales,
@@ -252,6 +257,61 @@ def q_readiness_gate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# ------------------------------------------------------- sources, sinks, streams
+
+ROUNDTRIP_COLUMNS = ("sale_id", "customer_id", "amount", "sale_date", "sales_year", "sales_month", "amount_category")
+
+
+def write_orders_csv(spark: SparkSession, sf: str, folder: str, batch: str = "all") -> None:
+    """Raw sales CSV files from orders; ``batch`` splits arrival into before/after 1998."""
+    raw = orders_as_sales(load(spark, sf, "orders"))
+    if batch == "early":
+        raw = raw.filter(F.col("sale_date") < F.lit("1998-01-01").cast("date"))
+    elif batch == "late":
+        raw = raw.filter(F.col("sale_date") >= F.lit("1998-01-01").cast("date"))
+    raw.write.mode("append").option("header", "true").csv(folder)
+
+
+def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A1/A2: raw CSV (text ids) read back with the declared schema, then cleaned."""
+    root = scratch_path(spark, "csv-roundtrip")
+    write_orders_csv(spark, sf, f"{root}/sales/part=1")
+    return clean_sales(read_sales(spark, root), as_of=AS_OF).select(*ROUNDTRIP_COLUMNS)
+
+
+def q_partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed sales written hive-partitioned, partitions recovered on read."""
+    path = scratch_path(spark, "sales-partitioned")
+    write_partitioned(process_sales(orders_clean(spark, sf)), path, ["sales_year", "sales_month"])
+    return spark.read.parquet(path).select(
+        "sale_id", "customer_id", "amount", "sale_date", "sales_year", "sales_month",
+        "monthly_total", "order_rank_in_month", "running_total", "customer_segment",
+    )
+
+
+def q_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """A4/K1: files arrive in two drops; each stream run ingests only the new ones."""
+    root = scratch_path(spark, "ingest")
+    raw, staged, ckpt = f"{root}/raw", f"{root}/staged", f"{root}/_checkpoint"
+    write_orders_csv(spark, sf, f"{raw}/drop=1", "early")
+    ingest_sales(spark, raw, staged, ckpt)
+    write_orders_csv(spark, sf, f"{raw}/drop=2", "late")
+    ingest_sales(spark, raw, staged, ckpt)
+    ingest_sales(spark, raw, staged, ckpt)  # nothing new: adds no rows
+    return staged_clean(spark, staged, AS_OF).select(*ROUNDTRIP_COLUMNS)
+
+
+def q_rolling_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """K4: segments maintained by a stateful stream across two drops of files."""
+    root = scratch_path(spark, "segments-stream")
+    raw, updates, ckpt = f"{root}/raw", f"{root}/updates", f"{root}/_checkpoint"
+    write_orders_csv(spark, sf, f"{raw}/drop=1", "early")
+    stream_segments(spark, raw, updates, ckpt)
+    write_orders_csv(spark, sf, f"{raw}/drop=2", "late")
+    stream_segments(spark, raw, updates, ckpt)
+    return current_segments(spark, updates)
+
+
 QUERIES: dict[str, SalesQuery] = {
     "customer_segments": q_customer_segments,
     "segment_distribution": q_segment_distribution,
@@ -281,5 +341,9 @@ QUERIES: dict[str, SalesQuery] = {
     "job_metrics": q_job_metrics,
     "job_failures": q_job_failures,
     "readiness_gate": q_readiness_gate,
+    "csv_roundtrip": q_csv_roundtrip,
+    "partitioned_roundtrip": q_partitioned_roundtrip,
+    "incremental_ingest": q_incremental_ingest,
+    "rolling_segments": q_rolling_segments,
 }
 
