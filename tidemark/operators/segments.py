@@ -61,3 +61,13 @@ def segment_map(segments: DataFrame) -> DataFrame:
             F.array_sort(F.collect_list(F.struct("customer_segment", "customer_count")))
         ).alias("customer_segments")
     )
+
+
+def enrich_sales(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Sales with their customer's attributes (inner join on customer_id).
+
+    Customers are one row per id after dedup; the join is left to adaptive
+    execution (broadcast only when the customer side measures small, else a
+    sort-merge join with skewed partitions split).
+    """
+    return sales.join(customers, "customer_id", "inner")

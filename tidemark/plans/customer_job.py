@@ -48,7 +48,7 @@ def run_customer_job(
             f"{out}/rejects/customers",
         )
         clean = clean_customers(stage, as_of, job_name)
-        write_partitioned(clean, f"{out}/customers", ["registration_year"])
+        write_partitioned(clean, f"{out}/customers", ["registration_year"], spread_by=["customer_id"])
         written = spark.read.parquet(f"{out}/customers")
         write_plain(
             customer_lineage(written, raw_path(raw_root, CUSTOMERS_PREFIX), as_of), f"{out}/lineage/customers"

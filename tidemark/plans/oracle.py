@@ -171,6 +171,40 @@ TEXT_SALES = """text_sales AS (
 
 ROUNDTRIP = "SELECT sale_id, customer_id, amount, sale_date, sales_year, sales_month, amount_category FROM clean"
 
+ORDERS_TEXT_OLD = """old_text AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+         o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
+         strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
+  FROM orders)"""
+
+ORDERS_TEXT_NEW = """new_text AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+         CASE WHEN o_orderstatus = 'P' THEN 'C-' || CAST(o_custkey AS VARCHAR)
+              ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
+         strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+         substr(o_orderpriority, 1, 1) AS o_orderpriority,
+         CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS o_channel
+  FROM orders)"""
+
+# Per column (UNPIVOT of the text table): count values that look like each type.
+INFER = """SELECT column_name,
+  CASE WHEN n = 0 THEN 'string' WHEN i = n THEN 'bigint' WHEN d = n THEN 'double'
+       WHEN t = n THEN 'date' WHEN b = n THEN 'boolean' ELSE 'string' END AS inferred_type,
+  n AS non_null, total
+FROM (
+  SELECT column_name,
+    COUNT(*) FILTER (WHERE v IS NOT NULL AND v <> '') AS n,
+    COUNT(*) FILTER (WHERE v <> '' AND regexp_full_match(v, '-?[0-9]+')) AS i,
+    COUNT(*) FILTER (WHERE v <> '' AND (regexp_full_match(v, '-?[0-9]+')
+                                        OR regexp_full_match(v, '-?[0-9]+\\.[0-9]+'))) AS d,
+    COUNT(*) FILTER (WHERE v <> '' AND regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')
+                     AND TRY_CAST(v AS DATE) IS NOT NULL) AS t,
+    COUNT(*) FILTER (WHERE v <> '' AND lower(v) IN ('true', 'false')) AS b,
+    (SELECT COUNT(*) FROM {src}) AS total
+  FROM (SELECT column_name, trim(v) AS v FROM (UNPIVOT {src} ON COLUMNS(*) INTO NAME column_name VALUE v))
+  GROUP BY column_name)"""
+
 SQL: dict[str, str] = {
     "customer_segments": f"WITH {ORDERS_SALES}, {clean('orders_sales')}, {SEGMENTS} "
     "SELECT * FROM segments",
@@ -303,4 +337,18 @@ SQL: dict[str, str] = {
     "m.monthly_total, m.order_rank_in_month, m.running_total, s.customer_segment "
     "FROM metrics m LEFT JOIN segments s USING (customer_id)",
     "rolling_segments": f"WITH {TEXT_SALES}, {clean('text_sales')}, {SEGMENTS} SELECT * FROM segments",
+    "inferred_types": f"WITH {ORDERS_TEXT_NEW} " + INFER.format(src="new_text"),
+    "schema_drift": f"WITH {ORDERS_TEXT_OLD}, {ORDERS_TEXT_NEW}, "
+    "o AS (" + INFER.format(src="old_text") + "), n AS (" + INFER.format(src="new_text") + ") "
+    "SELECT COALESCE(o.column_name, n.column_name) AS column_name, o.inferred_type AS old_type, "
+    "n.inferred_type AS new_type, CASE WHEN o.inferred_type IS NULL THEN 'added' "
+    "WHEN n.inferred_type IS NULL THEN 'removed' WHEN o.inferred_type <> n.inferred_type THEN 'type_changed' "
+    "ELSE 'unchanged' END AS change FROM o FULL OUTER JOIN n ON o.column_name = n.column_name",
+    "sales_customer_enriched": f"WITH {ORDERS_SALES}, {clean('orders_sales')}, {RAW_CUSTOMERS}, {DEDUP} "
+    "SELECT c.customer_id, c.sale_id, c.amount, c.sale_date, "
+    "concat_ws(' ', d.first_name, d.last_name) AS full_name, "
+    "CASE WHEN d.age < 25 THEN 'Young' WHEN d.age < 45 THEN 'Adult' WHEN d.age < 65 THEN 'Middle-aged' "
+    "ELSE 'Senior' END AS age_group, regexp_extract(d.email, '@(.+)', 1) AS email_domain, "
+    "CAST(year(d.registration_date) AS INTEGER) AS registration_year "
+    "FROM clean c JOIN dedup d ON c.customer_id = d.customer_id",
 }

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import CUSTOMER_JOB, SALES_JOB
 from tidemark.functions import age_group, email_domain, full_name
 from tidemark.operators.customers import clean_customers, dedup_latest
+from tidemark.operators.drift import infer_types, schema_drift
 from tidemark.operators.events import (
     classify_events,
     job_failures,
@@ -35,7 +36,12 @@ from tidemark.operators.quality import (
     sales_quality,
 )
 from tidemark.operators.sales import as_of_literal, clean_sales, reject_sales
-from tidemark.operators.segments import attach_segments, customer_segments, segment_distribution
+from tidemark.operators.segments import (
+    attach_segments,
+    customer_segments,
+    enrich_sales,
+    segment_distribution,
+)
 from tidemark.plans.sales_job import process_sales
 from tidemark.session import scratch_path
 from tidemark.sinks import write_partitioned
@@ -282,7 +288,9 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def q_partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Processed sales written hive-partitioned, partitions recovered on read."""
     path = scratch_path(spark, "sales-partitioned")
-    write_partitioned(process_sales(orders_clean(spark, sf)), path, ["sales_year", "sales_month"])
+    write_partitioned(
+        process_sales(orders_clean(spark, sf)), path, ["sales_year", "sales_month"], spread_by=["customer_id"]
+    )
     return spark.read.parquet(path).select(
         "sale_id", "customer_id", "amount", "sale_date", "sales_year", "sales_month",
         "monthly_total", "order_rank_in_month", "running_total", "customer_segment",
@@ -312,6 +320,49 @@ def q_rolling_segments(spark: SparkSession, sf: str) -> DataFrame:
     return current_segments(spark, updates)
 
 
+def orders_text_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Two arrivals of one raw table as text: the later one drops o_orderstatus,
+    adds o_channel, writes some customer keys as codes and prices with a currency sign."""
+    o = load(spark, sf, "orders")
+    old = o.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.col("o_custkey").cast("string").alias("o_custkey"),
+        "o_orderstatus",
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+        "o_orderpriority",
+    )
+    new = o.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("C-"), F.col("o_custkey").cast("string")))
+        .otherwise(F.col("o_custkey").cast("string"))
+        .alias("o_custkey"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+        F.substring("o_orderpriority", 1, 1).alias("o_orderpriority"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("true")).otherwise(F.lit("false")).alias("o_channel"),
+    )
+    return old, new
+
+
+def q_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    old, new = orders_text_versions(spark, sf)
+    return schema_drift(infer_types(old), infer_types(new))
+
+
+def q_inferred_types(spark: SparkSession, sf: str) -> DataFrame:
+    return infer_types(orders_text_versions(spark, sf)[1])
+
+
+def q_sales_customer_enriched(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed sales joined to processed customers (inner, on customer_id)."""
+    sales = orders_clean(spark, sf).select("sale_id", "customer_id", "amount", "sale_date")
+    customers = clean_customers(raw_customer_rows(spark, sf), as_of=AS_OF).select(
+        "customer_id", "full_name", "age_group", "email_domain", "registration_year"
+    )
+    return enrich_sales(sales, customers)
+
+
 QUERIES: dict[str, SalesQuery] = {
     "customer_segments": q_customer_segments,
     "segment_distribution": q_segment_distribution,
@@ -345,5 +396,8 @@ QUERIES: dict[str, SalesQuery] = {
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "incremental_ingest": q_incremental_ingest,
     "rolling_segments": q_rolling_segments,
+    "schema_drift": q_schema_drift,
+    "inferred_types": q_inferred_types,
+    "sales_customer_enriched": q_sales_customer_enriched,
 }
 

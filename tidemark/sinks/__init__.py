@@ -13,16 +13,25 @@ from tidemark.schemas import PIPELINE_EVENTS
 
 
 def write_partitioned(
-    df: DataFrame, path: str, keys: Sequence[str], mode: str = "overwrite", cluster: bool = True
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    mode: str = "overwrite",
+    spread_by: Sequence[str] = (),
+    num_partitions: int | None = None,
 ) -> None:
     """Hive-partitioned Parquet.
 
-    ``cluster`` hash-repartitions on the partition keys first, so each output
-    folder is written by few tasks (no small-file explosion: without it every
-    task writes a file into every folder it touches). Overwrite is dynamic per
-    partition when the session sets ``partitionOverwriteMode=dynamic``.
+    Rows are range-partitioned on (keys, spread_by) before the write. Each task
+    then holds a contiguous slice of one or two output folders, so there is no
+    small-file explosion (every task writing into every folder), and a folder
+    holding a third of the data is still written by many tasks, not one — which
+    a hash repartition on the keys alone would do. Files come out sorted on
+    ``spread_by``, so their min/max statistics let later scans skip files.
+    Overwrite is per partition when ``partitionOverwriteMode=dynamic``.
     """
-    out = df.repartition(*keys) if cluster and keys else df
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    out = df.repartitionByRange(n, *keys, *spread_by) if keys else df
     out.write.mode(mode).partitionBy(*keys).parquet(path)
 
 
@@ -47,7 +56,8 @@ def save_table(
 ) -> str:
     """A catalog table (partitioned when ``keys`` are given); returns its name."""
     name = f"`{database}`.`{table}`"
-    writer = (df.repartition(*keys) if keys else df).write.mode(mode).format("parquet")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    writer = (df.repartitionByRange(n, *keys) if keys else df).write.mode(mode).format("parquet")
     if keys:
         writer = writer.partitionBy(*keys)
     if path:

@@ -75,7 +75,9 @@ def rebuild_sales_gold(
 
     out = f"{gold_root.rstrip('/')}/v={version}"
     clean = staged_clean(spark, staged_path, as_of)
-    write_partitioned(process_sales(clean, strategy), f"{out}/sales", ["sales_year", "sales_month"])
+    write_partitioned(
+        process_sales(clean, strategy), f"{out}/sales", ["sales_year", "sales_month"], spread_by=["customer_id"]
+    )
     write_plain(customer_segments(clean), f"{out}/customer_segments")
     return out
 
