@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_root, shuffle_partitions
+from tidemark.session import materialize, shuffle_partitions
 
 
 def _key(group_cols: Sequence[str]) -> Column:
@@ -39,17 +39,14 @@ def row_number_skew_safe(
     """
     spark = df.sparkSession
     n = num_slices or shuffle_partitions(spark)
-    checkpoint_root(spark)
     # The range partitioner samples with a seed taken from its RDD id, so two plan
-    # branches would cut different slices. Materialise the sliced rows once
-    # (reliable checkpoint in the shared checkpoint folder, which also cuts the
-    # lineage) and let both branches read the same slices.
-    ranged = (
-        df.withColumn("_rk_grp", _key(group_cols))
-        .repartitionByRange(n, F.col("_rk_grp"), *order)
-        .withColumn("_rk_slice", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    # branches would cut different slices. Write the sliced rows once (slice number
+    # as a column) to a table in the shared checkpoint folder, which also cuts the
+    # lineage, and let both branches read that table.
+    ranged = materialize(
+        df.repartitionByRange(n, _key(group_cols), *order).withColumn("_rk_slice", F.spark_partition_id()),
+        "rank-slices",
+    ).withColumn("_rk_grp", _key(group_cols))
     local = ranged.withColumn(
         "_rk_local",
         F.row_number().over(Window.partitionBy("_rk_grp", "_rk_slice").orderBy(*order)),
