@@ -72,3 +72,12 @@ def test_csv_permissive_bad_values(spark, tmp):
     df = read_raw(spark, f"{tmp}/s.csv", RAW_SALES)
     assert rows(df, "sale_id", "amount") == [("1", None), ("2", __import__("decimal").Decimal("12.50"))]
     assert clean_sales(df).filter(F.col("sale_id") == "1").count() == 0
+
+
+def test_cluster_conf_scales_partitions():
+    from tidemark.session import cluster_conf
+
+    small = cluster_conf(1 << 30, 8)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)

@@ -124,6 +124,19 @@ def match_rules(
     return events.withColumn("matched_rule", rule)
 
 
+def orchestration_log(routed: DataFrame, at: Column) -> DataFrame:
+    """One log row per handled event: when, the event's detail-type, and the
+    results (target and action) as JSON text — the orchestrator's completion event."""
+    result = F.struct(F.col("target").alias("name"), F.col("action").alias("status"))
+    results = F.when(F.col("action").isNotNull(), F.array(result)).otherwise(F.array().cast("array<struct<name:string,status:string>>"))
+    return routed.select(
+        "event_id",
+        at.alias("orchestration_timestamp"),
+        F.col("detail_type").alias("event_processed"),
+        F.to_json(results).alias("results"),
+    )
+
+
 # ----------------------------------------------------------------------- job runs
 
 

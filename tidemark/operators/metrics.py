@@ -54,7 +54,7 @@ def choose_strategy(
     return "window" if max_group_rows(df, [key]) <= max_rows else "skew_safe"
 
 
-def _metrics_window(df: DataFrame, month_scope: str) -> DataFrame:
+def metrics_window(df: DataFrame, month_scope: str) -> DataFrame:
     month = Window.partitionBy(*_month_key(month_scope))
     year = Window.partitionBy("customer_id", "sales_year")
     running = (
@@ -136,7 +136,7 @@ METRIC_COLUMNS = (
 )
 
 
-def _metrics_skew_safe(
+def metrics_skew_safe(
     df: DataFrame, month_scope: str, per_customer: DataFrame | None = None
 ) -> DataFrame:
     """Rank by range slices; totals from the per-date table, joined back once.
@@ -163,9 +163,9 @@ def business_metrics(
     """Add monthly_total, yearly_total, avg_order_value, order_rank_in_month, running_total."""
     chosen = choose_strategy(df, strategy, max_rows)
     if chosen == "window":
-        return _metrics_window(df, month_scope)
+        return metrics_window(df, month_scope)
     if chosen == "skew_safe":
-        return _metrics_skew_safe(df, month_scope)
+        return metrics_skew_safe(df, month_scope)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 

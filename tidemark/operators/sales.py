@@ -67,16 +67,26 @@ def clean_sales(
     return filtered.withColumns(cols)
 
 
-def reject_sales(df: DataFrame, as_of: _dt.datetime | str | None = None) -> DataFrame:
-    """Rows the sales job drops, with the first failing reason."""
+def reject_reason(df: DataFrame) -> Column:
+    """The first rule a raw sales row fails (null when the job keeps it)."""
     amount = typed_amount(df)
-    reason = (
+    return (
         F.when(F.col("customer_id").isNull(), "null_customer_id")
         .when(amount.isNull(), "null_amount")
         .when(amount <= 0, "non_positive_amount")
     )
+
+
+def stage_sales(raw: DataFrame) -> DataFrame:
+    """Raw rows with a typed amount and ``reject_reason`` — one table for kept and
+    rejected rows, written in one pass."""
+    return raw.withColumns({"amount": typed_amount(raw), "reject_reason": reject_reason(raw)})
+
+
+def reject_sales(df: DataFrame, as_of: _dt.datetime | str | None = None) -> DataFrame:
+    """Rows the sales job drops, with the first failing reason."""
     return (
-        df.withColumn("reject_reason", reason)
+        df.withColumn("reject_reason", reject_reason(df))
         .filter(F.col("reject_reason").isNotNull())
         .withColumn("rejected_at", as_of_literal(as_of))
     )

@@ -205,6 +205,30 @@ FROM (
   FROM (SELECT column_name, trim(v) AS v FROM (UNPIVOT {src} ON COLUMNS(*) INTO NAME column_name VALUE v))
   GROUP BY column_name)"""
 
+ROUTING = (
+    "SELECT event_id, event_type, event_class, "
+    "CASE WHEN event_class = 's3_object_created' AND job IS NOT NULL THEN 'start_job' "
+    "WHEN event_class = 'scheduled' THEN 'start_workflow' "
+    "WHEN event_class = 'job_state_change' AND state = 'SUCCEEDED' THEN 'job_succeeded' "
+    "WHEN event_class = 'job_state_change' AND state = 'FAILED' THEN 'job_failed' END AS action, "
+    "CASE WHEN event_class = 's3_object_created' AND job IS NOT NULL THEN 'data-pipeline-' || job || '-dev' "
+    "WHEN event_class = 'scheduled' THEN 'data-pipeline-main-workflow-dev' "
+    "WHEN event_class = 'job_state_change' THEN job_name END AS target, "
+    "CASE WHEN event_type = 'view' THEN 's3_object_created' "
+    "WHEN event_class = 'job_state_change' AND job_name = 'data-pipeline-customer-data-etl-dev' "
+    "THEN 'glue_job_state_change' END AS matched_rule "
+    "FROM (SELECT event_id, event_type, "
+    "CASE WHEN event_type = 'view' THEN 's3_object_created' "
+    "WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'scheduled' "
+    "WHEN event_type IN ('purchase', 'error') THEN 'job_state_change' ELSE 'other' END AS event_class, "
+    "CASE WHEN event_type = 'view' THEN (CASE WHEN contains(COALESCE(k, ''), 'customers/') "
+    "THEN 'customer-data-etl' WHEN contains(COALESCE(k, ''), 'sales/') THEN 'sales-data-etl' END) END AS job, "
+    "CASE WHEN event_type = 'purchase' THEN 'SUCCEEDED' WHEN event_type = 'error' THEN 'FAILED' END AS state, "
+    "CASE WHEN event_type IN ('purchase', 'error') THEN (CASE WHEN user_id % 2 = 0 "
+    "THEN 'data-pipeline-customer-data-etl-dev' ELSE 'data-pipeline-sales-data-etl-dev' END) END AS job_name "
+    f"FROM (SELECT *, {OBJECT_KEY} AS k FROM events))"
+)
+
 SQL: dict[str, str] = {
     "customer_segments": f"WITH {ORDERS_SALES}, {clean('orders_sales')}, {SEGMENTS} "
     "SELECT * FROM segments",
@@ -287,27 +311,7 @@ SQL: dict[str, str] = {
     "AS message FROM (SELECT event_id, 'raw-' || event_type AS bucket, key, "
     "COALESCE(key IS NOT NULL AND key <> '' AND suffix(key, '.csv'), false) AS is_valid "
     f"FROM (SELECT *, {OBJECT_KEY} AS key FROM events))",
-    "event_routing": "SELECT event_id, event_class, "
-    "CASE WHEN event_class = 's3_object_created' AND job IS NOT NULL THEN 'start_job' "
-    "WHEN event_class = 'scheduled' THEN 'start_workflow' "
-    "WHEN event_class = 'job_state_change' AND state = 'SUCCEEDED' THEN 'job_succeeded' "
-    "WHEN event_class = 'job_state_change' AND state = 'FAILED' THEN 'job_failed' END AS action, "
-    "CASE WHEN event_class = 's3_object_created' AND job IS NOT NULL THEN 'data-pipeline-' || job || '-dev' "
-    "WHEN event_class = 'scheduled' THEN 'data-pipeline-main-workflow-dev' "
-    "WHEN event_class = 'job_state_change' THEN job_name END AS target, "
-    "CASE WHEN event_type = 'view' THEN 's3_object_created' "
-    "WHEN event_class = 'job_state_change' AND job_name = 'data-pipeline-customer-data-etl-dev' "
-    "THEN 'glue_job_state_change' END AS matched_rule "
-    "FROM (SELECT event_id, event_type, "
-    "CASE WHEN event_type = 'view' THEN 's3_object_created' "
-    "WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'scheduled' "
-    "WHEN event_type IN ('purchase', 'error') THEN 'job_state_change' ELSE 'other' END AS event_class, "
-    "CASE WHEN event_type = 'view' THEN (CASE WHEN contains(COALESCE(k, ''), 'customers/') "
-    "THEN 'customer-data-etl' WHEN contains(COALESCE(k, ''), 'sales/') THEN 'sales-data-etl' END) END AS job, "
-    "CASE WHEN event_type = 'purchase' THEN 'SUCCEEDED' WHEN event_type = 'error' THEN 'FAILED' END AS state, "
-    "CASE WHEN event_type IN ('purchase', 'error') THEN (CASE WHEN user_id % 2 = 0 "
-    "THEN 'data-pipeline-customer-data-etl-dev' ELSE 'data-pipeline-sales-data-etl-dev' END) END AS job_name "
-    f"FROM (SELECT *, {OBJECT_KEY} AS k FROM events))",
+    "event_routing": "SELECT event_id, event_class, action, target, matched_rule FROM (" + ROUTING + ")",
     "job_outcomes": f"WITH {JOB_RUNS} SELECT job_name, job_run_id, state, started_on FROM runs "
     "WHERE state IN ('SUCCEEDED', 'FAILED')",
     "job_metrics": f"WITH {JOB_RUNS} SELECT job_name, COUNT(*) AS runs, "
@@ -351,4 +355,10 @@ SQL: dict[str, str] = {
     "ELSE 'Senior' END AS age_group, regexp_extract(d.email, '@(.+)', 1) AS email_domain, "
     "CAST(year(d.registration_date) AS INTEGER) AS registration_year "
     "FROM clean c JOIN dedup d ON c.customer_id = d.customer_id",
+    "orchestration_log": "SELECT event_id, " + TS + " AS orchestration_timestamp, "
+    "CASE event_type WHEN 'view' THEN 'Object Created' WHEN 'click' THEN 'Scheduled Event' "
+    "WHEN 'signup' THEN 'User Signup' ELSE 'Glue Job State Change' END AS event_processed, "
+    "CASE WHEN action IS NULL THEN '[]' ELSE "
+    "'[{\"name\":\"' || target || '\",\"status\":\"' || action || '\"}]' END AS results "
+    "FROM (" + ROUTING + ")",
 }

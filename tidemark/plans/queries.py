@@ -22,6 +22,7 @@ from tidemark.operators.events import (
     job_metrics,
     job_outcomes,
     match_rules,
+    orchestration_log,
     readiness,
     route_events,
     validate_manifest,
@@ -245,6 +246,11 @@ def q_event_routing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_orchestration_log(spark: SparkSession, sf: str) -> DataFrame:
+    events = parse_bus_events(bus_records(load(spark, sf, "events")))
+    return orchestration_log(route_events(classify_events(events)), as_of_literal(AS_OF))
+
+
 def q_job_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     return job_outcomes(job_runs(load(spark, sf, "events")))
 
@@ -388,6 +394,7 @@ QUERIES: dict[str, SalesQuery] = {
     "reject_rows": q_reject_rows,
     "manifest_validation": q_manifest_validation,
     "event_routing": q_event_routing,
+    "orchestration_log": q_orchestration_log,
     "job_outcomes": q_job_outcomes,
     "job_metrics": q_job_metrics,
     "job_failures": q_job_failures,

@@ -36,6 +36,30 @@ def local_session(cores: int | str = 8, app: str = "tidemark", **extra: str) ->
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    Scan splits of ``target_partition_bytes``; shuffle partitions so that each
+    holds about that much (shuffled data taken as the input size, at least three
+    waves of tasks); adaptive execution to coalesce small partitions, split skewed
+    joins and switch to broadcast only for sides measured below the threshold.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set a local one if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

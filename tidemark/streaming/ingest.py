@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from tidemark.constants import TOTAL_TYPE
 from tidemark.functions import customer_segment
 from tidemark.operators.sales import clean_sales
-from tidemark.plans.sales_job import process_sales, stage_sales
+from tidemark.operators.sales import stage_sales
+from tidemark.plans.sales_job import process_sales
 from tidemark.schemas import RAW_SALES
 from tidemark.sinks import write_partitioned, write_plain
 from tidemark.sources.files import stream_raw
