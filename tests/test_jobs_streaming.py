@@ -106,3 +106,17 @@ def test_rolling_segments_merge_batches(spark, tmp):
     got = current_segments(spark, upd)
     cols = ["customer_id", "total_spent", "total_orders", "first_purchase_date", "last_purchase_date", "customer_segment"]
     assert rows(got, *cols) == rows(full, *cols)
+
+
+def test_processing_time_trigger_keeps_running(spark, tmp):
+    raw, staged, ckpt = f"{tmp}/raw", f"{tmp}/staged", f"{tmp}/ckpt"
+    split_sales(spark, f"{raw}/a", 1)
+    query = ingest_sales(spark, raw, staged, ckpt, processing_time="1 second")
+    try:
+        query.processAllAvailable()
+        split_sales(spark, f"{raw}/b", 2)
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert spark.read.parquet(staged).count() == 8

@@ -47,11 +47,22 @@ def _month_key(month_scope: str) -> list[str]:
 
 
 def choose_strategy(
-    df: DataFrame, strategy: str, max_rows: int = DEFAULT_MAX_GROUP_ROWS, key: str = "customer_id"
+    df: DataFrame,
+    strategy: str,
+    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    keys: list[str] | None = None,
 ) -> str:
+    """Resolve ``auto``: ``window`` when the largest group over ``keys`` (default:
+    customer_id) has at most ``max_rows`` rows, else ``skew_safe``.
+
+    The measurement is an action (a one-column partial aggregate), run when the
+    plan is built; both strategies return the same rows, so it only picks speed.
+    """
+    if strategy not in ("auto", "window", "skew_safe"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     if strategy != "auto":
         return strategy
-    return "window" if max_group_rows(df, [key]) <= max_rows else "skew_safe"
+    return "window" if max_group_rows(df, keys or ["customer_id"]) <= max_rows else "skew_safe"
 
 
 def metrics_window(df: DataFrame, month_scope: str) -> DataFrame:
@@ -161,12 +172,9 @@ def business_metrics(
     max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add monthly_total, yearly_total, avg_order_value, order_rank_in_month, running_total."""
-    chosen = choose_strategy(df, strategy, max_rows)
-    if chosen == "window":
+    if choose_strategy(df, strategy, max_rows) == "window":
         return metrics_window(df, month_scope)
-    if chosen == "skew_safe":
-        return metrics_skew_safe(df, month_scope)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    return metrics_skew_safe(df, month_scope)
 
 
 def order_rank(
@@ -177,8 +185,7 @@ def order_rank(
 ) -> DataFrame:
     """E4 alone: order_rank_in_month."""
     keys = _month_key(month_scope)
-    chosen = "window" if strategy == "auto" and max_group_rows(df, keys) <= max_rows else strategy
-    if chosen in ("window",):
+    if choose_strategy(df, strategy, max_rows, keys) == "window":
         return row_number_window(df, keys, rank_order(), "order_rank_in_month")
     return row_number_skew_safe(df, keys, rank_order(), "order_rank_in_month")
 
