@@ -240,6 +240,15 @@ def test_hot_customer_skew_safe_equals_window(spark):
     a = business_metrics(df, "window")
     b = business_metrics(df, "skew_safe")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # auto with a low threshold: the hot customer takes the skew-safe path, the rest
+    # the window path, and the union equals the single-plan result.
+    c = business_metrics(df, "auto", max_rows=500)
+    assert c.exceptAll(a).count() == 0 and a.exceptAll(c).count() == 0
+    p = process_sales(df, "auto", max_rows=500)
+    w = process_sales(df, "window")
+    assert p.exceptAll(w).count() == 0 and w.exceptAll(p).count() == 0
+    r = order_rank(df, "auto", max_rows=100)
+    assert rows(r, "sale_id", "order_rank_in_month") == rows(a, "sale_id", "order_rank_in_month")
     # The hot customer-month group is cut into several slices.
     from tidemark.session import checkpoint_root
 

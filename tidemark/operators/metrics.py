@@ -18,8 +18,10 @@ Two physical strategies give identical rows:
             per calendar day per customer, whatever the row count — then windowed
             over that small table and joined back; the rank uses the range-sliced
             row_number. No task ever holds a whole customer.
-``auto``    measures the largest customer (one-column partial aggregate) and picks
-            ``window`` when it is below ``max_group_rows``, else ``skew_safe``.
+``auto``    splits the rows: customers with more than ``max_rows`` rows (found by a
+            key-only partial aggregate) take ``skew_safe``, all others ``window``;
+            the two results are unioned. Without hot customers this is exactly
+            the ``window`` plan.
 """
 
 from __future__ import annotations
@@ -28,7 +30,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.constants import TOTAL_TYPE
-from tidemark.operators.ranking import max_group_rows, row_number_skew_safe, row_number_window
+from tidemark.operators.ranking import (
+    max_group_rows,
+    row_number_skew_safe,
+    row_number_window,
+    split_hot,
+)
 
 DEFAULT_MAX_GROUP_ROWS = 4_000_000
 
@@ -172,6 +179,11 @@ def business_metrics(
     max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add monthly_total, yearly_total, avg_order_value, order_rank_in_month, running_total."""
+    if strategy == "auto":
+        light, hot = split_hot(df, ["customer_id"], max_rows)
+        if hot is None:
+            return metrics_window(df, month_scope)
+        return metrics_window(light, month_scope).unionByName(metrics_skew_safe(hot, month_scope))
     if choose_strategy(df, strategy, max_rows) == "window":
         return metrics_window(df, month_scope)
     return metrics_skew_safe(df, month_scope)
@@ -185,9 +197,17 @@ def order_rank(
 ) -> DataFrame:
     """E4 alone: order_rank_in_month."""
     keys = _month_key(month_scope)
+    name = "order_rank_in_month"
+    if strategy == "auto":
+        light, hot = split_hot(df, keys, max_rows)
+        if hot is None:
+            return row_number_window(df, keys, rank_order(), name)
+        return row_number_window(light, keys, rank_order(), name).unionByName(
+            row_number_skew_safe(hot, keys, rank_order(), name)
+        )
     if choose_strategy(df, strategy, max_rows, keys) == "window":
-        return row_number_window(df, keys, rank_order(), "order_rank_in_month")
-    return row_number_skew_safe(df, keys, rank_order(), "order_rank_in_month")
+        return row_number_window(df, keys, rank_order(), name)
+    return row_number_skew_safe(df, keys, rank_order(), name)
 
 
 def running_total(df: DataFrame) -> DataFrame:

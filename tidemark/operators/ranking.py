@@ -75,6 +75,37 @@ def row_number_window(
     return df.withColumn(name, F.row_number().over(w))
 
 
+HOT_KEYS_COLLECT_LIMIT = 100_000
+
+
+def split_hot(
+    df: DataFrame, key_cols: Sequence[str], max_rows: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Split rows into (light, hot): hot rows belong to groups with more than
+    ``max_rows`` rows. ``hot`` is None when there is no such group.
+
+    The group sizes are a partial aggregate over the key columns only. There are
+    at most ``total_rows / max_rows`` hot groups; up to ``HOT_KEYS_COLLECT_LIMIT``
+    of them are collected (a bounded list) and broadcast for the split, more are
+    written to the checkpoint folder and joined without a hint. Keys compare
+    null-safe, so a null key is a group like any other.
+    """
+    sizes = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+    hot_rows = sizes.filter(F.col("_n") > max_rows).select(*key_cols).limit(HOT_KEYS_COLLECT_LIMIT + 1).collect()
+    if not hot_rows:
+        return df, None
+    if len(hot_rows) <= HOT_KEYS_COLLECT_LIMIT:
+        schema = df.select(*key_cols).schema
+        hot_keys = F.broadcast(df.sparkSession.createDataFrame(hot_rows, schema))
+    else:
+        hot_keys = materialize(sizes.filter(F.col("_n") > max_rows).select(*key_cols), "hot-keys")
+    cond = None
+    for c in key_cols:
+        term = df[c].eqNullSafe(hot_keys[c])
+        cond = term if cond is None else cond & term
+    return df.join(hot_keys, cond, "left_anti"), df.join(hot_keys, cond, "left_semi")
+
+
 def max_group_rows(df: DataFrame, key_cols: Sequence[str]) -> int:
     """Rows in the largest group: a partial aggregate over the key columns only."""
     row = (
