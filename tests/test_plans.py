@@ -62,3 +62,25 @@ def test_dedup_is_a_partial_aggregate(spark):
 def test_raw_customers_join_is_equi(spark, n_null_every):
     p = plan(dedup_latest(raw_customer_rows(spark, SF_SMALL)))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_driver_actions_are_bounded():
+    """Every action that brings rows to the driver in library code is on a
+    one-row aggregate, a limited list, or the per-segment distribution."""
+    import pathlib
+
+    allowed = {
+        ("customer_job.py", "customer_quality(stage, job_name).first()"),
+        ("customer_job.py", "written.count()"),
+        ("sales_job.py", "segment_distribution("),
+        ("sales_job.py", 'parquet(f"{out}/sales").count()'),
+        ("ranking.py", ".limit(HOT_KEYS_COLLECT_LIMIT + 1).collect()"),
+        ("ranking.py", ".first()"),
+    }
+    found = []
+    for path in pathlib.Path(__file__).resolve().parents[1].joinpath("tidemark").rglob("*.py"):
+        for line in path.read_text().splitlines():
+            if any(a in line for a in (".collect()", ".first()", ".toPandas()", ".count()")):
+                found.append((path.name, line.strip()))
+    for name, line in found:
+        assert any(name == f and frag in line for f, frag in allowed), (name, line)

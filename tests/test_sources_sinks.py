@@ -81,3 +81,17 @@ def test_cluster_conf_scales_partitions():
     big = cluster_conf(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+
+
+def test_null_partition_on_write(spark, tmp):
+    from tidemark.sinks import write_partitioned
+
+    df = spark.createDataFrame(
+        [(1, 2024, 1), (2, None, None), (3, 2024, 2)], "sale_id int, sales_year int, sales_month int"
+    )
+    write_partitioned(df, f"{tmp}/p", ["sales_year", "sales_month"], spread_by=["sale_id"])
+    back = spark.read.parquet(f"{tmp}/p")
+    assert rows(back, "sale_id", "sales_year", "sales_month") == [(1, 2024, 1), (2, None, None), (3, 2024, 2)]
+    import os
+
+    assert "sales_year=__HIVE_DEFAULT_PARTITION__" in os.listdir(f"{tmp}/p")
