@@ -95,3 +95,13 @@ def test_null_partition_on_write(spark, tmp):
     import os
 
     assert "sales_year=__HIVE_DEFAULT_PARTITION__" in os.listdir(f"{tmp}/p")
+
+
+def test_csv_header_is_checked(spark, tmp):
+    import pytest
+
+    with open(f"{tmp}/s.csv", "w") as fh:
+        fh.write("customer_id,sale_id,product_id,product_name,amount,sale_date\n")
+        fh.write("a,1,p,n,10,2024-01-01\n")
+    with pytest.raises(Exception):
+        read_raw(spark, f"{tmp}/s.csv", RAW_SALES).collect()

@@ -13,6 +13,9 @@ CSV_OPTIONS = {
     "quote": '"',
     "sep": ",",
     "recursiveFileLookup": "true",
+    # Check each file's header against the declared schema instead of mapping
+    # columns by position (a reordered file would otherwise load silently wrong).
+    "enforceSchema": "false",
     # Malformed values become null instead of failing the read; the quality
     # metrics and reject rows then account for them.
     "mode": "PERMISSIVE",
