@@ -361,4 +361,8 @@ SQL: dict[str, str] = {
     "CASE WHEN action IS NULL THEN '[]' ELSE "
     "'[{\"name\":\"' || target || '\",\"status\":\"' || action || '\"}]' END AS results "
     "FROM (" + ROUTING + ")",
+    "incremental_gold": f"WITH {TEXT_SALES}, {clean('text_sales')}, {METRICS}, {SEGMENTS} "
+    "SELECT m.sale_id, m.customer_id, m.amount, m.sale_date, m.monthly_total, m.yearly_total, "
+    "m.order_rank_in_month, m.running_total, s.customer_segment, s.total_orders "
+    "FROM metrics m LEFT JOIN segments s USING (customer_id)",
 }

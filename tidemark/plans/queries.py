@@ -48,7 +48,13 @@ from tidemark.session import scratch_path
 from tidemark.sinks import write_partitioned
 from tidemark.sources.events import parse_bus_events, parse_manifest
 from tidemark.sources.files import read_sales
-from tidemark.streaming.ingest import current_segments, ingest_sales, staged_clean, stream_segments
+from tidemark.streaming.ingest import (
+    current_segments,
+    ingest_and_refresh,
+    ingest_sales,
+    staged_clean,
+    stream_segments,
+)
 from tidemark.sources.tables import (
     bus_records,
     customer_as_sales,
@@ -315,6 +321,20 @@ def q_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return staged_clean(spark, staged, AS_OF).select(*ROUNDTRIP_COLUMNS)
 
 
+def q_incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """§7.4: two drops of files; each micro-batch refreshes only touched customer buckets."""
+    root = scratch_path(spark, "gold-refresh")
+    raw, staged, gold, ckpt = f"{root}/raw", f"{root}/staged", f"{root}/gold", f"{root}/_checkpoint"
+    write_orders_csv(spark, sf, f"{raw}/drop=1", "early")
+    ingest_and_refresh(spark, raw, staged, gold, ckpt, as_of=AS_OF)
+    write_orders_csv(spark, sf, f"{raw}/drop=2", "late")
+    ingest_and_refresh(spark, raw, staged, gold, ckpt, as_of=AS_OF)
+    return spark.read.parquet(gold).select(
+        "sale_id", "customer_id", "amount", "sale_date", "monthly_total", "yearly_total",
+        "order_rank_in_month", "running_total", "customer_segment", "total_orders",
+    )
+
+
 def q_rolling_segments(spark: SparkSession, sf: str) -> DataFrame:
     """K4: segments maintained by a stateful stream across two drops of files."""
     root = scratch_path(spark, "segments-stream")
@@ -403,6 +423,7 @@ QUERIES: dict[str, SalesQuery] = {
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "incremental_ingest": q_incremental_ingest,
     "rolling_segments": q_rolling_segments,
+    "incremental_gold": q_incremental_gold,
     "schema_drift": q_schema_drift,
     "inferred_types": q_inferred_types,
     "sales_customer_enriched": q_sales_customer_enriched,
