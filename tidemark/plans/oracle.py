@@ -365,4 +365,7 @@ SQL: dict[str, str] = {
     "SELECT m.sale_id, m.customer_id, m.amount, m.sale_date, m.monthly_total, m.yearly_total, "
     "m.order_rank_in_month, m.running_total, s.customer_segment, s.total_orders "
     "FROM metrics m LEFT JOIN segments s USING (customer_id)",
+    "segments_join": f"WITH {ORDERS_SALES}, {clean('orders_sales')}, {SEGMENTS} "
+    "SELECT c.customer_id, c.sale_id, c.amount, s.customer_segment, s.total_spent, s.total_orders "
+    "FROM clean c LEFT JOIN segments s USING (customer_id)",
 }

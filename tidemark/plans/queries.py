@@ -170,8 +170,17 @@ def q_top_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sales_with_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """The sales job's output: metrics plus segment columns in one plan (C1 without
+    a join when no customer is hot; see process_sales)."""
+    return process_sales(orders_clean(spark, sf))
+
+
+def q_segments_join(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 as the reference writes it: a left join of segment columns onto each sale."""
     sales = orders_clean(spark, sf)
-    return attach_segments(business_metrics(sales), customer_segments(sales))
+    return attach_segments(sales, customer_segments(sales)).select(
+        "customer_id", "sale_id", "amount", "customer_segment", "total_spent", "total_orders"
+    )
 
 
 def q_customer_quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,6 +410,7 @@ QUERIES: dict[str, SalesQuery] = {
     "running_total": q_running_total,
     "top_orders": q_top_orders,
     "sales_with_segments": q_sales_with_segments,
+    "segments_join": q_segments_join,
     "customer_quality_metrics": q_customer_quality_metrics,
     "sales_quality_metrics": q_sales_quality_metrics,
     "dedup_customers": q_dedup_customers,
