@@ -82,3 +82,12 @@ def test_null_ids_count_and_collapse(spark):
 def test_empty_percentages_zero(spark):
     m = customer_quality(raw_customers(spark, []), "job").first()
     assert (m.total_records, m.null_percentage, m.duplicate_percentage) == (0, 0.0, 0.0)
+
+
+def test_quality_from_counts_matches_operator(spark):
+    from tidemark.operators.quality import quality_from_counts
+
+    df = raw_customers(spark, [row(None), row(None), row("1"), row("1"), row("1"), row("2")])
+    m = customer_quality(df, "job").first().asDict()
+    kept = clean_customers(df).count()
+    assert quality_from_counts("job", 6, 2, kept) == m

@@ -40,6 +40,8 @@ def test_jobs_end_to_end(spark, tmp):
     sales = run_sales_job(spark, raw, out, AS_OF)
     assert sales["records_processed"] == 8
     assert sales["valid_records_percentage"] == 100.0
+    assert (sales["total_records"], sales["null_customer_ids"], sales["invalid_amounts"]) == (8, 0, 0)
+    assert cust["raw_records"] == 5 and cust["quality"]["total_records"] == 5
     assert sales["customer_segments"] == {"New": 5}
     # hive partitions recovered as ints; pruning on the written table
     written = spark.read.parquet(f"{out}/sales")

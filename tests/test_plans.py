@@ -70,7 +70,7 @@ def test_driver_actions_are_bounded():
     import pathlib
 
     allowed = {
-        ("customer_job.py", "customer_quality(stage, job_name).first()"),
+
         ("customer_job.py", "written.count()"),
         ("sales_job.py", "segment_distribution("),
         ("sales_job.py", 'parquet(f"{out}/sales").count()'),

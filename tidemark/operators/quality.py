@@ -47,6 +47,20 @@ def customer_quality(df: DataFrame, job_name: str, key: str = "customer_id") ->
     )
 
 
+def quality_from_counts(job_name: str, total: int, nulls: int, distinct_ids: int) -> dict:
+    """I1 from three observed counts (raw rows, null ids, rows after dedup): the same
+    numbers ``customer_quality`` computes, for jobs that already have the counts."""
+    dup = total - distinct_ids - (1 if nulls > 0 else 0)
+    return {
+        "job_name": job_name,
+        "total_records": total,
+        "null_records": nulls,
+        "duplicate_records": dup,
+        "null_percentage": (nulls / total) * 100 if total > 0 else 0,
+        "duplicate_percentage": (dup / total) * 100 if total > 0 else 0,
+    }
+
+
 def sales_quality(df: DataFrame) -> DataFrame:
     """Total, null customer ids, amounts <= 0, and the valid percentage.
 
