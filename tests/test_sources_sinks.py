@@ -105,3 +105,16 @@ def test_csv_header_is_checked(spark, tmp):
         fh.write("a,1,p,n,10,2024-01-01\n")
     with pytest.raises(Exception):
         read_raw(spark, f"{tmp}/s.csv", RAW_SALES).collect()
+
+
+def test_malformed_rows_quarantined(spark, tmp):
+    from tidemark.operators.sales import kept_rows, stage_sales
+
+    with open(f"{tmp}/s.csv", "w") as fh:
+        fh.write("sale_id,customer_id,product_id,product_name,amount,sale_date\n")
+        fh.write("1,a,p,n,abc,2024-01-01\n2,a,p,n,12.5,2024-01-01\n3,,p,n,5,2024-01-01\n")
+    staged = stage_sales(read_raw(spark, f"{tmp}/s.csv", RAW_SALES, keep_corrupt=True))
+    assert rows(staged, "sale_id", "reject_reason") == [("1", "malformed_row"), ("2", None), ("3", "null_customer_id")]
+    bad = staged.filter(F.col("reject_reason") == "malformed_row").first()
+    assert bad["_corrupt_record"] == "1,a,p,n,abc,2024-01-01"
+    assert kept_rows(staged).columns == [f.name for f in RAW_SALES.fields]

@@ -67,11 +67,19 @@ def clean_sales(
     return filtered.withColumns(cols)
 
 
+CORRUPT_COLUMN = "_corrupt_record"
+
+
 def reject_reason(df: DataFrame) -> Column:
-    """The first rule a raw sales row fails (null when the job keeps it)."""
+    """The first rule a raw sales row fails (null when the job keeps it). A line
+    that did not parse as the declared types (``_corrupt_record`` set) is
+    ``malformed_row``."""
     amount = typed_amount(df)
+    first = F.when(F.lit(False), F.lit(None).cast("string"))
+    if CORRUPT_COLUMN in df.columns:
+        first = F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed_row")
     return (
-        F.when(F.col("customer_id").isNull(), "null_customer_id")
+        first.when(F.col("customer_id").isNull(), "null_customer_id")
         .when(amount.isNull(), "null_amount")
         .when(amount <= 0, "non_positive_amount")
     )
@@ -83,6 +91,12 @@ def stage_sales(raw: DataFrame) -> DataFrame:
     return raw.withColumns({"amount": typed_amount(raw), "reject_reason": reject_reason(raw)})
 
 
+def kept_rows(staged: DataFrame) -> DataFrame:
+    """The staged rows the job keeps, without the staging-only columns."""
+    drop = [c for c in ("reject_reason", CORRUPT_COLUMN, "batch_id") if c in staged.columns]
+    return staged.filter(F.col("reject_reason").isNull()).drop(*drop)
+
+
 def reject_sales(df: DataFrame, as_of: _dt.datetime | str | None = None) -> DataFrame:
     """Rows the sales job drops, with the first failing reason."""
     return (

@@ -54,18 +54,18 @@ def run_customer_job(
         clean = clean_customers(stage, as_of, job_name)
         write_partitioned(clean, f"{out}/customers", ["registration_year"], spread_by=["customer_id"])
         written = spark.read.parquet(f"{out}/customers")
-        kept_rows = written.count()
+        kept_count = written.count()
         write_plain(
             customer_lineage(written, raw_path(raw_root, CUSTOMERS_PREFIX), as_of), f"{out}/lineage/customers"
         )
         if database:
             save_table(written, database, "processed_customers", ["registration_year"])
-        metrics = quality_from_counts(job_name, obs.get["total_records"], obs.get["null_records"], kept_rows)
+        metrics = quality_from_counts(job_name, obs.get["total_records"], obs.get["null_records"], kept_count)
         log_summary(spark, f"{out}/pipeline_events", run_id, "Data Quality Check", metrics)
         summary = {
             "job_name": job_name,
             "status": "SUCCESS",
-            "records_processed": kept_rows,
+            "records_processed": kept_count,
             "raw_records": obs.get["total_records"],
             "output_path": f"{out}/customers",
         }

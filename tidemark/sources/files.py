@@ -27,10 +27,30 @@ def raw_path(bucket_uri: str, prefix: str) -> str:
     return f"{bucket_uri.rstrip('/')}/{prefix}"
 
 
+CORRUPT_COLUMN = "_corrupt_record"
+
+
+def with_corrupt_column(schema: T.StructType, name: str = CORRUPT_COLUMN) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(name, T.StringType())])
+
+
 def read_raw(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv", **options: str
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "csv",
+    keep_corrupt: bool = False,
+    **options: str,
 ) -> DataFrame:
-    """Typed batch read of raw files under ``path`` (all subfolders)."""
+    """Typed batch read of raw files under ``path`` (all subfolders).
+
+    With ``keep_corrupt`` a line whose values do not parse as the declared types
+    keeps its raw text in ``_corrupt_record`` (its typed fields are null), so the
+    job can quarantine it instead of silently treating the value as missing.
+    """
+    if keep_corrupt:
+        schema = with_corrupt_column(schema)
+        options = {"columnNameOfCorruptRecord": CORRUPT_COLUMN, **options}
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
@@ -41,23 +61,32 @@ def read_raw(
     return reader.options(**options).format(fmt).load(path)
 
 
-def read_customers(spark: SparkSession, root: str, fmt: str = "csv") -> DataFrame:
+def read_customers(spark: SparkSession, root: str, fmt: str = "csv", keep_corrupt: bool = False) -> DataFrame:
     """A1: raw customers under ``<root>/customers/``."""
-    return read_raw(spark, raw_path(root, CUSTOMERS_PREFIX), RAW_CUSTOMERS, fmt)
+    return read_raw(spark, raw_path(root, CUSTOMERS_PREFIX), RAW_CUSTOMERS, fmt, keep_corrupt)
 
 
-def read_sales(spark: SparkSession, root: str, fmt: str = "csv") -> DataFrame:
+def read_sales(spark: SparkSession, root: str, fmt: str = "csv", keep_corrupt: bool = False) -> DataFrame:
     """A2: raw sales under ``<root>/sales/``."""
-    return read_raw(spark, raw_path(root, SALES_PREFIX), RAW_SALES, fmt)
+    return read_raw(spark, raw_path(root, SALES_PREFIX), RAW_SALES, fmt, keep_corrupt)
 
 
 def stream_raw(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv", max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "csv",
+    max_files: int | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """A4: the same typed read as a file stream: each trigger sees only new files."""
+    if keep_corrupt:
+        schema = with_corrupt_column(schema)
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
+    if keep_corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.format(fmt).load(path)

@@ -26,8 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import TOTAL_TYPE
 from tidemark.functions import customer_segment
-from tidemark.operators.sales import clean_sales
-from tidemark.operators.sales import stage_sales
+from tidemark.operators.sales import clean_sales, kept_rows, stage_sales
 from tidemark.plans.sales_job import process_sales
 from tidemark.schemas import RAW_SALES
 from tidemark.sinks import write_partitioned, write_plain
@@ -44,7 +43,7 @@ def ingest_sales(
 ):
     """Run the ingest stream. Default trigger: availableNow (all new files, then stop);
     with ``processing_time`` it keeps running (event-driven arrival, K2)."""
-    staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt))
+    staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt, keep_corrupt=True))
     writer = (
         staged.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -60,11 +59,7 @@ def ingest_sales(
 
 def staged_clean(spark: SparkSession, staged_path: str, as_of: _dt.datetime | str | None = None) -> DataFrame:
     """The valid staged rows, cleaned (the input of every gold table)."""
-    stage = spark.read.parquet(staged_path)
-    valid = stage.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    if "batch_id" in valid.columns:
-        valid = valid.drop("batch_id")
-    return clean_sales(valid, as_of)
+    return clean_sales(kept_rows(spark.read.parquet(staged_path)), as_of)
 
 
 def rebuild_sales_gold(
@@ -141,7 +136,7 @@ def ingest_and_refresh(
     """One stream run (availableNow): each micro-batch appends its staged rows
     (``batch_id`` partition, overwritten on replay) and refreshes the gold buckets
     of the customers it touched."""
-    staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt))
+    staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt, keep_corrupt=True))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         (
@@ -192,8 +187,7 @@ def stream_segments(
 ):
     """K4: run the segment stream once over all new files (availableNow)."""
     stream = stream_raw(spark, raw_dir, RAW_SALES, fmt)
-    clean = clean_sales(stage_sales(stream).filter(F.col("reject_reason").isNull()).drop("reject_reason"),
-                        with_provenance=False)
+    clean = clean_sales(kept_rows(stage_sales(stream)), with_provenance=False)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         (
