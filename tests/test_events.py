@@ -42,17 +42,17 @@ def test_manifest_validation(spark):
     ]
 
 
-def s3_event(key):
+def file_event(key):
     return {"source": "aws.s3", "detail-type": "Object Created", "detail": {"bucket": {"name": "raw"}, "object": {"key": key}}}
 
 
 def test_classify_and_route(spark):
     docs = [
-        s3_event("customers/a.csv"),
-        s3_event("sales/2024/b.csv"),
-        s3_event("customers/sales/c.csv"),
-        s3_event("sales/d.CSV"),
-        s3_event("other/e.json"),
+        file_event("customers/a.csv"),
+        file_event("sales/2024/b.csv"),
+        file_event("customers/sales/c.csv"),
+        file_event("sales/d.CSV"),
+        file_event("other/e.json"),
         {"source": "aws.events", "detail-type": "Scheduled Event", "resources": ["rule Scheduled Event"]},
         {"source": "aws.events", "detail-type": "Scheduled Event", "resources": []},
         {"source": "aws.glue", "detail-type": "Glue Job State Change", "detail": {"jobName": CUST, "state": "SUCCEEDED"}},
@@ -61,14 +61,14 @@ def test_classify_and_route(spark):
     ]
     out = match_rules(route_events(classify_events(parse_bus_events(bodies(spark, docs)))), ["raw"], [CUST])
     got = {r["id"]: (r["event_class"], r["action"], r["target"], r["matched_rule"]) for r in out.collect()}
-    assert got[0] == ("s3_object_created", "start_job", CUST, "s3_object_created")
-    assert got[1] == ("s3_object_created", "start_job", SALES, "s3_object_created")
+    assert got[0] == ("file_created", "start_job", CUST, "file_created")
+    assert got[1] == ("file_created", "start_job", SALES, "file_created")
     assert got[2][2] == CUST  # first match wins
     assert got[3][2] == SALES
     assert got[4][1:3] == (None, None)
     assert got[5][:2] == ("scheduled", "start_workflow")
     assert got[6][0] == "other"
-    assert got[7] == ("job_state_change", "job_succeeded", CUST, "glue_job_state_change")
+    assert got[7] == ("job_state_change", "job_succeeded", CUST, "job_state_rule")
     assert got[8] == ("job_state_change", "job_failed", SALES, None)
     assert got[9][0] == "other"
 

@@ -38,12 +38,12 @@ VALID_SUFFIX = ".csv"
 DATE_FORMAT = "yyyy-MM-dd"
 
 # --- fixed values: event shapes ---
-S3_SOURCE = "aws.s3"
-S3_DETAIL_TYPE = "Object Created"
+FILE_EVENT_SOURCE = "aws.s3"
+FILE_CREATED_DETAIL_TYPE = "Object Created"
 SCHEDULE_SOURCE = "aws.events"
 SCHEDULE_MARKER = "Scheduled Event"
-GLUE_SOURCE = "aws.glue"
-GLUE_DETAIL_TYPE = "Glue Job State Change"
+JOB_EVENT_SOURCE = "aws.glue"
+JOB_STATE_DETAIL_TYPE = "Glue Job State Change"
 STATE_SUCCEEDED = "SUCCEEDED"
 STATE_FAILED = "FAILED"
 UNKNOWN_ERROR = "Unknown error"

@@ -1,6 +1,6 @@
 """Schema discovery and drift over raw text columns (A11, re-aimed).
 
-The reference runs a crawler daily that infers the raw files' schema and updates
+The reference runs a daily schema-discovery pass over the raw files and updates
 the catalog in place. Here inference reads *all* rows of the text columns (no
 sample): every value is classified once (integer, decimal, date, boolean, text)
 and the kinds are counted per column in one partial aggregate. The widest type

@@ -16,12 +16,12 @@ from tidemark.constants import (
     CUSTOMER_JOB,
     CUSTOMERS_PREFIX,
     ENVIRONMENT_DEFAULT,
-    GLUE_DETAIL_TYPE,
-    GLUE_SOURCE,
+    JOB_STATE_DETAIL_TYPE,
+    JOB_EVENT_SOURCE,
     INVALID_FILE_MESSAGE,
     PROJECT_DEFAULT,
-    S3_DETAIL_TYPE,
-    S3_SOURCE,
+    FILE_CREATED_DETAIL_TYPE,
+    FILE_EVENT_SOURCE,
     SALES_JOB,
     SALES_PREFIX,
     SCHEDULE_MARKER,
@@ -62,7 +62,7 @@ def validate_manifest(records: DataFrame, suffix: str = VALID_SUFFIX) -> DataFra
 
 
 def classify_events(events: DataFrame) -> DataFrame:
-    """event_class by first match — s3_object_created, scheduled, job_state_change, other.
+    """event_class by first match — file_created, scheduled, job_state_change, other.
 
     As in the reference, a scheduled event is recognised by the marker text in
     ``resources[0]`` (missing or empty list → not scheduled).
@@ -70,9 +70,9 @@ def classify_events(events: DataFrame) -> DataFrame:
     src, dtype = F.col("source"), F.col("detail_type")
     first_resource = F.coalesce(F.get(F.col("resources"), 0), F.lit(""))
     cls = (
-        F.when((src == S3_SOURCE) & (dtype == S3_DETAIL_TYPE), F.lit("s3_object_created"))
+        F.when((src == FILE_EVENT_SOURCE) & (dtype == FILE_CREATED_DETAIL_TYPE), F.lit("file_created"))
         .when((src == SCHEDULE_SOURCE) & first_resource.contains(SCHEDULE_MARKER), F.lit("scheduled"))
-        .when((src == GLUE_SOURCE) & (dtype == GLUE_DETAIL_TYPE), F.lit("job_state_change"))
+        .when((src == JOB_EVENT_SOURCE) & (dtype == JOB_STATE_DETAIL_TYPE), F.lit("job_state_change"))
         .otherwise(F.lit("other"))
     )
     return events.withColumn("event_class", cls)
@@ -94,14 +94,14 @@ def route_events(
     cls = F.col("event_class")
     state = F.col("state")
     action = (
-        F.when((cls == "s3_object_created") & job.isNotNull(), F.lit("start_job"))
+        F.when((cls == "file_created") & job.isNotNull(), F.lit("start_job"))
         .when(cls == "scheduled", F.lit("start_workflow"))
         .when((cls == "job_state_change") & (state == STATE_SUCCEEDED), F.lit("job_succeeded"))
         .when((cls == "job_state_change") & (state == STATE_FAILED), F.lit("job_failed"))
         .when(cls == "job_state_change", F.lit("job_state_recorded"))
     )
     target = (
-        F.when((cls == "s3_object_created") & job.isNotNull(), job_full_name(job, project, environment))
+        F.when((cls == "file_created") & job.isNotNull(), job_full_name(job, project, environment))
         .when(cls == "scheduled", job_full_name(F.lit("main-workflow"), project, environment))
         .when(cls == "job_state_change", F.col("job_name"))
     )
@@ -115,11 +115,11 @@ def match_rules(
     state change of a known job. The schedule rule has no pattern (cron)."""
     src, dtype = F.col("source"), F.col("detail_type")
     rule = F.when(
-        (src == S3_SOURCE) & (dtype == S3_DETAIL_TYPE) & F.col("bucket").isin(*raw_buckets),
-        F.lit("s3_object_created"),
+        (src == FILE_EVENT_SOURCE) & (dtype == FILE_CREATED_DETAIL_TYPE) & F.col("bucket").isin(*raw_buckets),
+        F.lit("file_created"),
     ).when(
-        (src == GLUE_SOURCE) & (dtype == GLUE_DETAIL_TYPE) & F.col("job_name").isin(*job_names),
-        F.lit("glue_job_state_change"),
+        (src == JOB_EVENT_SOURCE) & (dtype == JOB_STATE_DETAIL_TYPE) & F.col("job_name").isin(*job_names),
+        F.lit("job_state_rule"),
     )
     return events.withColumn("matched_rule", rule)
 

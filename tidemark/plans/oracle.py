@@ -207,18 +207,18 @@ FROM (
 
 ROUTING = (
     "SELECT event_id, event_type, event_class, "
-    "CASE WHEN event_class = 's3_object_created' AND job IS NOT NULL THEN 'start_job' "
+    "CASE WHEN event_class = 'file_created' AND job IS NOT NULL THEN 'start_job' "
     "WHEN event_class = 'scheduled' THEN 'start_workflow' "
     "WHEN event_class = 'job_state_change' AND state = 'SUCCEEDED' THEN 'job_succeeded' "
     "WHEN event_class = 'job_state_change' AND state = 'FAILED' THEN 'job_failed' END AS action, "
-    "CASE WHEN event_class = 's3_object_created' AND job IS NOT NULL THEN 'data-pipeline-' || job || '-dev' "
+    "CASE WHEN event_class = 'file_created' AND job IS NOT NULL THEN 'data-pipeline-' || job || '-dev' "
     "WHEN event_class = 'scheduled' THEN 'data-pipeline-main-workflow-dev' "
     "WHEN event_class = 'job_state_change' THEN job_name END AS target, "
-    "CASE WHEN event_type = 'view' THEN 's3_object_created' "
+    "CASE WHEN event_type = 'view' THEN 'file_created' "
     "WHEN event_class = 'job_state_change' AND job_name = 'data-pipeline-customer-data-etl-dev' "
-    "THEN 'glue_job_state_change' END AS matched_rule "
+    "THEN 'job_state_rule' END AS matched_rule "
     "FROM (SELECT event_id, event_type, "
-    "CASE WHEN event_type = 'view' THEN 's3_object_created' "
+    "CASE WHEN event_type = 'view' THEN 'file_created' "
     "WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'scheduled' "
     "WHEN event_type IN ('purchase', 'error') THEN 'job_state_change' ELSE 'other' END AS event_class, "
     "CASE WHEN event_type = 'view' THEN (CASE WHEN contains(COALESCE(k, ''), 'customers/') "

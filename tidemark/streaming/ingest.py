@@ -1,7 +1,7 @@
 """Incremental ingestion (A4, K1, K2, K4) and the gold rebuild.
 
-The reference gets incrementality from job bookmarks: each run sees only new
-files, and then computes windows, dedup and segments *per batch* — so a
+The reference gets incrementality from per-job run state: each run sees only
+new files, and then computes windows, dedup and segments *per batch* — so a
 customer's totals are wrong as soon as their sales span two runs. Here:
 
 * ``ingest_sales`` — a file stream (only new files per trigger) appends staged
