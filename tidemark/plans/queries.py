@@ -357,7 +357,8 @@ def q_rolling_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 def orders_text_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Two arrivals of one raw table as text: the later one drops o_orderstatus,
-    adds o_channel, writes some customer keys as codes and prices with a currency sign."""
+    adds a boolean o_channel, writes some customer keys as codes ('C-…') and the
+    priority as its leading digit."""
     o = load(spark, sf, "orders")
     old = o.select(
         F.col("o_orderkey").cast("string").alias("o_orderkey"),

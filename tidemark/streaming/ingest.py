@@ -40,10 +40,12 @@ def ingest_sales(
     checkpoint: str,
     fmt: str = "csv",
     processing_time: str | None = None,
+    max_files: int | None = None,
 ):
     """Run the ingest stream. Default trigger: availableNow (all new files, then stop);
-    with ``processing_time`` it keeps running (event-driven arrival, K2)."""
-    staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt, keep_corrupt=True))
+    with ``processing_time`` it keeps running (event-driven arrival, K2).
+    ``max_files`` caps files per micro-batch (all files are still read)."""
+    staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt, max_files, keep_corrupt=True))
     writer = (
         staged.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -132,11 +134,12 @@ def ingest_and_refresh(
     buckets: int = DEFAULT_BUCKETS,
     as_of: _dt.datetime | str | None = None,
     fmt: str = "csv",
+    max_files: int | None = None,
 ):
     """One stream run (availableNow): each micro-batch appends its staged rows
     (``batch_id`` partition, overwritten on replay) and refreshes the gold buckets
     of the customers it touched."""
-    staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt, keep_corrupt=True))
+    staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt, max_files, keep_corrupt=True))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         (
