@@ -24,6 +24,7 @@ HEADLINE = (
     "sales_enriched",
     "business_metrics",
     "business_metrics_skew_safe",
+    "business_metrics_hot_customer",
     "sales_with_segments",
     "order_rank_in_month",
     "running_total",

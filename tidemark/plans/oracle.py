@@ -368,4 +368,11 @@ SQL: dict[str, str] = {
     "segments_join": f"WITH {ORDERS_SALES}, {clean('orders_sales')}, {SEGMENTS} "
     "SELECT c.customer_id, c.sale_id, c.amount, s.customer_segment, s.total_spent, s.total_orders "
     "FROM clean c LEFT JOIN segments s USING (customer_id)",
+    "business_metrics_hot_customer": "WITH hot_sales AS (SELECT o_orderkey AS sale_id, "
+    "CASE WHEN o_orderkey % 3 = 0 THEN CAST(-1 AS BIGINT) ELSE o_custkey END AS customer_id, "
+    "o_orderstatus AS product_id, o_orderpriority AS product_name, "
+    "CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(o_orderdate AS DATE) AS sale_date FROM orders), "
+    f"{clean('hot_sales')}, {METRICS}, {SEGMENTS} "
+    "SELECT m.*, s.customer_segment, s.total_spent, s.total_orders "
+    "FROM metrics m LEFT JOIN segments s USING (customer_id)",
 }

@@ -64,6 +64,7 @@ from tidemark.sources.tables import (
     load,
     manifest_records,
     orders_as_sales,
+    orders_with_hot_customer,
     part_ages,
     raw_customers,
 )
@@ -145,6 +146,16 @@ def q_business_metrics_skew_safe(spark: SparkSession, sf: str) -> DataFrame:
     return business_metrics(orders_clean(spark, sf), strategy="skew_safe")
 
 
+HOT_MAX_ROWS = 1000
+
+
+def q_business_metrics_hot_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the orders under one customer; ``auto`` sends that customer's rows
+    to the skew-safe plan and all others to the window plan."""
+    sales = clean_sales(orders_with_hot_customer(load(spark, sf, "orders")), as_of=AS_OF)
+    return process_sales(sales, "auto", max_rows=HOT_MAX_ROWS)
+
+
 def q_order_rank_in_month(spark: SparkSession, sf: str) -> DataFrame:
     return order_rank(orders_clean(spark, sf)).select(
         "sale_id", "customer_id", "sales_month", "amount", "order_rank_in_month"
@@ -406,6 +417,7 @@ QUERIES: dict[str, SalesQuery] = {
     "amount_bands": q_amount_bands,
     "business_metrics": q_business_metrics,
     "business_metrics_skew_safe": q_business_metrics_skew_safe,
+    "business_metrics_hot_customer": q_business_metrics_hot_customer,
     "order_rank_in_month": q_order_rank_in_month,
     "order_rank_skew_safe": q_order_rank_skew_safe,
     "running_total": q_running_total,

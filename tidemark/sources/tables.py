@@ -38,6 +38,16 @@ def orders_as_sales(orders: DataFrame, null_customer_every: int | None = None) -
     )
 
 
+def orders_with_hot_customer(orders: DataFrame, every: int = 3, hot_key: int = -1) -> DataFrame:
+    """orders as sales where every ``every``-th order belongs to one hot customer:
+    a third of all rows under one key, growing with the table."""
+    sales = orders_as_sales(orders)
+    return sales.withColumn(
+        "customer_id",
+        F.when(F.col("sale_id") % every == 0, F.lit(hot_key).cast("bigint")).otherwise(F.col("customer_id")),
+    )
+
+
 def events_as_sales(events: DataFrame, scale: int = 4, bad_date_every: int = 97) -> DataFrame:
     """events → raw sales with date *text*; every ``bad_date_every``-th id gets 'bad'.
 
