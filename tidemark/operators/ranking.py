@@ -4,8 +4,8 @@
 customer holding a third of the data would then be sorted by one core. Here the
 rows are range-partitioned on (group, order) instead, so a hot group is cut into
 many contiguous slices of the sort order, one per range partition. Each slice is
-numbered locally, and each slice's offset is the number of rows of its group in
-earlier slices, summed over a small (group, slice) count table.
+numbered while it is written, and each slice's offset is the number of rows of
+its group in earlier slices, summed over a small (group, slice) table.
 """
 
 from __future__ import annotations
@@ -34,36 +34,44 @@ def row_number_skew_safe(
 ) -> DataFrame:
     """Add ``name`` = row_number() over (partition by group_cols order by order).
 
-    ``order`` must be a total order within a group (add a unique tie-breaker),
+    Rows are range-partitioned on (group, order) into ``num_slices`` slices and
+    sorted inside each slice; every row records its slice and its position in the
+    slice. Then rank = position - (first position of the group in the slice) + 1
+    + (rows of the group in earlier slices), where the last two come from a
+    (group, slice) table with at most (groups + slices) rows. That table is joined
+    back by adaptive execution: broadcast when it is small (few, hot groups), so
+    the rows are shuffled once; otherwise a sort-merge join.
+
+    ``order`` should be a total order within a group (add a unique tie-breaker),
     as for any repeatable row_number.
     """
     spark = df.sparkSession
     n = num_slices or shuffle_partitions(spark)
+    key = _key(group_cols)
     # The range partitioner samples with a seed taken from its RDD id, so two plan
-    # branches would cut different slices. Write the sliced rows once (slice number
-    # as a column) to a table in the shared checkpoint folder, which also cuts the
-    # lineage, and let both branches read that table.
+    # branches would cut different slices. Write the sliced rows once (slice and
+    # position as columns) to a table in the shared checkpoint folder, which also
+    # cuts the lineage, and let both branches read that table.
     ranged = materialize(
-        df.repartitionByRange(n, _key(group_cols), *order).withColumn("_rk_slice", F.spark_partition_id()),
+        df.repartitionByRange(n, key, *order)
+        .sortWithinPartitions(key, *order)
+        .withColumns({"_rk_slice": F.spark_partition_id(), "_rk_pos": F.monotonically_increasing_id()}),
         "rank-slices",
-    ).withColumn("_rk_grp", _key(group_cols))
-    local = ranged.withColumn(
-        "_rk_local",
-        F.row_number().over(Window.partitionBy("_rk_grp", "_rk_slice").orderBy(*order)),
-    )
+    ).withColumn("_rk_grp", key)
     before = Window.partitionBy("_rk_grp").orderBy("_rk_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
-        local.groupBy("_rk_grp", "_rk_slice")
-        .agg(F.count(F.lit(1)).alias("_rk_n"))
+        ranged.groupBy("_rk_grp", "_rk_slice")
+        .agg(F.min("_rk_pos").alias("_rk_start"), F.count(F.lit(1)).alias("_rk_n"))
         .withColumn("_rk_before", F.coalesce(F.sum("_rk_n").over(before), F.lit(0)))
         .drop("_rk_n")
     )
+    rank = F.col("_rk_pos") - F.col("_rk_start") + 1 + F.col("_rk_before")
     return (
-        local.join(offsets, ["_rk_grp", "_rk_slice"])
-        .withColumn(name, (F.col("_rk_local") + F.col("_rk_before")).cast("int"))
-        .drop("_rk_grp", "_rk_slice", "_rk_local", "_rk_before")
+        ranged.join(offsets, ["_rk_grp", "_rk_slice"])
+        .withColumn(name, rank.cast("int"))
+        .drop("_rk_grp", "_rk_slice", "_rk_pos", "_rk_start", "_rk_before")
     )
 
 
