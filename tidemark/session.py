@@ -90,4 +90,5 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: skip the footer-reading inference job on the way back.
+    return spark.read.schema(df.schema).parquet(path)
