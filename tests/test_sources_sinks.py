@@ -118,3 +118,19 @@ def test_malformed_rows_quarantined(spark, tmp):
     bad = staged.filter(F.col("reject_reason") == "malformed_row").first()
     assert bad["_corrupt_record"] == "1,a,p,n,abc,2024-01-01"
     assert kept_rows(staged).columns == [f.name for f in RAW_SALES.fields]
+
+
+def test_release_scratch_deletes_only_materialized(spark, tmp):
+    import os
+
+    from tidemark.session import materialize, release_scratch, scratch_mark
+
+    keep = f"{tmp}/keep"
+    spark.range(3).write.parquet(keep)
+    earlier = materialize(spark.range(2), "earlier")  # another DataFrame still depends on it
+    mark = scratch_mark()
+    m = materialize(spark.range(5), "t")
+    assert m.count() == 5
+    released = release_scratch(spark, mark)
+    assert len(released) == 1 and not os.path.exists(released[0].replace("file:", ""))
+    assert os.path.exists(keep) and earlier.count() == 2

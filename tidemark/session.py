@@ -81,14 +81,44 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_MATERIALIZED: list[str] = []
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor recomputes from this table, not from the
     sources) and pins any run-dependent values (such as partition ids) as data.
+    The path is remembered so a job can ``release_scratch`` once its outputs are
+    written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _MATERIALIZED.append(path)
     df.write.mode("overwrite").parquet(path)
     # The schema is known: skip the footer-reading inference job on the way back.
     return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_mark() -> int:
+    """A marker for ``release_scratch``: tables materialized after it belong to the caller."""
+    return len(_MATERIALIZED)
+
+
+def release_scratch(spark: SparkSession, mark: int = 0) -> list[str]:
+    """Delete the tables ``materialize`` wrote since ``mark`` (and only those).
+
+    A job takes a mark when it starts and releases in ``finally`` after its last
+    write, so tables other, still-lazy DataFrames depend on are never touched.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    released = []
+    while len(_MATERIALIZED) > mark:
+        path = _MATERIALIZED.pop()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+        released.append(path)
+    return released

@@ -29,6 +29,7 @@ from tidemark.functions import customer_segment
 from tidemark.operators.sales import clean_sales, kept_rows, stage_sales
 from tidemark.plans.sales_job import process_sales
 from tidemark.schemas import RAW_SALES
+from tidemark.session import release_scratch, scratch_mark
 from tidemark.sinks import write_partitioned, write_plain
 from tidemark.sources.files import stream_raw
 
@@ -77,11 +78,13 @@ def rebuild_sales_gold(
     from tidemark.operators.segments import customer_segments
 
     out = f"{gold_root.rstrip('/')}/v={version}"
+    mark = scratch_mark()
     clean = staged_clean(spark, staged_path, as_of)
     write_partitioned(
         process_sales(clean, strategy), f"{out}/sales", ["sales_year", "sales_month"], spread_by=["customer_id"]
     )
     write_plain(customer_segments(clean), f"{out}/customer_segments")
+    release_scratch(spark, mark)
     return out
 
 
@@ -112,6 +115,7 @@ def refresh_sales_gold(
     replaced (dynamic overwrite), so a replayed batch rewrites the same buckets.
     ``touched_buckets`` has at most ``buckets`` rows, so broadcasting it is safe.
     """
+    mark = scratch_mark()
     clean = staged_clean(spark, staged_path, as_of).withColumn("customer_bucket", customer_bucket(buckets))
     affected = clean.join(F.broadcast(touched_buckets), "customer_bucket", "left_semi").drop("customer_bucket")
     out = process_sales(affected, strategy).withColumn("customer_bucket", customer_bucket(buckets))
@@ -123,6 +127,7 @@ def refresh_sales_gold(
         .partitionBy("customer_bucket")
         .parquet(gold_path)
     )
+    release_scratch(spark, mark)
 
 
 def ingest_and_refresh(
