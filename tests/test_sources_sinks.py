@@ -134,3 +134,13 @@ def test_release_scratch_deletes_only_materialized(spark, tmp):
     released = release_scratch(spark, mark)
     assert len(released) == 1 and not os.path.exists(released[0].replace("file:", ""))
     assert os.path.exists(keep) and earlier.count() == 2
+
+
+def test_read_processed_merges_schemas(spark, tmp):
+    from tidemark.sources.files import read_processed
+
+    spark.createDataFrame([(1, "a")], "id int, v string").write.parquet(f"{tmp}/t/run=1")
+    spark.createDataFrame([(2, "b", 3.5)], "id int, v string, extra double").write.parquet(f"{tmp}/t/run=2")
+    got = read_processed(spark, f"{tmp}/t")
+    assert sorted(got.columns) == ["extra", "id", "run", "v"]
+    assert rows(got, "id", "extra") == [(1, None), (2, 3.5)]

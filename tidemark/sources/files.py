@@ -90,3 +90,9 @@ def stream_raw(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.format(fmt).load(path)
+
+
+def read_processed(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
+    """Processed Parquet whose files may come from runs with different column sets
+    (A11 on the processed side): the union of the columns, missing ones null."""
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
