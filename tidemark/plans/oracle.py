@@ -375,4 +375,12 @@ SQL: dict[str, str] = {
     f"{clean('hot_sales')}, {METRICS}, {SEGMENTS} "
     "SELECT m.*, s.customer_segment, s.total_spent, s.total_orders "
     "FROM metrics m LEFT JOIN segments s USING (customer_id)",
+    "mapped_customers": f"WITH {RAW_CUSTOMERS} "
+    "SELECT customer_id, concat_ws(' ', first_name, last_name) AS full_name, email, "
+    "regexp_extract(email, '@(.+)', 1) AS email_domain, phone, age, "
+    "CASE WHEN age < 25 THEN 'Young' WHEN age < 45 THEN 'Adult' WHEN age < 65 THEN 'Middle-aged' "
+    "ELSE 'Senior' END AS age_group, city, state, "
+    "CAST(year(registration_date) AS INTEGER) AS registration_year, "
+    f"{TS} AS processed_timestamp, 'customer_system' AS data_source, "
+    "'customer-data-etl' AS etl_job_name FROM raw_customers",
 }

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import CUSTOMER_JOB, SALES_JOB
 from tidemark.functions import age_group, email_domain, full_name
-from tidemark.operators.customers import clean_customers, dedup_latest
+from tidemark.operators.customers import clean_customers, dedup_latest, enrich_customers, map_customers
 from tidemark.operators.drift import infer_types, schema_drift
 from tidemark.operators.events import (
     classify_events,
@@ -211,6 +211,12 @@ def q_processed_customers(spark: SparkSession, sf: str) -> DataFrame:
     return clean_customers(raw_customer_rows(spark, sf), as_of=AS_OF)
 
 
+def q_mapped_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """B12 alone: every raw customer row (no filter, no dedup) enriched and mapped
+    to the 13-column contract with its explicit casts."""
+    return map_customers(enrich_customers(raw_customer_rows(spark, sf), as_of=AS_OF))
+
+
 def q_age_groups(spark: SparkSession, sf: str) -> DataFrame:
     return part_ages(load(spark, sf, "part")).withColumn("age_group", age_group("age"))
 
@@ -428,6 +434,7 @@ QUERIES: dict[str, SalesQuery] = {
     "sales_quality_metrics": q_sales_quality_metrics,
     "dedup_customers": q_dedup_customers,
     "processed_customers": q_processed_customers,
+    "mapped_customers": q_mapped_customers,
     "age_groups": q_age_groups,
     "email_domain": q_email_domain,
     "full_name": q_full_name,
