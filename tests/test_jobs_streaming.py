@@ -164,3 +164,20 @@ def test_many_small_batches_equal_one_shot(spark, tmp):
     full = process_sales(clean_sales(df, AS_OF), "window")
     got = spark.read.parquet(gold).drop("customer_bucket").select(*full.columns)
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+
+
+def test_segment_compaction(spark, tmp):
+    from tidemark.streaming.ingest import compact_segment_updates
+
+    raw, upd, base, ckpt = f"{tmp}/raw", f"{tmp}/updates", f"{tmp}/base", f"{tmp}/ckpt"
+    split_sales(spark, f"{raw}/a", 1)
+    stream_segments(spark, raw, upd, ckpt)
+    top = compact_segment_updates(spark, upd, base)
+    assert top == 0 and not [d for d in os.listdir(upd) if d.startswith("batch_id=")]
+    split_sales(spark, f"{raw}/b", 2)
+    stream_segments(spark, raw, upd, ckpt)  # new batch lands after the base
+    full = customer_segments(clean_sales(read_raw(spark, f"{DATA}/sales.csv", RAW_SALES)))
+    cols = ["customer_id", "total_spent", "total_orders", "first_purchase_date", "last_purchase_date", "customer_segment"]
+    assert rows(current_segments(spark, upd, base), *cols) == rows(full, *cols)
+    assert compact_segment_updates(spark, upd, base) == 1
+    assert rows(current_segments(spark, upd, base), *cols) == rows(full, *cols)

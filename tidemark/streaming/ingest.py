@@ -218,17 +218,78 @@ def stream_segments(
     return query
 
 
-def current_segments(spark: SparkSession, updates_path: str) -> DataFrame:
-    """Latest state per customer across update batches, finished into segment columns.
+STATE_COLUMNS = ("spent", "orders", "amounts", "last_purchase_date", "first_purchase_date")
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _numbered(spark: SparkSession, root: str, prefix: str, need_success: bool = False) -> list[int]:
+    """Sorted n of the ``<prefix>=<n>`` folders under ``root`` (metadata listing only)."""
+    p, fs = _hadoop_fs(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if not name.startswith(prefix + "="):
+            continue
+        if need_success and not fs.exists(st.getPath().suffix("/_SUCCESS")):
+            continue  # an unfinished write
+        out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
+def _latest_state(spark: SparkSession, updates_path: str, base_path: str | None) -> DataFrame:
+    """Latest raw state per customer: the newest complete base plus the update
+    batches newer than it (older batches are not read at all)."""
+    root = updates_path.rstrip("/")
+    version = None
+    parts = []
+    if base_path:
+        done = _numbered(spark, base_path, "v", need_success=True)
+        if done:
+            version = done[-1]
+            base = spark.read.parquet(f"{base_path.rstrip('/')}/v={version}")
+            parts.append(base.withColumn("batch_id", F.lit(version)))
+    batches = [b for b in _numbered(spark, root, "batch_id") if version is None or b > version]
+    if batches:
+        newer = spark.read.option("basePath", root).parquet(*[f"{root}/batch_id={b}" for b in batches])
+        parts.append(newer.select("customer_id", *STATE_COLUMNS, F.col("batch_id").cast("int")))
+    if not parts:
+        raise ValueError(f"no segment state under {updates_path}")
+    state = parts[0].withColumn("batch_id", F.col("batch_id").cast("int"))
+    for extra in parts[1:]:
+        state = state.unionByName(extra)
+    return state.groupBy("customer_id").agg(F.max_by(F.struct(*STATE_COLUMNS), F.col("batch_id")).alias("s"))
+
+
+def compact_segment_updates(spark: SparkSession, updates_path: str, base_path: str) -> int | None:
+    """Fold the update batches into ``<base_path>/v=<last batch>`` and delete the
+    batches it covers. Crash-safe: the base is complete (``_SUCCESS``) before any
+    batch is deleted, and readers ignore batches at or below the newest base."""
+    batches = _numbered(spark, updates_path.rstrip("/"), "batch_id")
+    if not batches:
+        return None
+    top = batches[-1]
+    latest = _latest_state(spark, updates_path, base_path).select("customer_id", "s.*")
+    latest.write.mode("overwrite").parquet(f"{base_path.rstrip('/')}/v={top}")
+    for b in batches:
+        p, fs = _hadoop_fs(spark, f"{updates_path.rstrip('/')}/batch_id={b}")
+        fs.delete(p, True)
+    return top
+
+
+def current_segments(spark: SparkSession, updates_path: str, base_path: str | None = None) -> DataFrame:
+    """Latest state per customer (base + newer update batches), finished into segment columns.
 
     ``max_by`` over batch_id is an aggregate (combined map-side), so a customer
     updated in every batch is still reduced before the shuffle.
     """
-    updates = spark.read.parquet(updates_path)
-    cols = ["spent", "orders", "amounts", "last_purchase_date", "first_purchase_date"]
-    latest = updates.groupBy("customer_id").agg(
-        F.max_by(F.struct(*cols), F.col("batch_id")).alias("s")
-    )
+    latest = _latest_state(spark, updates_path, base_path)
     return latest.select(
         "customer_id",
         F.col("s.spent").cast(TOTAL_TYPE).alias("total_spent"),
