@@ -22,11 +22,14 @@ TABLES = (
 ).split()
 
 
+STRICT = os.environ.get("ORACLE_LOOSE") != "1"  # exact floats unless asked otherwise
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.12g}")
+        return v if STRICT else float(f"{v:.12g}")
     if isinstance(v, decimal.Decimal):
         return str(v.normalize()) if v == v else "nan"
     if isinstance(v, dt.datetime):
