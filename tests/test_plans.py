@@ -84,3 +84,8 @@ def test_driver_actions_are_bounded():
                 found.append((path.name, line.strip()))
     for name, line in found:
         assert any(name == f and frag in line for f, frag in allowed), (name, line)
+
+
+def test_window_strategy_needs_two_sorts(spark):
+    p = plan(process_sales(orders_clean(spark, SF_SMALL), "window"))
+    assert p.count("+- Sort [") == 2, p

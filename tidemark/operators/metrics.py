@@ -73,28 +73,40 @@ def choose_strategy(
 
 
 def metrics_window(df: DataFrame, month_scope: str) -> DataFrame:
-    month = Window.partitionBy(*_month_key(month_scope))
-    year = Window.partitionBy("customer_id", "sales_year")
+    """All five windows over one hash exchange on customer_id, with two sorts.
+
+    Each sort serves two windows. The rank's sort (customer, month, amount desc,
+    sale_id) also serves the monthly sum and average, whose required ordering is
+    its prefix. The running total is ordered by (year, date) — the same peers as
+    by date alone, since the year follows from the date — and the yearly total is
+    written as a RANGE frame over the current year on the same customer partition,
+    so both run on one (customer, year, date) sort.
+    """
+    month_keys = _month_key(month_scope)
+    month = Window.partitionBy(*month_keys)
+    by_year = Window.partitionBy("customer_id").orderBy(F.col("sales_year").asc_nulls_first())
     running = (
         Window.partitionBy("customer_id")
-        .orderBy(F.col("sale_date").asc_nulls_first())
+        .orderBy(F.col("sales_year").asc_nulls_first(), F.col("sale_date").asc_nulls_first())
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     amount = F.col("amount")
-    # All three specs are satisfied by one hash partitioning on customer_id.
-    return (
+    out = (
         df.repartition("customer_id")
+        .withColumn("running_total", F.sum(amount).over(running).cast(TOTAL_TYPE))
+        .withColumn(
+            "yearly_total",
+            F.sum(amount).over(by_year.rangeBetween(Window.currentRow, Window.currentRow)).cast(TOTAL_TYPE),
+        )
+        .withColumn("order_rank_in_month", F.row_number().over(month.orderBy(*rank_order())))
         .withColumns(
             {
                 "monthly_total": F.sum(amount).over(month).cast(TOTAL_TYPE),
-                "yearly_total": F.sum(amount).over(year).cast(TOTAL_TYPE),
-                "avg_order_value": F.sum(amount).over(month).cast("double")
-                / F.count(amount).over(month),
+                "avg_order_value": F.sum(amount).over(month).cast("double") / F.count(amount).over(month),
             }
         )
-        .transform(lambda d: row_number_window(d, _month_key(month_scope), rank_order(), "order_rank_in_month"))
-        .withColumn("running_total", F.sum(amount).over(running).cast(TOTAL_TYPE))
     )
+    return out.select(*df.columns, *METRIC_COLUMNS)
 
 
 def daily_totals(df: DataFrame, month_scope: str = "month") -> DataFrame:
