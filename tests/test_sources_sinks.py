@@ -144,3 +144,14 @@ def test_read_processed_merges_schemas(spark, tmp):
     got = read_processed(spark, f"{tmp}/t")
     assert sorted(got.columns) == ["extra", "id", "run", "v"]
     assert rows(got, "id", "extra") == [(1, None), (2, 3.5)]
+
+
+def test_register_views_sql_access(spark, tmp):
+    from tidemark.sinks import register_views, write_partitioned
+
+    df = spark.createDataFrame([(1, "a", 2024), (2, "b", 2023)], "customer_id int, v string, registration_year int")
+    write_partitioned(df, f"{tmp}/customers", ["registration_year"], spread_by=["customer_id"])
+    assert register_views(spark, {"processed_customers_v": f"{tmp}/customers"}) == ["processed_customers_v"]
+    q = spark.sql("SELECT v FROM processed_customers_v WHERE registration_year = 2024")
+    assert [r.v for r in q.collect()] == ["a"]
+    assert "PartitionFilters" in q._jdf.queryExecution().executedPlan().toString()

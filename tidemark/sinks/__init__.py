@@ -66,6 +66,14 @@ def save_table(
     return name
 
 
+def register_views(spark: SparkSession, tables: dict[str, str]) -> list[str]:
+    """Expose written Parquet outputs to ``spark.sql`` as temporary views
+    (name → path). Partition columns are recovered, so SQL filters on them prune."""
+    for name, path in tables.items():
+        spark.read.parquet(path).createOrReplaceTempView(name)
+    return sorted(tables)
+
+
 def repair_partitions(spark: SparkSession, database: str, table: str) -> None:
     """Register partition folders written outside the catalog."""
     spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}`")
