@@ -181,3 +181,17 @@ def test_segment_compaction(spark, tmp):
     assert rows(current_segments(spark, upd, base), *cols) == rows(full, *cols)
     assert compact_segment_updates(spark, upd, base) == 1
     assert rows(current_segments(spark, upd, base), *cols) == rows(full, *cols)
+
+
+def test_sales_job_hot_customer_path(spark, tmp):
+    """Threshold 2: customer 1 (three sales) takes the skew-safe path inside the job."""
+    from tidemark.plans.sales_job import process_sales
+
+    raw, out = f"{tmp}/raw", f"{tmp}/processed"
+    make_raw(raw)
+    run_sales_job(spark, raw, out, AS_OF, max_rows=2)
+    full = process_sales(clean_sales(read_raw(spark, f"{DATA}/sales.csv", RAW_SALES), AS_OF), "window")
+    got = spark.read.parquet(f"{out}/sales").select(*full.columns)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    seg = spark.read.parquet(f"{out}/customer_segments")
+    assert "_n" not in seg.columns and seg.count() == 5

@@ -86,32 +86,50 @@ def row_number_window(
 HOT_KEYS_COLLECT_LIMIT = 100_000
 
 
+def hot_keys_from_sizes(
+    sizes: DataFrame, key_cols: Sequence[str], max_rows: int, size_col: str = "_n"
+) -> DataFrame | None:
+    """The keys whose group has more than ``max_rows`` rows, from a (keys, size)
+    table; None when there are none.
+
+    There are at most ``total_rows / max_rows`` such keys. Up to
+    ``HOT_KEYS_COLLECT_LIMIT`` of them are collected (a bounded list) and returned
+    as a broadcast table; more are written to the checkpoint folder and returned
+    without a hint.
+    """
+    hot = sizes.filter(F.col(size_col) > max_rows).select(*key_cols)
+    hot_rows = hot.limit(HOT_KEYS_COLLECT_LIMIT + 1).collect()
+    if not hot_rows:
+        return None
+    if len(hot_rows) <= HOT_KEYS_COLLECT_LIMIT:
+        return F.broadcast(sizes.sparkSession.createDataFrame(hot_rows, hot.schema))
+    return materialize(hot, "hot-keys")
+
+
+def split_by_keys(df: DataFrame, key_cols: Sequence[str], keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is not in ``keys``, rows whose key is); keys compare null-safe."""
+    cond = None
+    for c in key_cols:
+        term = df[c].eqNullSafe(keys[c])
+        cond = term if cond is None else cond & term
+    return df.join(keys, cond, "left_anti"), df.join(keys, cond, "left_semi")
+
+
 def split_hot(
-    df: DataFrame, key_cols: Sequence[str], max_rows: int
+    df: DataFrame, key_cols: Sequence[str], max_rows: int, sizes: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Split rows into (light, hot): hot rows belong to groups with more than
     ``max_rows`` rows. ``hot`` is None when there is no such group.
 
-    The group sizes are a partial aggregate over the key columns only. There are
-    at most ``total_rows / max_rows`` hot groups; up to ``HOT_KEYS_COLLECT_LIMIT``
-    of them are collected (a bounded list) and broadcast for the split, more are
-    written to the checkpoint folder and joined without a hint. Keys compare
-    null-safe, so a null key is a group like any other.
+    The group sizes are a partial aggregate over the key columns only, unless the
+    caller already has them (``sizes``: keys plus a ``_n`` row count).
     """
-    sizes = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
-    hot_rows = sizes.filter(F.col("_n") > max_rows).select(*key_cols).limit(HOT_KEYS_COLLECT_LIMIT + 1).collect()
-    if not hot_rows:
+    if sizes is None:
+        sizes = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+    keys = hot_keys_from_sizes(sizes, key_cols, max_rows)
+    if keys is None:
         return df, None
-    if len(hot_rows) <= HOT_KEYS_COLLECT_LIMIT:
-        schema = df.select(*key_cols).schema
-        hot_keys = F.broadcast(df.sparkSession.createDataFrame(hot_rows, schema))
-    else:
-        hot_keys = materialize(sizes.filter(F.col("_n") > max_rows).select(*key_cols), "hot-keys")
-    cond = None
-    for c in key_cols:
-        term = df[c].eqNullSafe(hot_keys[c])
-        cond = term if cond is None else cond & term
-    return df.join(hot_keys, cond, "left_anti"), df.join(hot_keys, cond, "left_semi")
+    return split_by_keys(df, key_cols, keys)
 
 
 def max_group_rows(df: DataFrame, key_cols: Sequence[str]) -> int:

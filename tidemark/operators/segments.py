@@ -15,14 +15,19 @@ def customer_segments(
     sales: DataFrame,
     rules: Sequence[tuple[str, float | None, float | None]] = SEGMENT_RULES,
     default: str = SEGMENT_DEFAULT,
+    with_row_count: bool = False,
 ) -> DataFrame:
     """One row per customer: spend, order count, average, first/last date, segment.
 
     A plain group-by: partial aggregation runs before the shuffle, so a customer
     with a third of all rows still sends one partial row per map task.
     ``total_orders`` counts non-null sale ids, as the reference does.
+    ``with_row_count`` adds ``_n`` (all rows), so the same aggregate also gives
+    the group sizes the hot-customer split needs.
     """
+    extra = [F.count(F.lit(1)).alias("_n")] if with_row_count else []
     agg = sales.groupBy("customer_id").agg(
+        *extra,
         F.sum("amount").cast(TOTAL_TYPE).alias("total_spent"),
         F.count("sale_id").alias("total_orders"),
         (F.sum("amount").cast("double") / F.count("amount")).alias("avg_order_value"),
