@@ -76,6 +76,7 @@ def test_driver_actions_are_bounded():
         ("sales_job.py", 'parquet(f"{out}/sales").count()'),
         ("ranking.py", ".limit(HOT_KEYS_COLLECT_LIMIT + 1).collect()"),
         ("ranking.py", ".first()"),
+        ("ingest.py", 'select("customer_bucket").distinct().collect()'),
     }
     found = []
     for path in pathlib.Path(__file__).resolve().parents[1].joinpath("tidemark").rglob("*.py"):

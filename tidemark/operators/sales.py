@@ -93,7 +93,7 @@ def stage_sales(raw: DataFrame) -> DataFrame:
 
 def kept_rows(staged: DataFrame) -> DataFrame:
     """The staged rows the job keeps, without the staging-only columns."""
-    drop = [c for c in ("reject_reason", CORRUPT_COLUMN, "batch_id") if c in staged.columns]
+    drop = [c for c in ("reject_reason", CORRUPT_COLUMN, "batch_id", "customer_bucket") if c in staged.columns]
     return staged.filter(F.col("reject_reason").isNull()).drop(*drop)
 
 

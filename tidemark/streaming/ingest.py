@@ -101,7 +101,7 @@ def refresh_sales_gold(
     spark: SparkSession,
     staged_path: str,
     gold_path: str,
-    touched_buckets: DataFrame,
+    touched_buckets: list[int],
     buckets: int = DEFAULT_BUCKETS,
     as_of: _dt.datetime | str | None = None,
     strategy: str = "auto",
@@ -109,15 +109,18 @@ def refresh_sales_gold(
     """Recompute processed sales only for the customer buckets a batch touched.
 
     Every metric is per customer (all windows partition by customer_id), so the
-    rows of the customers in the touched buckets — read from the whole staged
-    table — give exactly the rows a full rebuild would give for them. The gold
-    table is partitioned by ``customer_bucket`` and only those partitions are
-    replaced (dynamic overwrite), so a replayed batch rewrites the same buckets.
-    ``touched_buckets`` has at most ``buckets`` rows, so broadcasting it is safe.
+    full history of the customers in the touched buckets gives exactly the rows a
+    full rebuild would give for them. The staged table is partitioned by
+    ``customer_bucket``, so only those buckets' files are read (partition
+    pruning on a list of at most ``buckets`` values). The gold table is
+    partitioned the same way and only the touched partitions are replaced
+    (dynamic overwrite), so a replayed batch rewrites the same buckets.
     """
+    if not touched_buckets:
+        return
     mark = scratch_mark()
-    clean = staged_clean(spark, staged_path, as_of).withColumn("customer_bucket", customer_bucket(buckets))
-    affected = clean.join(F.broadcast(touched_buckets), "customer_bucket", "left_semi").drop("customer_bucket")
+    stage = spark.read.parquet(staged_path).filter(F.col("customer_bucket").isin(*touched_buckets))
+    affected = clean_sales(kept_rows(stage), as_of)
     out = process_sales(affected, strategy).withColumn("customer_bucket", customer_bucket(buckets))
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     (
@@ -147,20 +150,23 @@ def ingest_and_refresh(
     staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt, max_files, keep_corrupt=True))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        # Staged rows land in (customer_bucket, batch_id) partitions: a replay
+        # overwrites exactly its own partitions, and a refresh reads only the
+        # buckets it needs.
         (
-            batch.withColumn("batch_id", F.lit(batch_id))
+            batch.withColumns({"customer_bucket": customer_bucket(buckets), "batch_id": F.lit(batch_id)})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("customer_bucket", "batch_id")
             .parquet(staged_path)
         )
         written = spark.read.parquet(staged_path).filter(F.col("batch_id") == batch_id)
-        touched = (
-            written.filter(F.col("reject_reason").isNull())
-            .select(customer_bucket(buckets).alias("customer_bucket"))
-            .distinct()
-        )
-        refresh_sales_gold(spark, staged_path, gold_path, touched, buckets, as_of)
+        # At most ``buckets`` distinct values: a bounded list.
+        touched = [
+            r.customer_bucket
+            for r in written.filter(F.col("reject_reason").isNull()).select("customer_bucket").distinct().collect()
+        ]
+        refresh_sales_gold(spark, staged_path, gold_path, sorted(touched), buckets, as_of)
 
     query = (
         staged.writeStream.foreachBatch(handle)
