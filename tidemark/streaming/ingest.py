@@ -29,7 +29,7 @@ from tidemark.functions import customer_segment
 from tidemark.operators.sales import clean_sales, kept_rows, stage_sales
 from tidemark.plans.sales_job import process_sales
 from tidemark.schemas import RAW_SALES
-from tidemark.session import release_scratch, scratch_mark
+from tidemark.session import materialize, release_scratch, scratch_mark
 from tidemark.sinks import write_partitioned, write_plain
 from tidemark.sources.files import stream_raw
 
@@ -79,12 +79,15 @@ def rebuild_sales_gold(
 
     out = f"{gold_root.rstrip('/')}/v={version}"
     mark = scratch_mark()
-    clean = staged_clean(spark, staged_path, as_of)
-    write_partitioned(
-        process_sales(clean, strategy), f"{out}/sales", ["sales_year", "sales_month"], spread_by=["customer_id"]
-    )
-    write_plain(customer_segments(clean), f"{out}/customer_segments")
-    release_scratch(spark, mark)
+    try:
+        clean = staged_clean(spark, staged_path, as_of)
+        # One per-customer aggregate gives the segments and the hot-customer sizes.
+        segments = materialize(customer_segments(clean, with_row_count=True), "segments")
+        write_plain(segments.drop("_n"), f"{out}/customer_segments")
+        processed = process_sales(clean, strategy, sizes=segments.select("customer_id", "_n"))
+        write_partitioned(processed, f"{out}/sales", ["sales_year", "sales_month"], spread_by=["customer_id"])
+    finally:
+        release_scratch(spark, mark)
     return out
 
 
