@@ -205,3 +205,18 @@ def test_sales_job_hot_customer_path(spark, tmp):
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
     seg = spark.read.parquet(f"{out}/customer_segments")
     assert "_n" not in seg.columns and seg.count() == 5
+
+
+def test_gold_refresh_with_hot_customers(spark, tmp):
+    """Threshold 1: customers with two or more sales take the skew-safe path inside
+    each micro-batch's refresh; the gold table still equals one-shot processing."""
+    from tidemark.plans.sales_job import process_sales
+    from tidemark.streaming.ingest import ingest_and_refresh
+
+    raw, staged, gold, ckpt = f"{tmp}/raw", f"{tmp}/staged", f"{tmp}/gold", f"{tmp}/ckpt"
+    split_sales(spark, f"{raw}/a", 1)
+    split_sales(spark, f"{raw}/b", 2)
+    ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=4, as_of=AS_OF, max_files=1, max_rows=1)
+    full = process_sales(clean_sales(read_raw(spark, f"{DATA}/sales.csv", RAW_SALES), AS_OF), "window")
+    got = spark.read.parquet(gold).drop("customer_bucket").select(*full.columns)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import TOTAL_TYPE
 from tidemark.functions import customer_segment
 from tidemark.operators.sales import clean_sales, kept_rows, stage_sales
+from tidemark.operators.metrics import DEFAULT_MAX_GROUP_ROWS
 from tidemark.plans.sales_job import process_sales
 from tidemark.schemas import RAW_SALES
 from tidemark.session import materialize, release_scratch, scratch_mark
@@ -72,6 +73,7 @@ def rebuild_sales_gold(
     version: str,
     as_of: _dt.datetime | str | None = None,
     strategy: str = "auto",
+    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> str:
     """Recompute processed sales and segments over the whole staged table into
     ``<gold_root>/v=<version>``; readers switch versions, nothing is rewritten in place."""
@@ -84,7 +86,7 @@ def rebuild_sales_gold(
         # One per-customer aggregate gives the segments and the hot-customer sizes.
         segments = materialize(customer_segments(clean, with_row_count=True), "segments")
         write_plain(segments.drop("_n"), f"{out}/customer_segments")
-        processed = process_sales(clean, strategy, sizes=segments.select("customer_id", "_n"))
+        processed = process_sales(clean, strategy, max_rows=max_rows, sizes=segments.select("customer_id", "_n"))
         write_partitioned(processed, f"{out}/sales", ["sales_year", "sales_month"], spread_by=["customer_id"])
     finally:
         release_scratch(spark, mark)
@@ -108,6 +110,7 @@ def refresh_sales_gold(
     buckets: int = DEFAULT_BUCKETS,
     as_of: _dt.datetime | str | None = None,
     strategy: str = "auto",
+    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> None:
     """Recompute processed sales only for the customer buckets a batch touched.
 
@@ -124,7 +127,7 @@ def refresh_sales_gold(
     mark = scratch_mark()
     stage = spark.read.parquet(staged_path).filter(F.col("customer_bucket").isin(*touched_buckets))
     affected = clean_sales(kept_rows(stage), as_of)
-    out = process_sales(affected, strategy).withColumn("customer_bucket", customer_bucket(buckets))
+    out = process_sales(affected, strategy, max_rows=max_rows).withColumn("customer_bucket", customer_bucket(buckets))
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     (
         out.repartitionByRange(n, "customer_bucket", "customer_id")
@@ -146,6 +149,7 @@ def ingest_and_refresh(
     as_of: _dt.datetime | str | None = None,
     fmt: str = "csv",
     max_files: int | None = None,
+    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ):
     """One stream run (availableNow): each micro-batch appends its staged rows
     (``batch_id`` partition, overwritten on replay) and refreshes the gold buckets
@@ -169,7 +173,7 @@ def ingest_and_refresh(
             r.customer_bucket
             for r in written.filter(F.col("reject_reason").isNull()).select("customer_bucket").distinct().collect()
         ]
-        refresh_sales_gold(spark, staged_path, gold_path, sorted(touched), buckets, as_of)
+        refresh_sales_gold(spark, staged_path, gold_path, sorted(touched), buckets, as_of, max_rows=max_rows)
 
     query = (
         staged.writeStream.foreachBatch(handle)
