@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from tidemark.llm.mixing import op3_source_mix
+from tidemark.llm.packing import op7_packing
+from tidemark.llm.secrets import op5_secret_scan
 from tidemark.llm.simhash import op6_simhash_near_dedup
 from tidemark.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op3_source_mix": op3_source_mix,
+    "op5_secret_scan": op5_secret_scan,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
 }
 
