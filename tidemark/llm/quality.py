@@ -100,7 +100,7 @@ class Trees:
 def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> Trees:
     """Fit the trees by logistic loss on weighted rows."""
     share = float(np.average(y, weights=w)) if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return Trees(base=math.log((share + 1e-3) / (1 - share + 1e-3)))
     n, f = x.shape
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(f)]

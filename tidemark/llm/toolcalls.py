@@ -227,10 +227,13 @@ def link_tool_calls(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
         (is_call & error.isNull()).alias("valid"), error.alias("error"), F.when(is_call, text).otherwise(orphan).alias("json"),
     )
     # What isn't in the join: messages, rows without keys, and all but the first of those that share an id.
-    firsts = calls.select("conv_id", "call_id", F.lit("call").alias("kind"), F.col("turn").alias("t"), F.col("idx").alias("i"), "n")
-    firsts = firsts.union(results.select("conv_id", "call_id", F.lit("result"), F.col("result_turn"), F.lit(0), "results")).where("n > 1")
-    extra = events.where((F.col("kind") != "message") & keyed).join(firsts, ["conv_id", "call_id", "kind"])
-    again = extra.withColumn("k", F.lit("repeated_")).select(*_plain(F.concat("k", "kind"), F.lit("repeated")))
+    firsts = by("call").withColumn("kind", F.lit("call")).unionByName(by("result").withColumn("kind", F.lit("result"))).where("n > 1")
+    extra = events.where((F.col("kind") != "message") & keyed).withColumn("place", place).join(firsts, ["conv_id", "call_id", "kind"])
+    later = extra.where(F.col("place") > F.col("first")).select(events.columns)
+    # Rows that equal the first one: all but one of them.
+    equal = extra.where(F.col("place") == F.col("first")).groupBy(*(c for c in events.columns)).agg(F.count(F.lit(1)).alias("m"))
+    equal = equal.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("m")))).where("again > 1").select(events.columns)
+    again = later.union(equal).select(*_plain(F.concat(F.lit("repeated_"), "kind"), F.lit("repeated")))
     unkeyed = events.where((F.col("kind") != "message") & ~keyed).select(*_plain(F.concat(F.lit("unkeyed_"), "kind"), F.lit("no id")))
     plain = events.where(F.col("kind") == "message").select(*_plain(F.col("kind"), F.lit(None).cast("string")))
     return out.unionByName(plain).unionByName(unkeyed).unionByName(again)
