@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tidemark.operators.events import (
     classify_events,
@@ -92,7 +93,7 @@ def test_job_metrics_and_failures(spark):
     )
     m = job_metrics(df).first()
     assert (m.runs, m.succeeded, m.failed, m.total_execution_seconds, m.max_execution_seconds) == (3, 1, 2, 40, 30)
-    assert rows(job_failures(df), "job_run_id", "error_message") == [("2", "Unknown error"), ("3", "boom")]
+    assert rows(job_failures(df, F.lit("t")), "job_run_id", "error_message") == [("2", "Unknown error"), ("3", "boom")]
 
 
 def test_readiness_gate(spark):

@@ -70,16 +70,15 @@ def test_driver_actions_are_bounded():
     import pathlib
 
     allowed = {
-
         ("customer_job.py", "written.count()"),
         ("sales_job.py", "segment_distribution("),
         ("sales_job.py", 'parquet(f"{out}/sales").count()'),
-        ("ranking.py", ".limit(HOT_KEYS_COLLECT_LIMIT + 1).collect()"),
-        ("ranking.py", ".first()"),
         ("ingest.py", 'select("customer_bucket").distinct().collect()'),
     }
     found = []
     for path in pathlib.Path(__file__).resolve().parents[1].joinpath("tidemark").rglob("*.py"):
+        if path.parent.name == "llm":
+            continue
         for line in path.read_text().splitlines():
             if any(a in line for a in (".collect()", ".first()", ".toPandas()", ".count()")):
                 found.append((path.name, line.strip()))

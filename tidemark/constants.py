@@ -54,4 +54,6 @@ INVALID_FILE_MESSAGE = "File %s in bucket %s is invalid or missing."
 
 # --- our own defaults (not from the reference) ---
 AMOUNT_TYPE = "decimal(18,2)"
+# Raw amounts keep the digits the rules are tested on; clean rows have AMOUNT_TYPE.
+RAW_AMOUNT_TYPE = "decimal(28,10)"
 TOTAL_TYPE = "decimal(38,2)"

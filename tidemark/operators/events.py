@@ -160,13 +160,25 @@ def job_metrics(runs: DataFrame) -> DataFrame:
     )
 
 
-def job_failures(runs: DataFrame) -> DataFrame:
-    """Failed runs with their error text ('Unknown error' when missing)."""
+def job_run_metrics(runs: DataFrame, at: Column) -> DataFrame:
+    """J5, a row for each successful run: id, status, execution seconds (missing → 0), completion time."""
+    return runs.filter(F.col("state") == STATE_SUCCEEDED).select(
+        "job_name",
+        "job_run_id",
+        F.lit("SUCCESS").alias("status"),
+        F.coalesce(F.col("execution_time_seconds"), F.lit(0)).cast("bigint").alias("execution_time_seconds"),
+        at.alias("completion_time"),
+    )
+
+
+def job_failures(runs: DataFrame, at: Column) -> DataFrame:
+    """Failed runs with their error text ('Unknown error' when missing) and the time of the report."""
     return runs.filter(F.col("state") == STATE_FAILED).select(
         "job_name",
         "job_run_id",
         F.coalesce(F.col("error_message"), F.lit(UNKNOWN_ERROR)).alias("error_message"),
         "started_on",
+        at.alias("failure_time"),
     )
 
 

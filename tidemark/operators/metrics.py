@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import TOTAL_TYPE
 from tidemark.operators.ranking import (
-    max_group_rows,
     row_number_skew_safe,
     row_number_window,
     split_hot,
@@ -53,23 +52,10 @@ def _month_key(month_scope: str) -> list[str]:
     raise ValueError(f"month_scope must be 'month' or 'year_month', not {month_scope!r}")
 
 
-def choose_strategy(
-    df: DataFrame,
-    strategy: str,
-    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    keys: list[str] | None = None,
-) -> str:
-    """Resolve ``auto``: ``window`` when the largest group over ``keys`` (default:
-    customer_id) has at most ``max_rows`` rows, else ``skew_safe``.
-
-    The measurement is an action (a one-column partial aggregate), run when the
-    plan is built; both strategies return the same rows, so it only picks speed.
-    """
+def check_strategy(strategy: str) -> str:
     if strategy not in ("auto", "window", "skew_safe"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy != "auto":
-        return strategy
-    return "window" if max_group_rows(df, keys or ["customer_id"]) <= max_rows else "skew_safe"
+    return strategy
 
 
 def metrics_window(df: DataFrame, month_scope: str) -> DataFrame:
@@ -142,7 +128,7 @@ def daily_totals(df: DataFrame, month_scope: str = "month") -> DataFrame:
 
 
 def attach_daily(df: DataFrame, daily: DataFrame) -> DataFrame:
-    """Join per-date metrics back to every row; null dates match null dates.
+    """Join per-date metrics back to every row; null customers and dates match null ones.
 
     Adaptive execution broadcasts ``daily`` only when its measured size is below
     the broadcast threshold; otherwise it is a sort-merge join whose skewed
@@ -150,7 +136,7 @@ def attach_daily(df: DataFrame, daily: DataFrame) -> DataFrame:
     """
     d = daily.alias("_d")
     s = df.alias("_s")
-    cond = (F.col("_s.customer_id") == F.col("_d.customer_id")) & F.col("_s.sale_date").eqNullSafe(
+    cond = F.col("_s.customer_id").eqNullSafe(F.col("_d.customer_id")) & F.col("_s.sale_date").eqNullSafe(
         F.col("_d.sale_date")
     )
     extra = [c for c in daily.columns if c not in ("customer_id", "sale_date")]
@@ -179,7 +165,9 @@ def metrics_skew_safe(
     extra: list[str] = []
     if per_customer is not None:
         extra = [c for c in per_customer.columns if c != "customer_id"]
-        daily = daily.join(per_customer, "customer_id", "left")
+        # Null-safe: rows without a customer form a group of their own, as in the window plan.
+        keyed = per_customer.withColumnRenamed("customer_id", "_pc_id")
+        daily = daily.join(keyed, daily["customer_id"].eqNullSafe(keyed["_pc_id"]), "left").drop("_pc_id")
     joined = attach_daily(ranked, daily)
     return joined.select(*df.columns, *METRIC_COLUMNS, *extra)
 
@@ -191,12 +179,12 @@ def business_metrics(
     max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add monthly_total, yearly_total, avg_order_value, order_rank_in_month, running_total."""
-    if strategy == "auto":
+    if check_strategy(strategy) == "auto":
         light, hot = split_hot(df, ["customer_id"], max_rows)
         if hot is None:
             return metrics_window(df, month_scope)
         return metrics_window(light, month_scope).unionByName(metrics_skew_safe(hot, month_scope))
-    if choose_strategy(df, strategy, max_rows) == "window":
+    if strategy == "window":
         return metrics_window(df, month_scope)
     return metrics_skew_safe(df, month_scope)
 
@@ -210,14 +198,14 @@ def order_rank(
     """E4 alone: order_rank_in_month."""
     keys = _month_key(month_scope)
     name = "order_rank_in_month"
-    if strategy == "auto":
+    if check_strategy(strategy) == "auto":
         light, hot = split_hot(df, keys, max_rows)
         if hot is None:
             return row_number_window(df, keys, rank_order(), name)
         return row_number_window(light, keys, rank_order(), name).unionByName(
             row_number_skew_safe(hot, keys, rank_order(), name)
         )
-    if choose_strategy(df, strategy, max_rows, keys) == "window":
+    if strategy == "window":
         return row_number_window(df, keys, rank_order(), name)
     return row_number_skew_safe(df, keys, rank_order(), name)
 

@@ -83,27 +83,17 @@ def row_number_window(
     return df.withColumn(name, F.row_number().over(w))
 
 
-HOT_KEYS_COLLECT_LIMIT = 100_000
-
-
 def hot_keys_from_sizes(
     sizes: DataFrame, key_cols: Sequence[str], max_rows: int, size_col: str = "_n"
 ) -> DataFrame | None:
     """The keys whose group has more than ``max_rows`` rows, from a (keys, size)
     table; None when there are none.
 
-    There are at most ``total_rows / max_rows`` such keys. Up to
-    ``HOT_KEYS_COLLECT_LIMIT`` of them are collected (a bounded list) and returned
-    as a broadcast table; more are written to the checkpoint folder and returned
-    without a hint.
+    However many they are, they are written to the checkpoint folder and returned
+    without a hint: the joins against them broadcast by measured size or not at all.
     """
-    hot = sizes.filter(F.col(size_col) > max_rows).select(*key_cols)
-    hot_rows = hot.limit(HOT_KEYS_COLLECT_LIMIT + 1).collect()
-    if not hot_rows:
-        return None
-    if len(hot_rows) <= HOT_KEYS_COLLECT_LIMIT:
-        return F.broadcast(sizes.sparkSession.createDataFrame(hot_rows, hot.schema))
-    return materialize(hot, "hot-keys")
+    hot = materialize(sizes.filter(F.col(size_col) > max_rows).select(*key_cols), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def split_by_keys(df: DataFrame, key_cols: Sequence[str], keys: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -130,14 +120,3 @@ def split_hot(
     if keys is None:
         return df, None
     return split_by_keys(df, key_cols, keys)
-
-
-def max_group_rows(df: DataFrame, key_cols: Sequence[str]) -> int:
-    """Rows in the largest group: a partial aggregate over the key columns only."""
-    row = (
-        df.groupBy(*key_cols)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max("n").alias("m"))
-        .first()
-    )
-    return int(row["m"] or 0) if row is not None else 0

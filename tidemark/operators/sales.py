@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.constants import AMOUNT_TYPE, SALES_JOB, SALES_SOURCE
+from tidemark.constants import AMOUNT_TYPE, RAW_AMOUNT_TYPE, SALES_JOB, SALES_SOURCE
 from tidemark.functions import amount_category, date_parts, is_weekend, parse_date
 
 
@@ -22,11 +22,11 @@ def as_of_literal(as_of: _dt.datetime | str | None) -> Column:
 
 
 def typed_amount(df: DataFrame, column: str = "amount") -> Column:
-    """Amounts as exact decimals; text that is not a number becomes null."""
+    """Amounts as exact decimals, not yet rounded; text that is not a number becomes null."""
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.DecimalType):
         return F.col(column)
-    return F.col(column).try_cast(AMOUNT_TYPE)
+    return F.col(column).try_cast(RAW_AMOUNT_TYPE)
 
 
 def sales_validity(df: DataFrame) -> Column:
@@ -48,7 +48,7 @@ def clean_sales(
     """
     date = parse_date("sale_date", df.schema["sale_date"].dataType)
     filtered = df.filter(sales_validity(df)).withColumns(
-        {"amount": typed_amount(df), "sale_date": date}
+        {"amount": typed_amount(df).cast(AMOUNT_TYPE), "sale_date": date}
     )
     parts = date_parts("sale_date")
     cols = {

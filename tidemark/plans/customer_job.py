@@ -11,8 +11,8 @@ from tidemark.constants import CUSTOMER_JOB, CUSTOMERS_PREFIX
 from tidemark.operators.customers import clean_customers, customer_lineage
 from tidemark.operators.quality import quality_from_counts
 from tidemark.plans.sales_job import log_summary
-from tidemark.sinks import new_run_id, save_table, write_partitioned, write_plain
-from tidemark.sources.files import raw_path, read_customers
+from tidemark.sinks import new_run_id, register_table, write_partitioned, write_plain
+from tidemark.sources.files import CORRUPT_COLUMN, raw_path, read_customers
 
 
 def run_customer_job(
@@ -34,19 +34,21 @@ def run_customer_job(
     run_id = new_run_id()
     out = out_root.rstrip("/")
     try:
-        raw = read_customers(spark, raw_root, fmt)
+        raw = read_customers(spark, raw_root, fmt, keep_corrupt=True)
         obs = Observation("customer_raw")
         staged = raw.observe(
             obs,
             F.count(F.lit(1)).alias("total_records"),
-            F.count_if(F.col("customer_id").isNull()).alias("null_records"),
+            F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("malformed_records"),
+            F.count_if(F.col("customer_id").isNull() & F.col(CORRUPT_COLUMN).isNull()).alias("null_records"),
         )
         write_plain(staged, f"{out}/_staging/customers")
         stage = spark.read.parquet(f"{out}/_staging/customers")
-        write_plain(
-            stage.filter(F.col("customer_id").isNull()).withColumn("reject_reason", F.lit("null_customer_id")),
-            f"{out}/rejects/customers",
-        )
+        malformed = F.col(CORRUPT_COLUMN).isNotNull()
+        reason = F.when(malformed, "malformed_row").when(F.col("customer_id").isNull(), "null_customer_id")
+        rejects = stage.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
+        write_plain(rejects, f"{out}/rejects/customers")
+        stage = stage.filter(~malformed).drop(CORRUPT_COLUMN)
         # One row per distinct non-null id comes out of dedup, so the row count of the
         # written table (from Parquet footers) is the distinct count: no separate
         # distinct aggregation. (An observation here would also count the range
@@ -59,8 +61,10 @@ def run_customer_job(
             customer_lineage(written, raw_path(raw_root, CUSTOMERS_PREFIX), as_of), f"{out}/lineage/customers"
         )
         if database:
-            save_table(written, database, "processed_customers", ["registration_year"])
-        metrics = quality_from_counts(job_name, obs.get["total_records"], obs.get["null_records"], kept_count)
+            register_table(spark, database, "processed_customers", f"{out}/customers", ["registration_year"])
+        metrics = quality_from_counts(
+            job_name, obs.get["total_records"] - obs.get["malformed_records"], obs.get["null_records"], kept_count
+        )
         log_summary(spark, f"{out}/pipeline_events", run_id, "Data Quality Check", metrics)
         summary = {
             "job_name": job_name,
@@ -68,6 +72,7 @@ def run_customer_job(
             "records_processed": kept_count,
             "raw_records": obs.get["total_records"],
             "output_path": f"{out}/customers",
+            "completion_time": _dt.datetime.now(_dt.timezone.utc).isoformat(),
         }
         log_summary(spark, f"{out}/pipeline_events", run_id, "ETL Job Completed", summary)
         return {**summary, "quality": metrics}

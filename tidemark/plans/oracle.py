@@ -94,12 +94,12 @@ contacts2 AS (
          CAST(c_nationkey AS VARCHAR) || '-' || CAST(c_custkey AS VARCHAR) AS phone
   FROM contacts),
 raw_customers AS (
-  SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_custkey END AS customer_id,
+  SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE c_custkey END AS customer_id,
          first_name, last_name, email, phone,
          CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE CAST(o_orderkey % 80 + 15 AS INTEGER) END AS age,
          o_orderpriority AS city, o_orderstatus AS state,
          CAST(o_orderdate AS DATE) AS registration_date
-  FROM orders JOIN contacts2 ON o_custkey = c_custkey)"""
+  FROM contacts2 LEFT JOIN orders ON o_custkey = c_custkey)"""
 
 DEDUP = """dedup AS (
   SELECT customer_id, first_name, last_name, email, phone, age, city, state, registration_date
@@ -121,7 +121,8 @@ JOB_RUNS = """runs AS (
   SELECT CASE WHEN user_id % 2 = 0 THEN 'data-pipeline-customer-data-etl-dev'
               ELSE 'data-pipeline-sales-data-etl-dev' END AS job_name,
          'jr_' || CAST(event_id AS VARCHAR) AS job_run_id,
-         CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS state,
+         CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_id % 7 = 1 THEN 'RUNNING'
+              WHEN event_id % 7 = 2 THEN 'STOPPED' ELSE 'SUCCEEDED' END AS state,
          ts AS started_on,
          CASE WHEN event_type = 'view' THEN NULL ELSE CAST(floor(value * 10) AS BIGINT) END
            AS execution_time_seconds,
@@ -322,8 +323,20 @@ SQL: dict[str, str] = {
     "CAST(MAX(COALESCE(execution_time_seconds, 0)) AS BIGINT) AS max_execution_seconds "
     "FROM runs GROUP BY job_name",
     "job_failures": f"WITH {JOB_RUNS} SELECT job_name, job_run_id, "
-    "COALESCE(error_message, 'Unknown error') AS error_message, started_on FROM runs "
+    f"COALESCE(error_message, 'Unknown error') AS error_message, started_on, {TS} AS failure_time FROM runs "
     "WHERE state = 'FAILED'",
+    "job_run_metrics": f"WITH {JOB_RUNS} SELECT job_name, job_run_id, 'SUCCESS' AS status, "
+    f"CAST(COALESCE(execution_time_seconds, 0) AS BIGINT) AS execution_time_seconds, {TS} AS completion_time "
+    "FROM runs WHERE state = 'SUCCEEDED'",
+    "clean_sales_rules": f"WITH {CUSTOMER_SALES} SELECT sale_id, customer_id, amount, "
+    "CASE WHEN amount < 100 THEN 'Small' WHEN amount < 500 THEN 'Medium' "
+    "WHEN amount < 1000 THEN 'Large' ELSE 'Very Large' END AS amount_category "
+    "FROM customer_sales WHERE customer_id IS NOT NULL AND amount > 0",
+    "business_metrics_null_customer": f"""WITH {ORDERS_SALES}, clean AS (
+  SELECT sale_id, CASE WHEN sale_id % 5 = 0 THEN NULL WHEN sale_id % 3 = 0 THEN -1 ELSE customer_id END AS customer_id,
+         amount, sale_date, CAST(year(sale_date) AS INTEGER) AS sales_year, CAST(month(sale_date) AS INTEGER) AS sales_month
+  FROM orders_sales), {METRICS}
+SELECT p.limit_kind, metrics.* FROM metrics CROSS JOIN (VALUES ('above'), ('below')) p(limit_kind)""",
     "readiness_gate": f"WITH {JOB_RUNS}, latest AS (SELECT run_window, job_name, state FROM ("
     "SELECT CAST(started_on AS DATE) AS run_window, job_name, state, row_number() OVER ("
     "PARTITION BY CAST(started_on AS DATE), job_name ORDER BY started_on DESC, job_run_id DESC) AS rn "

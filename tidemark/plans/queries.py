@@ -20,6 +20,7 @@ from tidemark.operators.events import (
     classify_events,
     job_failures,
     job_metrics,
+    job_run_metrics,
     job_outcomes,
     match_rules,
     orchestration_log,
@@ -292,7 +293,35 @@ def q_job_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_job_failures(spark: SparkSession, sf: str) -> DataFrame:
-    return job_failures(job_runs(load(spark, sf, "events")))
+    return job_failures(job_runs(load(spark, sf, "events")), as_of_literal(AS_OF))
+
+
+def q_job_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return job_run_metrics(job_runs(load(spark, sf, "events")), as_of_literal(AS_OF))
+
+
+def q_clean_sales_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """B1/B2 on rows that fail them: account balances as amounts, some null customers."""
+    sales = customer_as_sales(load(spark, sf, "customer"))
+    return clean_sales(sales, as_of=AS_OF).select("sale_id", "customer_id", "amount", "amount_category")
+
+
+def q_business_metrics_null_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """E6 by both plans on rows with hot null and non-null customers: no group is hot
+    above the limit, all are below it."""
+    orders = orders_as_sales(load(spark, sf, "orders"))
+    customer = (
+        F.when(F.col("sale_id") % 5 == 0, F.lit(None))
+        .when(F.col("sale_id") % 3 == 0, F.lit(-1))
+        .otherwise(F.col("customer_id"))
+    )
+    sales = orders.select(
+        "sale_id", customer.cast("bigint").alias("customer_id"), "amount", "sale_date",
+        F.year("sale_date").alias("sales_year"), F.month("sale_date").alias("sales_month"),
+    )
+    above = business_metrics(sales, "auto", max_rows=1 << 40).withColumn("limit_kind", F.lit("above"))
+    below = business_metrics(sales, "auto", max_rows=20).withColumn("limit_kind", F.lit("below"))
+    return above.unionByName(below)
 
 
 def q_readiness_gate(spark: SparkSession, sf: str) -> DataFrame:
@@ -448,6 +477,9 @@ QUERIES: dict[str, SalesQuery] = {
     "job_outcomes": q_job_outcomes,
     "job_metrics": q_job_metrics,
     "job_failures": q_job_failures,
+    "job_run_metrics": q_job_run_metrics,
+    "clean_sales_rules": q_clean_sales_rules,
+    "business_metrics_null_customer": q_business_metrics_null_customer,
     "readiness_gate": q_readiness_gate,
     "csv_roundtrip": q_csv_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,

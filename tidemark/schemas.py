@@ -24,7 +24,7 @@ RAW_SALES = T.StructType(
         T.StructField("customer_id", T.StringType()),
         T.StructField("product_id", T.StringType()),
         T.StructField("product_name", T.StringType()),
-        T.StructField("amount", T.DecimalType(18, 2)),
+        T.StructField("amount", T.DecimalType(28, 10)),
         T.StructField("sale_date", T.StringType()),
     ]
 )

@@ -8,6 +8,7 @@ own when it is unset (local runs and tests).
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,7 +23,6 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -53,7 +53,6 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
@@ -61,17 +60,29 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set a local one if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The folder the context was given, else the one named by ``spark.checkpoint.dir``.
+
+    Where neither is set, a local session gets a temporary folder; on a cluster that
+    would be a different disk for every executor, so there it is an error.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    given = spark.sparkContext.getCheckpointDir()
+    # Spark itself gives the context a folder below the named one.
+    root = named if named and (not given or _local_path(given).startswith(_local_path(named))) else given
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
+    if not given:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _local_path(uri: str) -> str:
+    return uri.removeprefix("file:").replace("//", "/").rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -81,7 +92,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-_MATERIALIZED: list[str] = []
+class _Scratch(threading.local):
+    """The tables each thread has materialized: jobs in other threads keep theirs."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_SCRATCH = _Scratch()
 
 
 def materialize(df, name: str):
@@ -94,7 +112,7 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    _MATERIALIZED.append(path)
+    _SCRATCH.paths.append(path)
     df.write.mode("overwrite").parquet(path)
     # The schema is known: skip the footer-reading inference job on the way back.
     return spark.read.schema(df.schema).parquet(path)
@@ -102,20 +120,21 @@ def materialize(df, name: str):
 
 def scratch_mark() -> int:
     """A marker for ``release_scratch``: tables materialized after it belong to the caller."""
-    return len(_MATERIALIZED)
+    return len(_SCRATCH.paths)
 
 
 def release_scratch(spark: SparkSession, mark: int = 0) -> list[str]:
     """Delete the tables ``materialize`` wrote since ``mark`` (and only those).
 
     A job takes a mark when it starts and releases in ``finally`` after its last
-    write, so tables other, still-lazy DataFrames depend on are never touched.
+    write. Marks count the calling thread's tables, so a job never releases what a
+    job in another thread (such as a stream's callback) still reads.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     released = []
-    while len(_MATERIALIZED) > mark:
-        path = _MATERIALIZED.pop()
+    while len(_SCRATCH.paths) > mark:
+        path = _SCRATCH.paths.pop()
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(conf)
         if fs.exists(p):

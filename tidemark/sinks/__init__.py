@@ -18,21 +18,24 @@ def write_partitioned(
     keys: Sequence[str],
     mode: str = "overwrite",
     spread_by: Sequence[str] = (),
-    num_partitions: int | None = None,
+    replace: str = "all",
 ) -> None:
     """Hive-partitioned Parquet.
 
-    Rows are range-partitioned on (keys, spread_by) before the write. Each task
-    then holds a contiguous slice of one or two output folders, so there is no
-    small-file explosion (every task writing into every folder), and a folder
-    holding a third of the data is still written by many tasks, not one — which
-    a hash repartition on the keys alone would do. Files come out sorted on
-    ``spread_by``, so their min/max statistics let later scans skip files.
-    Overwrite is per partition when ``partitionOverwriteMode=dynamic``.
+    Rows are rebalanced on the partition keys before the write: a folder's rows
+    meet in few tasks, so there is no small-file explosion, and adaptive execution
+    cuts a folder that holds a third of the data into as many tasks as its size
+    asks for. Nothing is sampled, so the rows are computed once. Files come out
+    sorted on ``spread_by``, so their min/max statistics let later scans skip files.
+
+    ``replace``: ``all`` replaces the whole output, whatever the session's
+    ``partitionOverwriteMode`` says; ``touched`` only the partitions written.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    out = df.repartitionByRange(n, *keys, *spread_by) if keys else df
-    out.write.mode(mode).partitionBy(*keys).parquet(path)
+    overwrite = {"all": "static", "touched": "dynamic"}[replace]
+    out = df.hint("rebalance", *keys) if keys else df
+    if spread_by:
+        out = out.sortWithinPartitions(*keys, *spread_by)
+    out.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*keys).parquet(path)
 
 
 def write_plain(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -56,8 +59,7 @@ def save_table(
 ) -> str:
     """A catalog table (partitioned when ``keys`` are given); returns its name."""
     name = f"`{database}`.`{table}`"
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    writer = (df.repartitionByRange(n, *keys) if keys else df).write.mode(mode).format("parquet")
+    writer = (df.hint("rebalance", *keys) if keys else df).write.mode(mode).format("parquet")
     if keys:
         writer = writer.partitionBy(*keys)
     if path:
@@ -66,6 +68,23 @@ def save_table(
     return name
 
 
+def register_table(spark: SparkSession, database: str, table: str, path: str, keys: Sequence[str] = ()) -> str:
+    """A catalog table over Parquet that lies at ``path``; nothing is copied.
+
+    An older table of that name is replaced (its files stay), and the partition
+    folders are registered.
+    """
+    name = f"`{database}`.`{table}`"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    schema = spark.read.parquet(path).schema
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parts = f" PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})" if keys else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parts} LOCATION '{path}'")
+    if keys:
+        repair_partitions(spark, database, table)
+    return name
+
+
 def register_views(spark: SparkSession, tables: dict[str, str]) -> list[str]:
     """Expose written Parquet outputs to ``spark.sql`` as temporary views
     (name → path). Partition columns are recovered, so SQL filters on them prune."""
@@ -101,7 +120,7 @@ def log_event(
 ) -> None:
     """Append event rows to the ``pipeline_events`` Parquet table at ``path``."""
     rows = event_rows(spark, run_id, event_type, detail)
-    rows.coalesce(1).write.mode("append").parquet(path)
+    rows.write.mode("append").parquet(path)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

@@ -28,6 +28,9 @@ def raw_path(bucket_uri: str, prefix: str) -> str:
 
 
 CORRUPT_COLUMN = "_corrupt_record"
+# A reader that parses only the needed columns doesn't notice a line that is malformed
+# elsewhere: whether it does must not depend on the query.
+CORRUPT_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT_COLUMN, "columnPruning": "false"}
 
 
 def with_corrupt_column(schema: T.StructType, name: str = CORRUPT_COLUMN) -> T.StructType:
@@ -50,7 +53,7 @@ def read_raw(
     """
     if keep_corrupt:
         schema = with_corrupt_column(schema)
-        options = {"columnNameOfCorruptRecord": CORRUPT_COLUMN, **options}
+        options = {**CORRUPT_OPTIONS, **options}
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
@@ -86,7 +89,7 @@ def stream_raw(
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
     if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        reader = reader.options(**CORRUPT_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.format(fmt).load(path)

@@ -109,17 +109,18 @@ def raw_customers(
     null_id_every: int = 101,
     null_age_every: int = 53,
 ) -> DataFrame:
-    """One raw customer record per order (so ~10 versions per customer to dedup).
+    """One raw customer record per order (so ~10 versions per customer to dedup), and
+    one for each customer without orders.
 
     registration_date is the order date; the latest record per customer wins.
     """
     contacts = customer_contacts(customer)
-    joined = orders.join(contacts, orders.o_custkey == contacts.c_custkey, "inner")
+    joined = contacts.join(orders, orders.o_custkey == contacts.c_custkey, "left")
     age = _null_when(
         F.col("o_orderkey") % null_age_every == 0, (F.col("o_orderkey") % 80 + 15).cast("int")
     )
     return joined.select(
-        _null_when(F.col("o_orderkey") % null_id_every == 0, F.col("o_custkey")).alias("customer_id"),
+        _null_when(F.col("o_orderkey") % null_id_every == 0, F.col("c_custkey")).alias("customer_id"),
         "first_name",
         "last_name",
         "email",
@@ -221,7 +222,8 @@ def bus_records(events: DataFrame) -> DataFrame:
 
 
 def job_runs(events: DataFrame) -> DataFrame:
-    """events → job runs: error events are FAILED runs, all others SUCCEEDED.
+    """events → job runs: error events are FAILED runs; of the others every seventh
+    still runs, every seventh was stopped, and the rest SUCCEEDED.
 
     execution_time_seconds is null for 'view' events (to exercise the default 0);
     error_message is null for every third failure (to exercise 'Unknown error').
@@ -232,7 +234,11 @@ def job_runs(events: DataFrame) -> DataFrame:
             F.when(F.col("user_id") % 2 == 0, F.lit(CUSTOMER_JOB)).otherwise(F.lit(SALES_JOB))
         ).alias("job_name"),
         F.concat(F.lit("jr_"), F.col("event_id").cast("string")).alias("job_run_id"),
-        F.when(et == "error", F.lit("FAILED")).otherwise(F.lit("SUCCEEDED")).alias("state"),
+        F.when(et == "error", F.lit("FAILED"))
+        .when(F.col("event_id") % 7 == 1, F.lit("RUNNING"))
+        .when(F.col("event_id") % 7 == 2, F.lit("STOPPED"))
+        .otherwise(F.lit("SUCCEEDED"))
+        .alias("state"),
         F.col("ts").alias("started_on"),
         _null_when(et == "view", F.floor(F.col("value") * 10).cast("bigint")).alias(
             "execution_time_seconds"

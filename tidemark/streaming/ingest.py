@@ -125,18 +125,14 @@ def refresh_sales_gold(
     if not touched_buckets:
         return
     mark = scratch_mark()
-    stage = spark.read.parquet(staged_path).filter(F.col("customer_bucket").isin(*touched_buckets))
-    affected = clean_sales(kept_rows(stage), as_of)
-    out = process_sales(affected, strategy, max_rows=max_rows).withColumn("customer_bucket", customer_bucket(buckets))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    (
-        out.repartitionByRange(n, "customer_bucket", "customer_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("customer_bucket")
-        .parquet(gold_path)
-    )
-    release_scratch(spark, mark)
+    try:
+        stage = spark.read.parquet(staged_path).filter(F.col("customer_bucket").isin(*touched_buckets))
+        affected = clean_sales(kept_rows(stage), as_of)
+        out = process_sales(affected, strategy, max_rows=max_rows)
+        out = out.withColumn("customer_bucket", customer_bucket(buckets))
+        write_partitioned(out, gold_path, ["customer_bucket"], replace="touched")
+    finally:
+        release_scratch(spark, mark)
 
 
 def ingest_and_refresh(
@@ -207,7 +203,8 @@ def stream_segments(
     fmt: str = "csv",
 ):
     """K4: run the segment stream once over all new files (availableNow)."""
-    stream = stream_raw(spark, raw_dir, RAW_SALES, fmt)
+    # The batch job's staging rule: malformed lines are marked, and then not kept.
+    stream = stream_raw(spark, raw_dir, RAW_SALES, fmt, keep_corrupt=True)
     clean = clean_sales(kept_rows(stage_sales(stream)), with_provenance=False)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
