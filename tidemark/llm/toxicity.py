@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import MAX_PER_CLASS, held_out, labelled_sample, materialize, read_table
@@ -143,10 +143,11 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def one_of_each(sample: DataFrame) -> DataFrame:
     """The bounded sample without the documents that share a minimum hash with one of a smaller id."""
     keys = ", ".join(f"k{k} long" for k in range(HASHES))
-    rows = sample.mapInPandas(_signatures, f"doc_id long, label int, text string, {keys}")
-    for k in range(HASHES):
-        rows = rows.withColumn(f"k{k}", F.min("doc_id").over(Window.partitionBy(f"k{k}")))
-    return rows.where(F.greatest(*(F.col(f"k{k}") for k in range(HASHES))) == F.col("doc_id")).select("doc_id", "label", "text")
+    rows = materialize(sample.mapInPandas(_signatures, f"doc_id long, label int, text string, {keys}"), "toxic-signatures")
+    long = rows.select("doc_id", F.posexplode(F.array(*(f"k{k}" for k in range(HASHES)))).alias("which", "hash"))
+    firsts = long.groupBy("which", "hash").agg(F.min("doc_id").alias("first"))
+    copies = long.join(firsts, ["which", "hash"]).where("doc_id > first").select("doc_id").distinct()
+    return rows.select("doc_id", "label", "text").join(copies, "doc_id", "left_anti")
 
 
 def _count_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
