@@ -11,12 +11,14 @@ from tidemark.operators.events import (
     job_failures,
     job_metrics,
     match_rules,
+    orchestration_log,
     readiness,
     route_events,
     validate_manifest,
 )
 from tidemark.schemas import JOB_RUNS
-from tidemark.sources.events import parse_bus_events, parse_manifest
+from tidemark.functions import iso_time
+from tidemark.sources.events import malformed_events, parse_bus_events, parse_manifest
 
 CUST = "data-pipeline-customer-data-etl-dev"
 SALES = "data-pipeline-sales-data-etl-dev"
@@ -74,6 +76,54 @@ def test_classify_and_route(spark):
     assert got[9][0] == "other"
 
 
+def test_orchestration_log(spark):
+    docs = [
+        file_event("customers/a.csv"),
+        file_event("sales/b.csv"),
+        {"source": "aws.events", "detail-type": "Scheduled Event", "resources": ["rule Scheduled Event"]},
+        {"source": "aws.events", "detail-type": "Scheduled Event", "resources": ["rule Scheduled Event"]},
+        {"source": "aws.glue", "detail-type": "Glue Job State Change", "detail": {"jobName": CUST, "jobRunId": "r", "state": "RUNNING"}},
+        {"source": "aws.glue", "detail-type": "Glue Job State Change"},
+        {"source": "x"},
+    ]
+    events = bodies(spark, docs).withColumnRenamed("id", "event_id").withColumn("original_event", F.col("body"))
+    starts = spark.createDataFrame(
+        [(0, "j0", None), (1, None, "no capacity"), (2, "w2", None), (3, None, "busy")], "event_id long, run_id string, start_error string"
+    )
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    got = {r.event_id: r for r in orchestration_log(route_events(classify_events(parse_bus_events(events))), at, starts).collect()}
+    flow = "data-pipeline-main-workflow-dev"
+    want = {
+        0: [{"job_name": CUST, "job_run_id": "j0", "status": "STARTED"}],
+        2: [{"workflow_name": flow, "workflow_run_id": "w2", "status": "STARTED"}],
+        3: [{"workflow_name": flow, "status": "FAILED", "error": "busy"}],
+        4: [{"job_name": CUST, "job_run_id": "r", "state": "RUNNING", "processed": True}],
+        5: [{"job_name": "", "job_run_id": "", "state": "", "processed": True}],
+        6: [],
+    }
+    for i, results in want.items():
+        assert json.loads(got[i].results) == results and got[i].status is None
+        assert got[i].event_processed == docs[i].get("detail-type", "")
+    assert got[1].results is None and (got[1].status, got[1].error) == ("FAILED", "no capacity")
+    assert json.loads(got[1].original_event) == docs[1]
+    assert got[0].orchestration_timestamp == "2024-01-01T00:00:00"
+
+
+def test_malformed_events(spark):
+    texts = ['{"source":"x"}', '{"source":', "not json", "", None, "[1]", '{"Records":[]}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, body string")
+    got = rows(malformed_events(df), "id", "reject_reason")
+    bad = "malformed_json"
+    assert got == [(1, bad), (2, bad), (3, bad), (4, "null_body"), (5, bad)]
+    assert parse_bus_events(df).count() == len(texts)
+
+
+def test_iso_time(spark):
+    df = spark.createDataFrame([(t(1),), (dt.datetime(2024, 1, 1, 1, 2, 3, 450),), (None,)], "ts timestamp_ntz")
+    got = [r[0] for r in df.select(iso_time("ts")).collect()]
+    assert got == [t(1).isoformat(), "2024-01-01T01:02:03.000450", None]
+
+
 def runs(spark, data):
     return spark.createDataFrame(data, JOB_RUNS)
 

@@ -97,14 +97,41 @@ def test_null_partition_on_write(spark, tmp):
     assert "sales_year=__HIVE_DEFAULT_PARTITION__" in os.listdir(f"{tmp}/p")
 
 
+def test_csv_columns_by_header_name(spark, tmp):
+    with open(f"{tmp}/s.csv", "w") as fh:
+        fh.write("customer_id,sale_id,channel,product_id,amount,sale_date\n")
+        fh.write("a,1,web,p,10,2024-01-01\nb,2,web,p,x,2024-01-02\n")
+    got = read_raw(spark, f"{tmp}/s.csv", RAW_SALES, keep_corrupt=True)
+    assert got.columns == [*RAW_SALES.names, "_corrupt_record"]
+    assert [(r.sale_id, r.customer_id, r.product_name, r._corrupt_record) for r in got.orderBy("sale_id").collect()] == [
+        ("1", "a", None, None), ("2", "b", None, "b,2,web,p,x,2024-01-02"),
+    ]
+
+
 def test_csv_header_is_checked(spark, tmp):
+    """A second file with another header fails the read instead of loading wrong."""
     import pytest
 
-    with open(f"{tmp}/s.csv", "w") as fh:
-        fh.write("customer_id,sale_id,product_id,product_name,amount,sale_date\n")
-        fh.write("a,1,p,n,10,2024-01-01\n")
+    for name, header in (("a", "sale_id,customer_id"), ("b", "customer_id,sale_id")):
+        with open(f"{tmp}/{name}.csv", "w") as fh:
+            fh.write(f"{header},product_id,product_name,amount,sale_date\na,1,p,n,10,2024-01-01\n")
     with pytest.raises(Exception):
-        read_raw(spark, f"{tmp}/s.csv", RAW_SALES).collect()
+        read_raw(spark, tmp, RAW_SALES).collect()
+
+
+def test_inferred_types_of_hard_values(spark):
+    values = {
+        "wide": ["1", "12345678901234567890123"], "code": ["02139", "10001"], "zero": ["0", "-5"], "rate": ["1e5", "2.5"],
+        "at": ["2024-01-01T10:00:00", "2024-01-02"], "bad_day": ["2024-02-30", "2024-01-01"], "none": ["", None],
+        "huge": ["1" * 40, "2"], "point": ["0.5", "00.5"],
+    }
+    df = spark.createDataFrame(list(zip(*values.values())), ", ".join(f"{c} string" for c in values))
+    got = {r.column_name: (r.inferred_type, r.non_null, r.total) for r in infer_types(df).collect()}
+    want = {
+        "wide": "decimal(38,0)", "code": "string", "zero": "bigint", "rate": "double", "at": "timestamp",
+        "bad_day": "string", "none": "string", "huge": "double", "point": "string",
+    }
+    assert got == {c: (t, 0 if c == "none" else 2, 2) for c, t in want.items()}
 
 
 def test_malformed_rows_quarantined(spark, tmp):

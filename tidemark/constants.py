@@ -46,7 +46,9 @@ JOB_EVENT_SOURCE = "aws.glue"
 JOB_STATE_DETAIL_TYPE = "Glue Job State Change"
 STATE_SUCCEEDED = "SUCCEEDED"
 STATE_FAILED = "FAILED"
+STATE_STARTED = "STARTED"
 UNKNOWN_ERROR = "Unknown error"
+FILE_TRIGGER = "S3_OBJECT_CREATED"
 
 # --- fixed values: messages ---
 VALID_FILE_MESSAGE = "File %s in bucket %s is valid."

@@ -36,3 +36,11 @@ def date_parts(sale_date: Column | str = "sale_date") -> dict[str, Column]:
         "sales_quarter": F.quarter(d),
         "day_of_week": F.dayofweek(d),
     }
+
+
+def iso_time(c: Column | str) -> Column:
+    """A timestamp as ISO text; the fraction, in microseconds, only where it isn't zero."""
+    ts = F.col(c) if isinstance(c, str) else c
+    fraction = F.date_format(ts, ".SSSSSS")
+    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(fraction == ".000000", whole).otherwise(F.concat(whole, fraction))

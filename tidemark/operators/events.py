@@ -22,17 +22,19 @@ from tidemark.constants import (
     PROJECT_DEFAULT,
     FILE_CREATED_DETAIL_TYPE,
     FILE_EVENT_SOURCE,
+    FILE_TRIGGER,
     SALES_JOB,
     SALES_PREFIX,
     SCHEDULE_MARKER,
     SCHEDULE_SOURCE,
     STATE_FAILED,
+    STATE_STARTED,
     STATE_SUCCEEDED,
     UNKNOWN_ERROR,
     VALID_FILE_MESSAGE,
     VALID_SUFFIX,
 )
-from tidemark.functions import job_full_name
+from tidemark.functions import iso_time, job_full_name
 
 # ------------------------------------------------------------------ file manifests
 
@@ -81,8 +83,9 @@ def classify_events(events: DataFrame) -> DataFrame:
 def route_events(
     events: DataFrame, project: str = PROJECT_DEFAULT, environment: str = ENVIRONMENT_DEFAULT
 ) -> DataFrame:
-    """What each classified event asks for: (action, target).
+    """What each classified event asks for: (action, target, arguments).
 
+    ``arguments`` is what a started job is told, as JSON: the trigger, bucket and key.
     File events: key containing 'customers/' → customer job, else 'sales/' → sales
     job (order matters), else nothing. Scheduled events start the main workflow.
     Job-state events report the job's terminal state.
@@ -105,7 +108,13 @@ def route_events(
         .when(cls == "scheduled", job_full_name(F.lit("main-workflow"), project, environment))
         .when(cls == "job_state_change", F.col("job_name"))
     )
-    return events.withColumns({"action": action, "target": target})
+    given = F.struct(
+        F.lit(FILE_TRIGGER).alias("--trigger_event"),
+        F.col("bucket").alias("--source_bucket"),
+        F.col("key").alias("--source_key"),
+    )
+    arguments = F.when((cls == "file_created") & job.isNotNull(), F.to_json(given))
+    return events.withColumns({"action": action, "target": target, "arguments": arguments})
 
 
 def match_rules(
@@ -124,16 +133,48 @@ def match_rules(
     return events.withColumn("matched_rule", rule)
 
 
-def orchestration_log(routed: DataFrame, at: Column) -> DataFrame:
-    """One log row per handled event: when, the event's detail-type, and the
-    results (target and action) as JSON text — the orchestrator's completion event."""
-    result = F.struct(F.col("target").alias("name"), F.col("action").alias("status"))
-    results = F.when(F.col("action").isNotNull(), F.array(result)).otherwise(F.array().cast("array<struct<name:string,status:string>>"))
-    return routed.select(
+def orchestration_log(routed: DataFrame, at: Column, starts: DataFrame | None = None) -> DataFrame:
+    """One log row per handled event, the orchestrator's completion or failure event.
+
+    ``starts`` is what the launcher reported, one row per event it acted on: (event_id,
+    run_id, start_error). Without it every start counts as done, with an unknown run id.
+
+    * ``results`` is JSON text: job and run id of a start; of a workflow, or its error; of
+      a job's state change with the state; ``[]`` for events that ask for nothing.
+    * A job that could not be started fails its event: ``status`` is FAILED, with the error
+      and, where ``routed`` carries it, the original event; it has no results.
+    """
+    if starts is None:
+        no_text = F.lit(None).cast("string")
+        told = routed.withColumns({"run_id": no_text, "start_error": no_text})
+    else:
+        told = routed.join(starts.select("event_id", "run_id", "start_error"), "event_id", "left")
+    action, error = F.col("action"), F.col("start_error")
+    job, flow = action == "start_job", action == "start_workflow"
+    state = F.col("event_class") == "job_state_change"
+    start_status = F.when(error.isNull(), F.lit(STATE_STARTED)).otherwise(F.lit(STATE_FAILED))
+    # to_json leaves null fields out, so each kind of result shows its own.
+    result = F.struct(
+        F.when(flow, F.col("target")).alias("workflow_name"),
+        F.when(flow, F.col("run_id")).alias("workflow_run_id"),
+        F.when(job | state, F.col("target")).alias("job_name"),
+        F.when(job, F.col("run_id")).when(state, F.col("job_run_id")).alias("job_run_id"),
+        F.when(state, F.col("state")).alias("state"),
+        F.when(state, F.lit(True)).alias("processed"),
+        F.when(job | flow, start_status).alias("status"),
+        F.when(flow, error).alias("error"),
+    )
+    failed = F.coalesce(job, F.lit(False)) & error.isNotNull()
+    results = F.when(action.isNotNull(), F.to_json(F.array(result))).otherwise(F.lit("[]"))
+    original = F.col("original_event") if "original_event" in routed.columns else F.lit(None).cast("string")
+    return told.select(
         "event_id",
-        at.alias("orchestration_timestamp"),
-        F.col("detail_type").alias("event_processed"),
-        F.to_json(results).alias("results"),
+        iso_time(at).alias("orchestration_timestamp"),
+        F.when(~failed, F.col("detail_type")).alias("event_processed"),
+        F.when(~failed, results).alias("results"),
+        F.when(failed, F.lit(STATE_FAILED)).alias("status"),
+        F.when(failed, error).alias("error"),
+        F.when(failed, original).alias("original_event"),
     )
 
 

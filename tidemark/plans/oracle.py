@@ -185,29 +185,36 @@ ORDERS_TEXT_NEW = """new_text AS (
          CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
          strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
          substr(o_orderpriority, 1, 1) AS o_orderpriority,
-         CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS o_channel
+         CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS o_channel,
+         lpad(CAST(o_orderkey % 90000 AS VARCHAR), 5, '0') AS o_zip,
+         '7' || lpad(CAST(o_orderkey AS VARCHAR), 22, '0') AS o_wide,
+         CAST(o_orderkey % 9 + 1 AS VARCHAR) || 'e5' AS o_rate,
+         strftime(o_orderdate, '%Y-%m-%d') || CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE ' 12:30:05' END AS o_at
   FROM orders)"""
 
 # Per column (UNPIVOT of the text table): count values that look like each type.
-INFER = """SELECT column_name,
-  CASE WHEN n = 0 THEN 'string' WHEN i = n THEN 'bigint' WHEN d = n THEN 'double'
-       WHEN t = n THEN 'date' WHEN b = n THEN 'boolean' ELSE 'string' END AS inferred_type,
+_INT, _NUM = "'-?(0|[1-9][0-9]*)'", "'-?(0|[1-9][0-9]*)(\\.[0-9]+)?([eE][+-]?[0-9]+)?'"
+_DAY = "[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}"
+INFER = f"""SELECT column_name,
+  CASE WHEN n = 0 THEN 'string' WHEN i = n THEN 'bigint' WHEN w = n THEN 'decimal(38,0)' WHEN d = n THEN 'double'
+       WHEN t = n THEN 'date' WHEN ts = n THEN 'timestamp' WHEN b = n THEN 'boolean' ELSE 'string' END AS inferred_type,
   n AS non_null, total
 FROM (
   SELECT column_name,
     COUNT(*) FILTER (WHERE v IS NOT NULL AND v <> '') AS n,
-    COUNT(*) FILTER (WHERE v <> '' AND regexp_full_match(v, '-?[0-9]+')) AS i,
-    COUNT(*) FILTER (WHERE v <> '' AND (regexp_full_match(v, '-?[0-9]+')
-                                        OR regexp_full_match(v, '-?[0-9]+\\.[0-9]+'))) AS d,
-    COUNT(*) FILTER (WHERE v <> '' AND regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')
-                     AND TRY_CAST(v AS DATE) IS NOT NULL) AS t,
-    COUNT(*) FILTER (WHERE v <> '' AND lower(v) IN ('true', 'false')) AS b,
-    (SELECT COUNT(*) FROM {src}) AS total
-  FROM (SELECT column_name, trim(v) AS v FROM (UNPIVOT {src} ON COLUMNS(*) INTO NAME column_name VALUE v))
+    COUNT(*) FILTER (WHERE regexp_full_match(v, {_INT}) AND TRY_CAST(v AS BIGINT) IS NOT NULL) AS i,
+    COUNT(*) FILTER (WHERE regexp_full_match(v, {_INT}) AND TRY_CAST(v AS DECIMAL(38,0)) IS NOT NULL) AS w,
+    COUNT(*) FILTER (WHERE regexp_full_match(v, {_NUM}) AND TRY_CAST(v AS DOUBLE) IS NOT NULL) AS d,
+    COUNT(*) FILTER (WHERE regexp_full_match(v, '{_DAY}') AND TRY_CAST(v AS DATE) IS NOT NULL) AS t,
+    COUNT(*) FILTER (WHERE regexp_full_match(v, '{_DAY}([ T][0-9]{{{{2}}}}:[0-9]{{{{2}}}}:[0-9]{{{{2}}}}(\\.[0-9]{{{{1,6}}}})?)?')
+                     AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL) AS ts,
+    COUNT(*) FILTER (WHERE lower(v) IN ('true', 'false')) AS b,
+    (SELECT COUNT(*) FROM {{src}}) AS total
+  FROM (SELECT column_name, trim(v) AS v FROM (UNPIVOT {{src}} ON COLUMNS(*) INTO NAME column_name VALUE v))
   GROUP BY column_name)"""
 
 ROUTING = (
-    "SELECT event_id, event_type, event_class, "
+    "SELECT event_id, event_type, event_class, k, ts, job_name, state, "
     "CASE WHEN event_class = 'file_created' AND job IS NOT NULL THEN 'start_job' "
     "WHEN event_class = 'scheduled' THEN 'start_workflow' "
     "WHEN event_class = 'job_state_change' AND state = 'SUCCEEDED' THEN 'job_succeeded' "
@@ -218,7 +225,7 @@ ROUTING = (
     "CASE WHEN event_type = 'view' THEN 'file_created' "
     "WHEN event_class = 'job_state_change' AND job_name = 'data-pipeline-customer-data-etl-dev' "
     "THEN 'job_state_rule' END AS matched_rule "
-    "FROM (SELECT event_id, event_type, "
+    "FROM (SELECT event_id, event_type, k, ts, "
     "CASE WHEN event_type = 'view' THEN 'file_created' "
     "WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'scheduled' "
     "WHEN event_type IN ('purchase', 'error') THEN 'job_state_change' ELSE 'other' END AS event_class, "
@@ -312,7 +319,9 @@ SQL: dict[str, str] = {
     "AS message FROM (SELECT event_id, 'raw-' || event_type AS bucket, key, "
     "COALESCE(key IS NOT NULL AND key <> '' AND suffix(key, '.csv'), false) AS is_valid "
     f"FROM (SELECT *, {OBJECT_KEY} AS key FROM events))",
-    "event_routing": "SELECT event_id, event_class, action, target, matched_rule FROM (" + ROUTING + ")",
+    "event_routing": "SELECT event_id, event_class, action, target, CASE WHEN action = 'start_job' THEN "
+    "'{\"--trigger_event\":\"S3_OBJECT_CREATED\",\"--source_bucket\":\"raw-view\",\"--source_key\":\"' || k || '\"}' END "
+    "AS arguments, matched_rule FROM (" + ROUTING + ")",
     "job_outcomes": f"WITH {JOB_RUNS} SELECT job_name, job_run_id, state, started_on FROM runs "
     "WHERE state IN ('SUCCEEDED', 'FAILED')",
     "job_metrics": f"WITH {JOB_RUNS} SELECT job_name, COUNT(*) AS runs, "
@@ -368,12 +377,27 @@ SELECT p.limit_kind, metrics.* FROM metrics CROSS JOIN (VALUES ('above'), ('belo
     "ELSE 'Senior' END AS age_group, regexp_extract(d.email, '@(.+)', 1) AS email_domain, "
     "CAST(year(d.registration_date) AS INTEGER) AS registration_year "
     "FROM clean c JOIN dedup d ON c.customer_id = d.customer_id",
-    "orchestration_log": "SELECT event_id, " + TS + " AS orchestration_timestamp, "
-    "CASE event_type WHEN 'view' THEN 'Object Created' WHEN 'click' THEN 'Scheduled Event' "
-    "WHEN 'signup' THEN 'User Signup' ELSE 'Glue Job State Change' END AS event_processed, "
-    "CASE WHEN action IS NULL THEN '[]' ELSE "
-    "'[{\"name\":\"' || target || '\",\"status\":\"' || action || '\"}]' END AS results "
-    "FROM (" + ROUTING + ")",
+    "orchestration_log": f"""SELECT event_id, '{AS_OF.replace(" ", "T")}' AS orchestration_timestamp,
+  CASE WHEN NOT failed THEN detail_type END AS event_processed,
+  CASE WHEN failed THEN NULL WHEN action IS NULL THEN '[]' ELSE '[{{' || CASE action
+    WHEN 'start_job' THEN '"job_name":"' || target || '","job_run_id":"run_' || event_id || '","status":"STARTED"'
+    WHEN 'start_workflow' THEN '"workflow_name":"' || target || '",' || CASE WHEN refused
+      THEN '"status":"FAILED","error":"Start refused"'
+      ELSE '"workflow_run_id":"run_' || event_id || '","status":"STARTED"' END
+    ELSE '"job_name":"' || target || '","job_run_id":"jr_' || event_id || '","state":"' || state || '","processed":true'
+    END || '}}]' END AS results,
+  CASE WHEN failed THEN 'FAILED' END AS status,
+  CASE WHEN failed THEN 'Start refused' END AS error,
+  CASE WHEN failed THEN '{{"source":"aws.s3","detail-type":"Object Created","time":"'
+    || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '","detail":{{"bucket":{{"name":"raw-view"}},"object":{{"key":"' || k || '"}}}}}}'
+    END AS original_event
+FROM (SELECT *, event_id % 8 = 0 AS refused, COALESCE(action = 'start_job', false) AND event_id % 8 = 0 AS failed,
+  CASE event_type WHEN 'view' THEN 'Object Created' WHEN 'click' THEN 'Scheduled Event'
+    WHEN 'signup' THEN 'User Signup' ELSE 'Glue Job State Change' END AS detail_type FROM ({ROUTING}))""",
+    "malformed_events": "SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'null_body' ELSE 'malformed_json' END "
+    "AS reject_reason FROM events WHERE event_id % 17 = 0 OR event_id % 13 = 0",
+    "customers_csv_roundtrip": f"WITH {RAW_CUSTOMERS} SELECT * REPLACE (CASE WHEN age % 9 = 0 THEN NULL ELSE age END AS age), "
+    "COALESCE(age % 9 = 0, false) AS malformed FROM raw_customers",
     "incremental_gold": f"WITH {TEXT_SALES}, {clean('text_sales')}, {METRICS}, {SEGMENTS} "
     "SELECT m.sale_id, m.customer_id, m.amount, m.sale_date, m.monthly_total, m.yearly_total, "
     "m.order_rank_in_month, m.running_total, s.customer_segment, s.total_orders "

@@ -47,8 +47,8 @@ from tidemark.operators.segments import (
 from tidemark.plans.sales_job import process_sales
 from tidemark.session import scratch_path
 from tidemark.sinks import write_partitioned
-from tidemark.sources.events import parse_bus_events, parse_manifest
-from tidemark.sources.files import read_sales
+from tidemark.sources.events import malformed_events, parse_bus_events, parse_manifest
+from tidemark.sources.files import CORRUPT_COLUMN, read_customers, read_sales
 from tidemark.streaming.ingest import (
     current_segments,
     ingest_and_refresh,
@@ -68,6 +68,7 @@ from tidemark.sources.tables import (
     orders_with_hot_customer,
     part_ages,
     raw_customers,
+    start_reports,
 )
 
 AS_OF = "2024-06-01 00:00:00"
@@ -275,13 +276,22 @@ def q_event_routing(spark: SparkSession, sf: str) -> DataFrame:
     events = parse_bus_events(bus_records(load(spark, sf, "events")))
     routed = route_events(classify_events(events))
     return match_rules(routed, RAW_BUCKETS, WATCHED_JOBS).select(
-        "event_id", "event_class", "action", "target", "matched_rule"
+        "event_id", "event_class", "action", "target", "arguments", "matched_rule"
     )
 
 
 def q_orchestration_log(spark: SparkSession, sf: str) -> DataFrame:
-    events = parse_bus_events(bus_records(load(spark, sf, "events")))
-    return orchestration_log(route_events(classify_events(events)), as_of_literal(AS_OF))
+    source = load(spark, sf, "events")
+    events = parse_bus_events(bus_records(source).withColumn("original_event", F.col("body")))
+    return orchestration_log(route_events(classify_events(events)), as_of_literal(AS_OF), start_reports(source))
+
+
+def q_malformed_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events whose JSON was cut, or is missing, kept with a reason."""
+    records = bus_records(load(spark, sf, "events"))
+    cut = F.when(F.col("event_id") % 13 == 0, F.expr("left(body, length(body) - 2)")).otherwise(F.col("body"))
+    broken = records.withColumn("body", F.when(F.col("event_id") % 17 != 0, cut))
+    return malformed_events(broken).select("event_id", "reject_reason")
 
 
 def q_job_outcomes(spark: SparkSession, sf: str) -> DataFrame:
@@ -352,6 +362,21 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return clean_sales(read_sales(spark, root), as_of=AS_OF).select(*ROUNDTRIP_COLUMNS)
 
 
+def q_customers_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: raw customers as CSV with its columns in another order, one column too many, and
+    every ninth order's age as text: those lines are marked, and the rest is read by name."""
+    root = scratch_path(spark, "customers-csv")
+    raw = raw_customer_rows(spark, sf)
+    age = F.when(F.col("age") % 9 == 0, F.lit("n/a")).otherwise(F.col("age").cast("string"))
+    mixed = raw.select("email", age.alias("age"), "customer_id", F.lit("x").alias("channel"), *(
+        c for c in reversed(raw.columns) if c not in ("email", "age", "customer_id")
+    ))
+    mixed.write.option("header", "true").csv(f"{root}/customers/part=1")
+    read = read_customers(spark, root, keep_corrupt=True)
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    return read.select(*raw.columns, bad.alias("malformed")).withColumn("customer_id", F.col("customer_id").cast("bigint"))
+
+
 def q_partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Processed sales written hive-partitioned, partitions recovered on read."""
     path = scratch_path(spark, "sales-partitioned")
@@ -403,7 +428,8 @@ def q_rolling_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 def orders_text_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Two arrivals of one raw table as text: the later one drops o_orderstatus,
-    adds a boolean o_channel, writes some customer keys as codes ('C-…') and the
+    adds a boolean o_channel, codes with leading zeros, integers of 23 digits, numbers
+    with exponents and times, writes some customer keys as codes ('C-…') and the
     priority as its leading digit."""
     o = load(spark, sf, "orders")
     old = o.select(
@@ -423,6 +449,13 @@ def orders_text_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataF
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
         F.substring("o_orderpriority", 1, 1).alias("o_orderpriority"),
         F.when(F.col("o_orderstatus") == "F", F.lit("true")).otherwise(F.lit("false")).alias("o_channel"),
+        F.lpad((F.col("o_orderkey") % 90000).cast("string"), 5, "0").alias("o_zip"),
+        F.concat(F.lit("7"), F.lpad(F.col("o_orderkey").cast("string"), 22, "0")).alias("o_wide"),
+        F.concat((F.col("o_orderkey") % 9 + 1).cast("string"), F.lit("e5")).alias("o_rate"),
+        F.concat(
+            F.date_format("o_orderdate", "yyyy-MM-dd"),
+            F.when(F.col("o_orderkey") % 4 == 0, F.lit("")).otherwise(F.lit(" 12:30:05")),
+        ).alias("o_at"),
     )
     return old, new
 
@@ -474,6 +507,7 @@ QUERIES: dict[str, SalesQuery] = {
     "manifest_validation": q_manifest_validation,
     "event_routing": q_event_routing,
     "orchestration_log": q_orchestration_log,
+    "malformed_events": q_malformed_events,
     "job_outcomes": q_job_outcomes,
     "job_metrics": q_job_metrics,
     "job_failures": q_job_failures,
@@ -482,6 +516,7 @@ QUERIES: dict[str, SalesQuery] = {
     "business_metrics_null_customer": q_business_metrics_null_customer,
     "readiness_gate": q_readiness_gate,
     "csv_roundtrip": q_csv_roundtrip,
+    "customers_csv_roundtrip": q_customers_csv_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "incremental_ingest": q_incremental_ingest,
     "rolling_segments": q_rolling_segments,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.constants import CUSTOMERS_PREFIX, SALES_PREFIX
@@ -13,8 +14,8 @@ CSV_OPTIONS = {
     "quote": '"',
     "sep": ",",
     "recursiveFileLookup": "true",
-    # Check each file's header against the declared schema instead of mapping
-    # columns by position (a reordered file would otherwise load silently wrong).
+    # Check each file's header against the schema that is read, so a file with another
+    # layout fails instead of loading silently wrong.
     "enforceSchema": "false",
     # Malformed values become null instead of failing the read; the quality
     # metrics and reject rows then account for them.
@@ -37,6 +38,14 @@ def with_corrupt_column(schema: T.StructType, name: str = CORRUPT_COLUMN) -> T.S
     return T.StructType([*schema.fields, T.StructField(name, T.StringType())])
 
 
+def layout(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> T.StructType:
+    """The columns of the CSV files under ``path`` in the order of their header (the first
+    file's), with the declared types; columns that aren't declared are text."""
+    header = spark.read.options(**{**CSV_OPTIONS, **options}).csv(path).columns
+    declared = {f.name: f for f in schema.fields}
+    return T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in header])
+
+
 def read_raw(
     spark: SparkSession,
     path: str,
@@ -47,21 +56,29 @@ def read_raw(
 ) -> DataFrame:
     """Typed batch read of raw files under ``path`` (all subfolders).
 
+    CSV columns are found by their header name: their order is free, further columns
+    are left out and missing ones are null. All files of one read must have the same
+    header; one that differs fails the read.
+
     With ``keep_corrupt`` a line whose values do not parse as the declared types
     keeps its raw text in ``_corrupt_record`` (its typed fields are null), so the
     job can quarantine it instead of silently treating the value as missing.
     """
+    found = layout(spark, path, schema, **options) if fmt == "csv" else schema
     if keep_corrupt:
-        schema = with_corrupt_column(schema)
+        schema, found = with_corrupt_column(schema), with_corrupt_column(found)
         options = {**CORRUPT_OPTIONS, **options}
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(found)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
     elif fmt == "json":
         reader = reader.option("recursiveFileLookup", "true").option("mode", "PERMISSIVE")
     else:
         raise ValueError(f"unsupported raw format {fmt!r}")
-    return reader.options(**options).format(fmt).load(path)
+    rows = reader.options(**options).format(fmt).load(path)
+    return rows.select(
+        *(F.col(f.name) if f.name in found.names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields)
+    )
 
 
 def read_customers(spark: SparkSession, root: str, fmt: str = "csv", keep_corrupt: bool = False) -> DataFrame:
@@ -82,7 +99,11 @@ def stream_raw(
     max_files: int | None = None,
     keep_corrupt: bool = False,
 ) -> DataFrame:
-    """A4: the same typed read as a file stream: each trigger sees only new files."""
+    """A4: a typed read as a file stream: each trigger sees only new files.
+
+    A stream's schema is fixed when it starts, so CSV files must have the declared
+    columns in their declared order; a file with another header fails the batch.
+    """
     if keep_corrupt:
         schema = with_corrupt_column(schema)
     reader = spark.readStream.schema(schema)

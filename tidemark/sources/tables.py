@@ -221,6 +221,19 @@ def bus_records(events: DataFrame) -> DataFrame:
     return events.select("event_id", body.alias("body"))
 
 
+def start_reports(events: DataFrame, refused_every: int = 8) -> DataFrame:
+    """events → what a launcher reports for each: (event_id, run_id, start_error).
+
+    Every ``refused_every``-th start is refused and has no run id.
+    """
+    refused = F.col("event_id") % refused_every == 0
+    return events.select(
+        "event_id",
+        F.when(~refused, F.concat(F.lit("run_"), F.col("event_id").cast("string"))).alias("run_id"),
+        F.when(refused, F.lit("Start refused")).alias("start_error"),
+    )
+
+
 def job_runs(events: DataFrame) -> DataFrame:
     """events → job runs: error events are FAILED runs; of the others every seventh
     still runs, every seventh was stopped, and the rest SUCCEEDED.
