@@ -124,44 +124,89 @@ def test_processing_time_trigger_keeps_running(spark, tmp):
     assert spark.read.parquet(staged).count() == 8
 
 
-def test_gold_refresh_rewrites_only_touched_buckets(spark, tmp):
+def gold_equals_one_shot(spark, gold, df=None):
     from tidemark.plans.sales_job import process_sales
-    from tidemark.streaming.ingest import ingest_and_refresh
+    from tidemark.streaming.ingest import current_gold
+
+    df = read_raw(spark, f"{DATA}/sales.csv", RAW_SALES) if df is None else df
+    full = process_sales(clean_sales(df, AS_OF), "window")
+    got = current_gold(spark, gold).select(*full.columns)
+    return got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+
+
+def test_gold_refresh_recomputes_only_touched_customers(spark, tmp):
+    from tidemark.streaming.ingest import compact_gold, ingest_and_refresh
 
     raw, staged, gold, ckpt = f"{tmp}/raw", f"{tmp}/staged", f"{tmp}/gold", f"{tmp}/ckpt"
     split_sales(spark, f"{raw}/a", 1)
-    ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=16, as_of=AS_OF)
-    before = {d: os.listdir(f"{gold}/{d}") for d in os.listdir(gold) if d.startswith("customer_bucket=")}
-    # second drop: sales 5..8 (customers 2, 4, 5, 1)
+    ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=2, as_of=AS_OF)
+    first = sorted(os.listdir(f"{gold}/updates/batch_id=0"))
+    # second drop: sales 5..8 (customers 2, 4, 5, 1); customer 3 shares a bucket with some of them
     split_sales(spark, f"{raw}/b", 2)
-    ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=16, as_of=AS_OF)
-    after = {d: os.listdir(f"{gold}/{d}") for d in os.listdir(gold) if d.startswith("customer_bucket=")}
-    touched = spark.createDataFrame([("2",), ("4",), ("5",), ("1",)], "customer_id string").select(
-        F.pmod(F.xxhash64("customer_id"), F.lit(16)).alias("b")
-    )
-    touched_dirs = {f"customer_bucket={r.b}" for r in touched.collect()}
-    # the staged history is bucketed too, so a refresh reads only touched buckets
-    assert {d for d in os.listdir(staged) if d.startswith("customer_bucket=")} >= touched_dirs
+    ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=2, as_of=AS_OF)
+    assert sorted(os.listdir(f"{gold}/updates/batch_id=0")) == first  # nothing is rewritten in place
+    written = spark.read.parquet(f"{gold}/updates/batch_id=1")
+    assert {r.customer_id for r in written.select("customer_id").distinct().collect()} == {"1", "2", "4", "5"}
     import contextlib
     import io
 
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        spark.read.parquet(staged).filter(F.col("customer_bucket").isin(1, 2)).explain("formatted")
-    plan = buf.getvalue()
-    assert "PartitionFilters: [customer_bucket" in plan and "IN (1,2)" in plan
-    for d, files in before.items():
-        if d not in touched_dirs:
-            assert after[d] == files  # untouched buckets keep their files
-    full = process_sales(clean_sales(read_raw(spark, f"{DATA}/sales.csv", RAW_SALES), AS_OF), "window")
-    got = spark.read.parquet(gold).drop("customer_bucket")
-    assert got.select(*full.columns).exceptAll(full).count() == 0
-    assert full.exceptAll(got.select(*full.columns)).count() == 0
+        spark.read.parquet(staged).filter(F.col("customer_bucket").isin(0, 1)).explain("formatted")
+    assert "PartitionFilters: [customer_bucket" in buf.getvalue()  # a refresh reads only touched buckets
+    assert gold_equals_one_shot(spark, gold)
+    assert compact_gold(spark, gold) == 1 and os.listdir(f"{gold}/updates") == []
+    assert gold_equals_one_shot(spark, gold)
+    assert compact_gold(spark, gold) == 1  # nothing new
+    # an unfinished refresh is not seen
+    spark.range(1).write.parquet(f"{gold}/updates/batch_id=9")
+    os.remove(f"{gold}/updates/batch_id=9/_SUCCESS")
+    assert gold_equals_one_shot(spark, gold)
+
+
+def test_gold_refresh_after_compaction(spark, tmp):
+    from tidemark.streaming.ingest import compact_gold, ingest_and_refresh
+
+    raw, staged, gold, ckpt = f"{tmp}/raw", f"{tmp}/staged", f"{tmp}/gold", f"{tmp}/ckpt"
+    split_sales(spark, f"{raw}/a", 1)
+    ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=4, as_of=AS_OF)
+    assert compact_gold(spark, gold) == 0
+    split_sales(spark, f"{raw}/b", 2)
+    ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=4, as_of=AS_OF)
+    assert gold_equals_one_shot(spark, gold)
+    assert compact_gold(spark, gold) == 1 and gold_equals_one_shot(spark, gold)
+
+
+def test_new_checkpoint_over_staged_rows_fails(spark, tmp):
+    import pytest
+
+    from tidemark.streaming.ingest import ingest_and_refresh
+
+    raw, staged, gold = f"{tmp}/raw", f"{tmp}/staged", f"{tmp}/gold"
+    split_sales(spark, f"{raw}/a", 1)
+    ingest_and_refresh(spark, raw, staged, gold, f"{tmp}/ckpt", as_of=AS_OF)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        ingest_and_refresh(spark, raw, staged, gold, f"{tmp}/ckpt2", as_of=AS_OF)
+
+
+def test_segments_after_a_checkpoint_reset(spark, tmp):
+    """A new checkpoint reads all files again; its updates must count, not those in the old base."""
+    from tidemark.streaming.ingest import compact_segment_updates
+
+    raw, upd, base = f"{tmp}/raw", f"{tmp}/updates", f"{tmp}/base"
+    split_sales(spark, f"{raw}/a", 1)
+    stream_segments(spark, raw, upd, f"{tmp}/ckpt", base_path=base)
+    compact_segment_updates(spark, upd, base)
+    split_sales(spark, f"{raw}/b", 2)
+    stream_segments(spark, raw, upd, f"{tmp}/ckpt2", base_path=base)
+    assert [d for d in os.listdir(upd) if d.startswith("batch_id=")] == ["batch_id=1"]
+    full = customer_segments(clean_sales(read_raw(spark, f"{DATA}/sales.csv", RAW_SALES)))
+    cols = ["customer_id", "total_spent", "total_orders", "first_purchase_date", "last_purchase_date", "customer_segment"]
+    assert rows(current_segments(spark, upd, base), *cols) == rows(full, *cols)
 
 
 def test_many_small_batches_equal_one_shot(spark, tmp):
     """Four files, one per micro-batch: staged rows and refreshed gold equal one-shot processing."""
-    from tidemark.plans.sales_job import process_sales
     from tidemark.streaming.ingest import ingest_and_refresh
 
     raw, staged, gold, ckpt = f"{tmp}/raw", f"{tmp}/staged", f"{tmp}/gold", f"{tmp}/ckpt"
@@ -171,9 +216,7 @@ def test_many_small_batches_equal_one_shot(spark, tmp):
     ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=8, as_of=AS_OF, max_files=1)
     batches = {r.batch_id for r in spark.read.parquet(staged).select("batch_id").distinct().collect()}
     assert len(batches) == 4
-    full = process_sales(clean_sales(df, AS_OF), "window")
-    got = spark.read.parquet(gold).drop("customer_bucket").select(*full.columns)
-    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert gold_equals_one_shot(spark, gold, df)
 
 
 def test_segment_compaction(spark, tmp):
@@ -210,22 +253,18 @@ def test_sales_job_hot_customer_path(spark, tmp):
 def test_gold_refresh_with_hot_customers(spark, tmp):
     """Threshold 1: customers with two or more sales take the skew-safe path inside
     each micro-batch's refresh; the gold table still equals one-shot processing."""
-    from tidemark.plans.sales_job import process_sales
     from tidemark.streaming.ingest import ingest_and_refresh
 
     raw, staged, gold, ckpt = f"{tmp}/raw", f"{tmp}/staged", f"{tmp}/gold", f"{tmp}/ckpt"
     split_sales(spark, f"{raw}/a", 1)
     split_sales(spark, f"{raw}/b", 2)
     ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=4, as_of=AS_OF, max_files=1, max_rows=1)
-    full = process_sales(clean_sales(read_raw(spark, f"{DATA}/sales.csv", RAW_SALES), AS_OF), "window")
-    got = spark.read.parquet(gold).drop("customer_bucket").select(*full.columns)
-    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert gold_equals_one_shot(spark, gold)
 
 
 def test_replayed_batch_is_idempotent(spark, tmp):
     """A crash after a batch's writes but before its commit: the stream replays the
     batch, which overwrites its own partitions — no duplicate rows, same gold."""
-    from tidemark.plans.sales_job import process_sales
     from tidemark.streaming.ingest import ingest_and_refresh
 
     raw, staged, gold, ckpt = f"{tmp}/raw", f"{tmp}/staged", f"{tmp}/gold", f"{tmp}/ckpt"
@@ -239,9 +278,7 @@ def test_replayed_batch_is_idempotent(spark, tmp):
     ingest_and_refresh(spark, raw, staged, gold, ckpt, buckets=4, as_of=AS_OF)
     assert os.path.exists(f"{ckpt}/commits/0")
     assert spark.read.parquet(staged).count() == 8
-    full = process_sales(clean_sales(read_raw(spark, f"{DATA}/sales.csv", RAW_SALES), AS_OF), "window")
-    got = spark.read.parquet(gold).drop("customer_bucket").select(*full.columns)
-    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert gold_equals_one_shot(spark, gold)
 
 
 def test_rolling_segments_replay_is_idempotent(spark, tmp):

@@ -50,6 +50,7 @@ from tidemark.sinks import write_partitioned
 from tidemark.sources.events import malformed_events, parse_bus_events, parse_manifest
 from tidemark.sources.files import CORRUPT_COLUMN, read_customers, read_sales
 from tidemark.streaming.ingest import (
+    current_gold,
     current_segments,
     ingest_and_refresh,
     ingest_sales,
@@ -402,14 +403,14 @@ def q_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
-    """§7.4: two drops of files; each micro-batch refreshes only touched customer buckets."""
+    """§7.4: two drops of files; each micro-batch refreshes only the customers it touched."""
     root = scratch_path(spark, "gold-refresh")
     raw, staged, gold, ckpt = f"{root}/raw", f"{root}/staged", f"{root}/gold", f"{root}/_checkpoint"
     write_orders_csv(spark, sf, f"{raw}/drop=1", "early")
     ingest_and_refresh(spark, raw, staged, gold, ckpt, as_of=AS_OF)
     write_orders_csv(spark, sf, f"{raw}/drop=2", "late")
     ingest_and_refresh(spark, raw, staged, gold, ckpt, as_of=AS_OF)
-    return spark.read.parquet(gold).select(
+    return current_gold(spark, gold).select(
         "sale_id", "customer_id", "amount", "sale_date", "monthly_total", "yearly_total",
         "order_rank_in_month", "running_total", "customer_segment", "total_orders",
     )

@@ -10,7 +10,9 @@ customer's totals are wrong as soon as their sales span two runs. Here:
 * ``rebuild_sales_gold`` — gold tables (metrics, segments) are recomputed over
   the whole staged table into a fresh version folder, never in place.
 * ``ingest_and_refresh`` — per micro-batch: append the staged rows, then
-  recompute gold only for the customer buckets the batch touched.
+  recompute gold only for the customers the batch touched, into a folder of its
+  own; ``current_gold`` reads each customer's newest rows and ``compact_gold``
+  folds the batches into a base.
 * ``stream_segments`` — segment aggregates kept up to date by a stateful
   streaming aggregation; each batch's updated customers are written to their
   own ``batch_id`` partition (overwritten on replay, so idempotent) and read back
@@ -106,35 +108,93 @@ def refresh_sales_gold(
     spark: SparkSession,
     staged_path: str,
     gold_path: str,
-    touched_buckets: list[int],
-    buckets: int = DEFAULT_BUCKETS,
+    batch_id: int,
     as_of: _dt.datetime | str | None = None,
     strategy: str = "auto",
     max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> None:
-    """Recompute processed sales only for the customer buckets a batch touched.
-
-    Every metric is per customer (all windows partition by customer_id), so the
-    full history of the customers in the touched buckets gives exactly the rows a
-    full rebuild would give for them. The staged table is partitioned by
-    ``customer_bucket``, so only those buckets' files are read (partition
-    pruning on a list of at most ``buckets`` values). The gold table is
-    partitioned the same way and only the touched partitions are replaced
-    (dynamic overwrite), so a replayed batch rewrites the same buckets.
+    """Recompute processed sales for the customers with a valid row in batch ``batch_id``.
+
+    Every metric is per customer (all windows partition by customer_id), so these
+    customers' whole history up to the batch gives exactly the rows a full rebuild
+    would give for them. The history is read from the touched buckets' files alone
+    (partition pruning on a list of at most the number of buckets) and reduced to the
+    touched customers by a semi join before anything is shuffled for the windows.
+
+    The rows go to ``<gold_path>/updates/batch_id=<n>``; nothing else is written, so
+    readers see a refresh as a whole or not at all, and a replay rewrites its own folder.
     """
-    if not touched_buckets:
-        return
     mark = scratch_mark()
     try:
-        stage = spark.read.parquet(staged_path).filter(F.col("customer_bucket").isin(*touched_buckets))
-        affected = clean_sales(kept_rows(stage), as_of)
-        out = process_sales(affected, strategy, max_rows=max_rows)
-        out = out.withColumn("customer_bucket", customer_bucket(buckets))
-        write_partitioned(out, gold_path, ["customer_bucket"], replace="touched")
+        stage = spark.read.parquet(staged_path)
+        valid = stage.filter((F.col("batch_id") == batch_id) & F.col("reject_reason").isNull())
+        touched = materialize(valid.select("customer_id", "customer_bucket").distinct(), "touched")
+        # At most as many values as there are buckets: a bounded list.
+        pruned = [r.customer_bucket for r in touched.select("customer_bucket").distinct().collect()]
+        if not pruned:
+            return
+        history = stage.filter(F.col("customer_bucket").isin(*sorted(pruned)) & (F.col("batch_id") <= batch_id))
+        mine = kept_rows(history).join(touched.select("customer_id"), "customer_id", "left_semi")
+        out = process_sales(clean_sales(mine, as_of), strategy, max_rows=max_rows)
+        write_plain(out.hint("rebalance", "customer_id"), f"{gold_path.rstrip('/')}/updates/batch_id={batch_id}")
     finally:
         release_scratch(spark, mark)
 
 
+def _gold_versions(spark: SparkSession, gold_path: str) -> tuple[int | None, list[int]]:
+    """The newest complete base, and the complete updates after it."""
+    root = gold_path.rstrip("/")
+    bases = _numbered(spark, f"{root}/base", "v", need_success=True)
+    base = bases[-1] if bases else None
+    updates = _numbered(spark, f"{root}/updates", "batch_id", need_success=True)
+    return base, [n for n in updates if base is None or n > base]
+
+
+def current_gold(spark: SparkSession, gold_path: str) -> DataFrame:
+    """Processed sales as of the last refresh: of each customer the rows of their newest version.
+
+    The newest versions come from a key-only aggregate that is combined map-side. With
+    a single version nothing is joined.
+    """
+    root = gold_path.rstrip("/")
+    base, updates = _gold_versions(spark, gold_path)
+    parts = [] if base is None else [spark.read.parquet(f"{root}/base/v={base}").withColumn("_version", F.lit(base))]
+    if updates:
+        folders = [f"{root}/updates/batch_id={n}" for n in updates]
+        newer = spark.read.option("basePath", f"{root}/updates").parquet(*folders)
+        parts.append(newer.withColumn("_version", F.col("batch_id").cast("int")).drop("batch_id"))
+    if not parts:
+        raise ValueError(f"no gold rows under {gold_path}")
+    if len(parts) + len(updates) <= 2 and (base is None or not updates):
+        return parts[0].drop("_version")
+    rows = parts[0]
+    for extra in parts[1:]:
+        rows = rows.unionByName(extra)
+    newest = rows.groupBy("customer_id").agg(F.max("_version").alias("_version"))
+    return rows.join(newest, ["customer_id", "_version"]).drop("_version")
+
+
+def compact_gold(spark: SparkSession, gold_path: str) -> int | None:
+    """Fold the refreshes into ``<gold_path>/base/v=<last batch>`` and delete what it covers.
+
+    Crash-safe: the base is complete (``_SUCCESS``) before anything is deleted, and
+    readers ignore updates at or below the newest base. The base before it stays, for
+    readers that still use it.
+    """
+    root = gold_path.rstrip("/")
+    base, updates = _gold_versions(spark, gold_path)
+    if not updates:
+        return base
+    top = updates[-1]
+    write_plain(current_gold(spark, gold_path).hint("rebalance", "customer_id"), f"{root}/base/v={top}")
+    old = [f"{root}/updates/batch_id={n}" for n in _numbered(spark, f"{root}/updates", "batch_id") if n <= top]
+    old += [f"{root}/base/v={n}" for n in _numbered(spark, f"{root}/base", "v") if n < (base if base is not None else top)]
+    for folder in old:
+        path, fs = _hadoop_fs(spark, folder)
+        fs.delete(path, True)
+    return top
+
+
 def ingest_and_refresh(
     spark: SparkSession,
     raw_dir: str,
@@ -148,28 +208,24 @@ def ingest_and_refresh(
     max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ):
     """One stream run (availableNow): each micro-batch appends its staged rows
-    (``batch_id`` partition, overwritten on replay) and refreshes the gold buckets
-    of the customers it touched."""
+    (``batch_id`` partition, overwritten on replay) and refreshes the gold rows
+    of the customers it touched.
+
+    ``buckets`` is fixed for the life of a staged table; choose it so that a bucket's
+    history is a few files. A new checkpoint would read every file again, so with
+    staged rows of another stream the run fails instead of doubling them.
+    """
+    if not _started(spark, checkpoint) and _numbered(spark, staged_path, "customer_bucket"):
+        raise ValueError(f"{staged_path} holds the rows of another checkpoint than {checkpoint}")
     staged = stage_sales(stream_raw(spark, raw_dir, RAW_SALES, fmt, max_files, keep_corrupt=True))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Staged rows land in (customer_bucket, batch_id) partitions: a replay
         # overwrites exactly its own partitions, and a refresh reads only the
         # buckets it needs.
-        (
-            batch.withColumns({"customer_bucket": customer_bucket(buckets), "batch_id": F.lit(batch_id)})
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("customer_bucket", "batch_id")
-            .parquet(staged_path)
-        )
-        written = spark.read.parquet(staged_path).filter(F.col("batch_id") == batch_id)
-        # At most ``buckets`` distinct values: a bounded list.
-        touched = [
-            r.customer_bucket
-            for r in written.filter(F.col("reject_reason").isNull()).select("customer_bucket").distinct().collect()
-        ]
-        refresh_sales_gold(spark, staged_path, gold_path, sorted(touched), buckets, as_of, max_rows=max_rows)
+        placed = batch.withColumns({"customer_bucket": customer_bucket(buckets), "batch_id": F.lit(batch_id)})
+        write_partitioned(placed, staged_path, ["customer_bucket", "batch_id"], spread_by=["customer_id"], replace="touched")
+        refresh_sales_gold(spark, staged_path, gold_path, batch_id, as_of, max_rows=max_rows)
 
     query = (
         staged.writeStream.foreachBatch(handle)
@@ -201,15 +257,23 @@ def stream_segments(
     updates_path: str,
     checkpoint: str,
     fmt: str = "csv",
+    base_path: str | None = None,
 ):
-    """K4: run the segment stream once over all new files (availableNow)."""
+    """K4: run the segment stream once over all new files (availableNow).
+
+    Update folders are numbered on from the newest one that is there when a checkpoint
+    is first used, bases under ``base_path`` included (give it where updates are
+    compacted): after a reset, the state that is built anew replaces the older one
+    instead of hiding below it.
+    """
+    first = _first_number(spark, checkpoint, updates_path, base_path)
     # The batch job's staging rule: malformed lines are marked, and then not kept.
     stream = stream_raw(spark, raw_dir, RAW_SALES, fmt, keep_corrupt=True)
     clean = clean_sales(kept_rows(stage_sales(stream)), with_provenance=False)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.withColumn("batch_id", F.lit(batch_id))
+            batch.withColumn("batch_id", F.lit(first + batch_id))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
@@ -253,6 +317,30 @@ def _numbered(spark: SparkSession, root: str, prefix: str, need_success: bool =
     return sorted(out)
 
 
+def _started(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a stream has planned a batch with this checkpoint."""
+    path, fs = _hadoop_fs(spark, f"{checkpoint.rstrip('/')}/offsets")
+    return fs.exists(path)
+
+
+FIRST = "first_batch"
+
+
+def _first_number(spark: SparkSession, checkpoint: str, updates_path: str, base_path: str | None) -> int:
+    """The number of this checkpoint's first update; kept with it as an empty folder's name."""
+    root = checkpoint.rstrip("/")
+    known = _numbered(spark, root, FIRST)
+    if known:
+        return known[-1]
+    taken = [] if _started(spark, checkpoint) else _numbered(spark, updates_path, "batch_id")
+    if base_path and not _started(spark, checkpoint):
+        taken += _numbered(spark, base_path, "v")
+    first = max(taken, default=-1) + 1
+    path, fs = _hadoop_fs(spark, f"{root}/{FIRST}={first}")
+    fs.mkdirs(path)
+    return first
+
+
 def _latest_state(spark: SparkSession, updates_path: str, base_path: str | None) -> DataFrame:
     """Latest raw state per customer: the newest complete base plus the update
     batches newer than it (older batches are not read at all)."""
