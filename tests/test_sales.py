@@ -266,3 +266,20 @@ def test_hot_customer_skew_safe_equals_window(spark):
     assert ranked.groupBy("sales_month").agg(F.max("rn").alias("m"), F.count("*").alias("n")).filter(
         "m != n"
     ).count() == 0
+
+
+def test_missing_values_are_not_checked(spark):
+    """A value rule judges only rows with a value; not_null judges all."""
+    from tidemark.operators.quality import Rule, check, quality_score
+
+    df = spark.createDataFrame([(1, 5.0, "a"), (2, None, None), (3, 50.0, "z"), (None, None, "a")], "id int, x double, s string")
+    rules = (
+        Rule("x_range", "range", "x", low=0.0, high=10.0),
+        Rule("s_known", "allowed", "s", values=("a",)),
+        Rule("id_there", "not_null", "id", weight=2.0),
+        Rule("id_unique", "unique", "id"),
+    )
+    report = check(df, rules, "t")
+    got = {r.rule: (r.checked, r.failed) for r in report.collect()}
+    assert got == {"x_range": (2, 1), "s_known": (3, 1), "id_there": (4, 1), "id_unique": (3, 0)}
+    assert abs(quality_score(report).first().quality_score - (150 + 100 + 200 / 3 + 50) / 5) < 1e-9

@@ -149,6 +149,10 @@ def check(
     """One row per rule: (table_name, rule, kind, column_name, checked, failed,
     pass_rate, weight, passed).
 
+    ``checked`` counts the rows a rule can judge: all rows for not_null, the rows with a
+    value for the others, so missing values don't lift the pass rate of a value rule.
+    Without such a row the rate is 100.
+
     All rules are one aggregate over one scan (reference rules join the distinct
     reference keys first); the single result row is unpivoted into rule rows.
     """
@@ -161,10 +165,11 @@ def check(
             ref = references[r.name]
             keys = ref.select(F.col(ref.columns[0]).alias(r.column)).distinct()
             data = data.join(keys.withColumn(f"_hit{i}", F.lit(True)), r.column, "left")
-    aggs = [F.count(F.lit(1)).alias("_total")]
+    aggs = []
     for i, r in enumerate(rules):
+        judged = F.lit(1) if r.kind == "not_null" else F.col(r.column)
+        aggs.append(F.count(judged).alias(f"_n{i}"))
         if r.kind == "unique":
-            aggs.append(F.count(F.col(r.column)).alias(f"_n{i}"))
             aggs.append(F.count_distinct(F.col(r.column)).alias(f"_d{i}"))
         elif r.kind == "reference":
             aggs.append(
@@ -184,7 +189,7 @@ def check(
                 F.lit(r.name).alias("rule"),
                 F.lit(r.kind).alias("kind"),
                 F.lit(r.column).alias("column_name"),
-                F.col("_total").alias("checked"),
+                F.col(f"_n{i}").alias("checked"),
                 failed.cast("bigint").alias("failed"),
                 F.lit(float(r.weight)).alias("weight"),
                 F.lit(float(r.threshold)).alias("_threshold"),
@@ -204,9 +209,17 @@ def check(
 
 
 def quality_score(report: DataFrame) -> DataFrame:
-    """Weighted mean of rule pass rates per table, plus rule counts."""
+    """Weighted mean of rule pass rates per table, plus rule counts.
+
+    A table's rules (a short, given list) are added up in the order of their names, so
+    the score doesn't depend on how rows were partitioned.
+    """
+    def added(value: Column) -> Column:
+        of_rules = F.array_sort(F.collect_list(F.struct(F.col("rule"), value.alias("x"))))
+        return F.aggregate(of_rules, F.lit(0.0), lambda total, r: total + r["x"])
+
     return report.groupBy("table_name").agg(
-        (F.sum(F.col("pass_rate") * F.col("weight")) / F.sum("weight")).alias("quality_score"),
+        (added(F.col("pass_rate") * F.col("weight")) / added(F.col("weight"))).alias("quality_score"),
         F.count(F.lit(1)).alias("rules_checked"),
         F.count_if("passed").alias("rules_passed"),
     )

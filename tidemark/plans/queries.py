@@ -246,9 +246,10 @@ def q_orphan_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_quality_report(spark: SparkSession, sf: str) -> DataFrame:
-    sales = orders_clean(spark, sf)
+    """I6/I8 on the orders, whose status is missing on every eleventh."""
+    status = F.when(F.col("sale_id") % 11 != 0, F.col("product_id"))
     return check(
-        sales,
+        orders_clean(spark, sf).withColumn("product_id", status),
         QUALITY_RULES,
         "processed_sales",
         references={"customer_known": active_customers(spark, sf)},
@@ -257,9 +258,7 @@ def q_quality_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_quality_score(spark: SparkSession, sf: str) -> DataFrame:
-    return quality_score(q_quality_report(spark, sf)).withColumn(
-        "quality_score", F.round("quality_score", 9)
-    )
+    return quality_score(q_quality_report(spark, sf))
 
 
 def q_reject_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -63,7 +63,7 @@ def ingest_sales(
     return query
 
 
-def staged_clean(spark: SparkSession, staged_path: str, as_of: _dt.datetime | str | None = None) -> DataFrame:
+def staged_clean(spark: SparkSession, staged_path: str, as_of: _dt.datetime | str) -> DataFrame:
     """The valid staged rows, cleaned (the input of every gold table)."""
     return clean_sales(kept_rows(spark.read.parquet(staged_path)), as_of)
 
@@ -73,7 +73,7 @@ def rebuild_sales_gold(
     staged_path: str,
     gold_root: str,
     version: str,
-    as_of: _dt.datetime | str | None = None,
+    as_of: _dt.datetime | str,
     strategy: str = "auto",
     max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> str:
@@ -109,7 +109,7 @@ def refresh_sales_gold(
     staged_path: str,
     gold_path: str,
     batch_id: int,
-    as_of: _dt.datetime | str | None = None,
+    as_of: _dt.datetime | str,
     strategy: str = "auto",
     max_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> None:
@@ -202,7 +202,8 @@ def ingest_and_refresh(
     gold_path: str,
     checkpoint: str,
     buckets: int = DEFAULT_BUCKETS,
-    as_of: _dt.datetime | str | None = None,
+    *,
+    as_of: _dt.datetime | str,
     fmt: str = "csv",
     max_files: int | None = None,
     max_rows: int = DEFAULT_MAX_GROUP_ROWS,
