@@ -325,6 +325,11 @@ def brute_segments(scores):
     return brute_segments(scores[:i]) + [span] + shift(brute_segments(scores[j + 1 :]), j + 1)
 
 
+def test_segment_search_is_linear():
+    hits = [(7 * i, 1.0) for i in range(300_000)]  # every segment starts lower than all before it
+    assert len(toxicity.segments(hits, -0.5)) == len(hits)
+
+
 def test_segments_are_the_maximal_ones():
     rng = np.random.default_rng(4)
     for _ in range(80):

@@ -68,24 +68,25 @@ def segments(hits: list[tuple[int, float]], other: float) -> list[tuple[int, int
 
     ``hits`` lists the positive tokens as (position, score); every token between them
     scores ``other`` < 0. Candidates are kept with the cumulative score on their left
-    and right; a new one absorbs those its left end does not exceed.
+    and right, and the nearest earlier one that is lower on its left: a new candidate
+    only follows these, so those it has passed are never looked at again.
     """
-    out: list[tuple[int, int, float, float]] = []  # first, last, left sum, right sum
+    out: list[tuple[int, int, float, float, int]] = []  # first, last, left sum, right sum, lower one
     total, seen = 0.0, 0
     for at, score in hits:
         left = total + other * (at - seen)
         total, seen = left + score, at + 1
-        first, right = at, total
+        first, j = at, len(out) - 1
         while True:
-            j = len(out) - 1
             while j >= 0 and out[j][2] >= left:
-                j -= 1
-            if j < 0 or out[j][3] >= right:
-                out.append((first, at, left, right))
+                j = out[j][4]
+            if j < 0 or out[j][3] >= total:
+                out.append((first, at, left, total, j))
                 break
-            first, left = out[j][0], out[j][2]
+            first, left, lower = out[j][0], out[j][2], out[j][4]
             del out[j:]
-    return [(a, b, r - x) for a, b, x, r in out]
+            j = lower
+    return [(a, b, r - x) for a, b, x, r, _ in out]
 
 
 class Lexicon(dict):
