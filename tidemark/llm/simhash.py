@@ -11,8 +11,9 @@ tree is sent to the searches of every later block. Links leave a task as a spann
 what hangs together there, so a dense group never turns into all its pairs.
 
 Defined cases: a null text is empty; texts without words have the fingerprint zero and link
-like any other; repeated rows and ids link through their equal fingerprints; a null id takes
-part, gets its component, but can't name one unless all ids of the component are null.
+like any other; repeated rows and ids link through their equal fingerprints; a row without an
+id gets the component of the rows with its fingerprint, and null where none of them has an
+id: such a fingerprint links nothing.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from tidemark.llm.components import components
 
 WORDS, SEED, RADIUS = 3, 42, 3
 BANDS = RADIUS + 1
-#: Fingerprints a shard should hold, and in one block of a band value.
+#: Rows a shard should hold, and fingerprints in one block of a band value.
 PER_SHARD, PER_BLOCK = 40_000, 8_000
 #: Hashes added up at once; bounds the memory for very long texts.
 HASH_BLOCK = 1 << 16
@@ -147,7 +148,7 @@ def _links(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": reps[tied], "b": reps[low[tied]]})
 
 
-def links(distinct: DataFrame, count: int) -> DataFrame:
+def links(distinct: DataFrame) -> DataFrame:
     """(a, b): representatives whose fingerprints are within the radius, enough of them to connect all such.
 
     ``distinct`` has one row (fp, rep) for each fingerprint.
@@ -160,7 +161,9 @@ def links(distinct: DataFrame, count: int) -> DataFrame:
     placed = placed.withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     # Each pair of blocks of a band value meets once: the later one searches the earlier one's tree.
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    shards = max(1, -(-BANDS * count // PER_SHARD))
+    # A row for each block its own meets: what the shards hold follows from the sizes.
+    held = sizes.agg(F.sum(F.col("n") * F.ceil(F.col("n") / PER_BLOCK)).alias("rows")).first()["rows"] or 0
+    shards = max(1, -(-held // PER_SHARD))
     rows = met.select(
         "fp", "rep",
         F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("tree"),
@@ -174,7 +177,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prints = materialize(fingerprints(docs), "simhash")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
     named = distinct.where(F.col("rep").isNotNull())
-    found = components(links(named, named.count()), "a", "b")
+    found = components(links(named), "a", "b")
     classes = distinct.join(found, distinct["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
