@@ -39,6 +39,19 @@ def test_skew_safe_never_groups_rows_by_customer(spark):
             assert "_day_sum" in line or "_we" in line
 
 
+def test_hot_rows_are_read_once(spark):
+    """The hot customers' ranks, totals and segments all come from the rows as written in slices."""
+    hot_only = plan(process_sales(orders_clean(spark, SF_SMALL), "skew_safe"))
+    assert "orders.parquet" not in hot_only and "rank-slices" in hot_only
+    split = plan(process_sales(orders_clean(spark, SF_SMALL), "auto", max_rows=5))
+    assert split.count("orders.parquet") == 1  # the light customers' rows; the hot ones' read made the slices
+
+
+def test_no_hot_customer_in_empty_sales(spark):
+    empty = orders_clean(spark, SF_SMALL).limit(0)
+    assert process_sales(empty, "auto", max_rows=5).count() == 0
+
+
 def test_pushdown_and_pruning(spark):
     p = plan(q_customer_segments(spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(o_totalprice), IsNotNull(o_custkey)]" in p

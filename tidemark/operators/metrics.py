@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import TOTAL_TYPE
 from tidemark.operators.ranking import (
+    number_slices,
+    rank_slices,
     row_number_skew_safe,
     row_number_window,
     split_hot,
@@ -95,15 +97,21 @@ def metrics_window(df: DataFrame, month_scope: str) -> DataFrame:
     return out.select(*df.columns, *METRIC_COLUMNS)
 
 
-def daily_totals(df: DataFrame, month_scope: str = "month") -> DataFrame:
+def daily_totals(df: DataFrame, month_scope: str = "month", customer_totals: bool = False) -> DataFrame:
     """Per (customer_id, sale_date): month/year totals, month average, running total.
 
+    With ``customer_totals`` also the customer's total_spent and total_orders.
+
     The only pass over the rows is a partial aggregate; everything after it works
     on at most one row per customer and calendar day.
     """
     daily = (
         df.groupBy("customer_id", "sale_date")
-        .agg(F.sum("amount").alias("_day_sum"), F.count("amount").alias("_day_n"))
+        .agg(
+            F.sum("amount").alias("_day_sum"),
+            F.count("amount").alias("_day_n"),
+            *([F.count("sale_id").alias("_day_orders")] if customer_totals else []),
+        )
         .withColumns({"sales_year": F.year("sale_date"), "sales_month": F.month("sale_date")})
         .repartition("customer_id")
     )
@@ -115,6 +123,11 @@ def daily_totals(df: DataFrame, month_scope: str = "month") -> DataFrame:
         .orderBy(F.col("sale_date").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    whole = Window.partitionBy("customer_id")
+    totals = [
+        F.sum("_day_sum").over(whole).cast(TOTAL_TYPE).alias("total_spent"),
+        F.sum("_day_orders").over(whole).alias("total_orders"),
+    ]
     return daily.select(
         "customer_id",
         "sale_date",
@@ -124,6 +137,7 @@ def daily_totals(df: DataFrame, month_scope: str = "month") -> DataFrame:
             "avg_order_value"
         ),
         F.sum("_day_sum").over(running).cast(TOTAL_TYPE).alias("running_total"),
+        *(totals if customer_totals else []),
     )
 
 
@@ -150,26 +164,20 @@ METRIC_COLUMNS = (
     "order_rank_in_month",
     "running_total",
 )
+CUSTOMER_TOTALS = ("total_spent", "total_orders")
 
 
-def metrics_skew_safe(
-    df: DataFrame, month_scope: str, per_customer: DataFrame | None = None
-) -> DataFrame:
+def metrics_skew_safe(df: DataFrame, month_scope: str, customer_totals: bool = False) -> DataFrame:
     """Rank by range slices; totals from the per-date table, joined back once.
 
-    ``per_customer`` (keyed by customer_id, e.g. segment columns) is joined into
-    the small per-date table first, so the big rows still take a single join.
+    ``df`` is read once, to write the slices: the ranks and the per-date table both
+    come from them. ``customer_totals`` adds total_spent and total_orders.
     """
-    ranked = row_number_skew_safe(df, _month_key(month_scope), rank_order(), "order_rank_in_month")
-    daily = daily_totals(df, month_scope)
-    extra: list[str] = []
-    if per_customer is not None:
-        extra = [c for c in per_customer.columns if c != "customer_id"]
-        # Null-safe: rows without a customer form a group of their own, as in the window plan.
-        keyed = per_customer.withColumnRenamed("customer_id", "_pc_id")
-        daily = daily.join(keyed, daily["customer_id"].eqNullSafe(keyed["_pc_id"]), "left").drop("_pc_id")
-    joined = attach_daily(ranked, daily)
-    return joined.select(*df.columns, *METRIC_COLUMNS, *extra)
+    keys = _month_key(month_scope)
+    slices = rank_slices(df, keys, rank_order())
+    ranked = number_slices(slices, keys, "order_rank_in_month")
+    joined = attach_daily(ranked, daily_totals(slices, month_scope, customer_totals))
+    return joined.select(*df.columns, *METRIC_COLUMNS, *(CUSTOMER_TOTALS if customer_totals else ()))
 
 
 def business_metrics(

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize, shuffle_partitions
@@ -45,19 +45,33 @@ def row_number_skew_safe(
     ``order`` should be a total order within a group (add a unique tie-breaker),
     as for any repeatable row_number.
     """
-    spark = df.sparkSession
-    n = num_slices or shuffle_partitions(spark)
+    return number_slices(rank_slices(df, group_cols, order, num_slices), group_cols, name)
+
+
+SLICE_COLUMNS = ("_rk_slice", "_rk_pos")
+
+
+def rank_slices(
+    df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], num_slices: int | None = None
+) -> DataFrame:
+    """``df`` in its slices, written once, with every row's slice and position (``SLICE_COLUMNS``)."""
+    n = num_slices or shuffle_partitions(df.sparkSession)
     key = _key(group_cols)
     # The range partitioner samples with a seed taken from its RDD id, so two plan
     # branches would cut different slices. Write the sliced rows once (slice and
     # position as columns) to a table in the shared checkpoint folder, which also
     # cuts the lineage, and let both branches read that table.
-    ranged = materialize(
+    return materialize(
         df.repartitionByRange(n, key, *order)
         .sortWithinPartitions(key, *order)
         .withColumns({"_rk_slice": F.spark_partition_id(), "_rk_pos": F.monotonically_increasing_id()}),
         "rank-slices",
-    ).withColumn("_rk_grp", key)
+    )
+
+
+def number_slices(slices: DataFrame, group_cols: Sequence[str], name: str = "row_number") -> DataFrame:
+    """The rows of ``rank_slices`` with their rank in place of slice and position."""
+    ranged = slices.withColumn("_rk_grp", _key(group_cols))
     before = Window.partitionBy("_rk_grp").orderBy("_rk_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -71,7 +85,7 @@ def row_number_skew_safe(
     return (
         ranged.join(offsets, ["_rk_grp", "_rk_slice"])
         .withColumn(name, rank.cast("int"))
-        .drop("_rk_grp", "_rk_slice", "_rk_pos", "_rk_start", "_rk_before")
+        .drop("_rk_grp", *SLICE_COLUMNS, "_rk_start", "_rk_before")
     )
 
 
@@ -92,8 +106,10 @@ def hot_keys_from_sizes(
     However many they are, they are written to the checkpoint folder and returned
     without a hint: the joins against them broadcast by measured size or not at all.
     """
-    hot = materialize(sizes.filter(F.col(size_col) > max_rows).select(*key_cols), "hot-keys")
-    return None if hot.isEmpty() else hot
+    seen = Observation("hot_keys")  # counted by the write itself: no job to look for a row
+    keys = sizes.filter(F.col(size_col) > max_rows).select(*key_cols)
+    hot = materialize(keys.observe(seen, F.count(F.lit(1)).alias("n")), "hot-keys")
+    return hot if seen.get["n"] else None
 
 
 def split_by_keys(df: DataFrame, key_cols: Sequence[str], keys: DataFrame) -> tuple[DataFrame, DataFrame]:
