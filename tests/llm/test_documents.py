@@ -352,6 +352,29 @@ def test_classifiers_on_edge_rows_and_held_out(spark, docs, labels, module, colu
     assert sum(r.predicted == r[column] for r in got) >= 0.9 * len(got)
 
 
+def test_chance_hits_of_a_long_clean_text_are_no_verdict(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 9))
+    plain, bad = [word() for _ in range(2_000)], [f"{c * 3}{word()}" for c in "qrstuvwxyz"]
+
+    def text(n, hits):
+        words = rng.choice(plain, n).tolist()
+        for i in hits:
+            words[i] = str(rng.choice(bad))
+        return " ".join(words)
+
+    rows = [(i, text(300, rng.choice(300, 1) if i % 8 == 0 else []), 0) for i in range(400)]
+    rows += [(1000 + i, text(300, range(100, 140, 5)), 1) for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    new = [(1, text(100_000, range(0, 100_000, 1_000))), (2, text(100_000, range(50_000, 50_040, 5))), (3, text(300, range(100, 140, 5))), (4, text(300, [7]))]
+    new = spark.createDataFrame(new, "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(new, model).collect()}
+    assert {i: r.predicted for i, r in got.items()} == {1: 0, 2: 1, 3: 1, 4: 0}
+    assert len(got[2].passages) == 1 and all(e.e <= toxicity.MAX_E for r in got.values() for e in r.passages)
+    assert sorted(r.doc_id for r in toxicity.drop_toxic(new, model).collect()) == [1, 4]
+
+
 def test_drop_toxic_keeps_columns_and_clean_rows(spark, docs, labels):
     table = read_table(spark, SF_SMALL.replace("0.001", "0.01"), "documents")
     model = toxicity.fit(table, read_table(spark, SF_SMALL.replace("0.001", "0.01"), "labels"))

@@ -10,11 +10,13 @@ ratios.
 
 Score. A linear-time scan finds all maximal-scoring segments of a text. A segment of
 score S in a text of n tokens has the Karlin-Altschul expectation E = K n exp(-lambda S);
-segments with E below the bound are the toxic passages. They are aggregated to the reduced
-Gumbel variate lambda * sum(S) - ln(K n), which a logistic curve turns into a probability.
+segments with E below the bound are the toxic passages. Only they count: each has the reduced
+Gumbel variate lambda * S - ln(K n) = -ln E, and a logistic curve turns their sum into a
+probability. Every passage pays for the text's length, so chance hits don't add up to a
+verdict however long a text is. K, lambda and the curve are fitted on these same segments.
 
-Defined cases: null and empty texts have no segment and score as the training documents
-without one do; without labels of both classes no token is listed and every score is 0.
+Defined cases: texts without a toxic passage, null and empty ones too, score as the training
+documents without one do; without labels of both classes no token is listed and every score is 0.
 """
 
 from __future__ import annotations
@@ -54,7 +56,7 @@ class ToxicModel:
     other: float = -0.01  # score of an unlisted token
     lam: float = 1.0
     k: float = 1e-3
-    base: float = 0.0  # score of a text without a segment
+    base: float = 0.0  # score of a text without a passage
     slope: float = 1.0
     shift: float = 0.0
 
@@ -112,19 +114,25 @@ def _hits(words: list[str], lexicon: Lexicon) -> list[tuple[int, float]]:
     return [(i, s) for i, s in enumerate(map(lexicon.__getitem__, words)) if s is not None]
 
 
-def passages(words: list[str], model: ToxicModel, lexicon: Lexicon) -> tuple[list[tuple[int, int, float, float]], float]:
-    """The significant segments (first, last, score, E) and the sum of all segments' scores."""
-    found = segments(_hits(words, lexicon), model.other)
-    n = len(words)
-    kept = [(a, b, s, e) for a, b, s in found if (e := model.k * n * math.exp(-min(700.0, model.lam * s))) <= MAX_E]
-    return kept, sum(s for *_, s in found)
+def significant(hits: list[tuple[int, float]], n: int, model: ToxicModel) -> list[tuple[int, int, float, float]]:
+    """The segments (first, last, score, E) that chance hardly gives a text of ``n`` tokens."""
+    found = segments(hits, model.other)
+    return [(a, b, s, e) for a, b, s in found if (e := model.k * n * math.exp(-min(600.0, model.lam * s))) <= MAX_E]
 
 
-def probability(total: float, n: int, model: ToxicModel) -> float:
-    if total <= 0:
+def passages(words: list[str], model: ToxicModel, lexicon: Lexicon) -> list[tuple[int, int, float, float]]:
+    return significant(_hits(words, lexicon), len(words), model)
+
+
+def strength(kept: list[tuple[int, int, float, float]]) -> float:
+    """The passages' reduced variates, summed: 0 without one, else above 0."""
+    return -sum(math.log(e) for *_, e in kept)
+
+
+def probability(kept: list[tuple[int, int, float, float]], model: ToxicModel) -> float:
+    if not kept:
         return model.base
-    z = model.lam * total - math.log(model.k * max(n, 1))
-    return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, model.slope * z + model.shift))))
+    return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, model.slope * strength(kept) + model.shift))))
 
 
 def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,7 +213,7 @@ def _logistic(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
     return max(a, 0.05), b
 
 
-def _measure(scores: dict[str, float]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _find(scores: dict[str, float]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon(scores)
         for batch in batches:
@@ -213,8 +221,32 @@ def _measure(scores: dict[str, float]) -> Callable[[Iterator[pd.DataFrame]], Ite
             for text, label in zip(batch["text"], batch["label"], strict=True):
                 words = tokens(text)
                 hits = _hits(words, lexicon)
-                rows.append((label, len(words), len(hits), sum(s for _, s in hits)))
-            yield pd.DataFrame(rows, columns=["label", "n", "hits", "total"])
+                rows.append((label, len(words), [i for i, _ in hits], [s for _, s in hits]))
+            yield pd.DataFrame(rows, columns=["label", "n", "at", "hit"])
+
+    return run
+
+
+def _tails(other: float, least: float, most: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For each text its segments that score ``least`` or more, those of them below ``most``, and what all have above ``least``, up to ``most``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for at, hit in zip(batch["at"], batch["hit"], strict=True):
+                over = [s for *_, s in segments(list(zip(at, hit, strict=True)), other) if s >= least]
+                rows.append((len(over), sum(s < most for s in over), math.fsum(min(s, most) - least for s in over)))
+            yield pd.DataFrame(rows, columns=["over", "below", "excess"])
+
+    return run
+
+
+def _strengths(model: ToxicModel) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = zip(batch["n"], batch["at"], batch["hit"], strict=True)
+            z = [strength(significant(list(zip(at, hit, strict=True)), n, model)) for n, at, hit in found]
+            yield pd.DataFrame({"label": batch["label"], "z": z})
 
     return run
 
@@ -228,26 +260,33 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -> T
     model = ToxicModel(scores)
     if not scores:
         return model
-    # At most 2 * per_class rows of four numbers.
-    seen = sample.select("text", "label").mapInPandas(_measure(scores), "label int, n long, hits long, total double").toPandas()
-    toxic = (seen["label"] == 1).to_numpy()
-    rate = lambda m: (seen["hits"][m].sum() + 0.5) / (seen["n"][m].sum() + 1.0)
-    in_toxic, in_clean = rate(toxic & (seen["hits"] > 0).to_numpy()), rate(~toxic)
-    # A token that isn't listed is this much rarer inside a toxic passage than outside.
-    model.other = min(-1e-4, math.log((1 - min(0.5, in_toxic)) / (1 - min(0.4, in_clean))))
-    # Clean documents reach a score x in K * n * exp(-lambda * x) cases; the listed scores
-    # are log-likelihood ratios, for which lambda is 1. K from the clean documents' best.
-    total = seen["total"].to_numpy() + model.other * (seen["hits"].to_numpy() > 0)
-    least = min(scores.values())
-    over = (total[~toxic] >= least).sum() + 0.5
-    model.k = float(over / (max(1.0, seen["n"][~toxic].sum()) * math.exp(-model.lam * least)))
-    weight = np.array([sizes.get(v, 0) / max(1, got.get(v, 0)) for v in (0, 1)])[seen["label"].to_numpy()]
-    found = total > 0
-    none = ~found
+    found = materialize(sample.select("text", "label").mapInPandas(_find(scores), "label int, n long, at array<int>, hit array<double>"), "toxic-hits")
+    gain = F.aggregate("hit", F.lit(0.0), lambda a, x: a + x)
+    with_hits = F.when(F.size("at") > 0, F.col("n"))
+    sums = found.groupBy("label").agg(F.sum("n").alias("n"), F.sum(with_hits).alias("with_hits"), F.sum(F.size("at")).alias("hits"), F.sum(gain).alias("gain"))
+    seen = {r["label"]: r for r in sums.collect()}
+    rate = lambda hits, words: ((hits or 0) + 0.5) / ((words or 0) + 1.0)
+    in_toxic, in_clean = rate(seen[1]["hits"], seen[1]["with_hits"]), rate(seen[0]["hits"], seen[0]["n"])
+    # A token that isn't listed is this much rarer inside a toxic passage than outside. It
+    # takes more than chance hits give, or a clean text's segments would grow with its length.
+    drift = 2.0 * seen[0]["gain"] / max(1, seen[0]["n"])
+    model.other = min(-1e-4, math.log((1 - min(0.5, in_toxic)) / (1 - min(0.4, in_clean))), -drift)
+    # Clean documents' segments reach a score x in K * n * exp(-lambda * x) cases: lambda and K
+    # by maximum likelihood. Segments above two best hits count as at least that, so that a
+    # mislabelled text can't set lambda; listed scores are log-likelihood ratios, for which it is 1 at most.
+    least, most = min(scores.values()), 2.0 * max(scores.values())
+    tails = found.where("label = 0").mapInPandas(_tails(model.other, least, most), "over long, below long, excess double")
+    tail = tails.toPandas()  # of at most per_class documents
+    model.lam = min(1.0, (int(tail["below"].sum()) + 1.0) / (math.fsum(tail["excess"]) + 1.0))
+    model.k = float((tail["over"].sum() + 0.5) / (max(1.0, seen[0]["n"]) * math.exp(-model.lam * least)))
+    measured = found.mapInPandas(_strengths(model), "label int, z double").toPandas()  # at most 2 * per_class rows
+    toxic, z = (measured["label"] == 1).to_numpy(), measured["z"].to_numpy()
+    weight = np.array([sizes.get(v, 0) / max(1, got.get(v, 0)) for v in (0, 1)])[measured["label"].to_numpy()]
+    some = z > 0
+    none = ~some
     model.base = min(0.45, float(weight[none & toxic].sum() / max(1.0, weight[none].sum())))
-    z = model.lam * total - np.log(model.k * np.maximum(1, seen["n"].to_numpy()))
-    if found.any():
-        model.slope, model.shift = _logistic(z[found], toxic[found].astype(float), weight[found])
+    if some.any():
+        model.slope, model.shift = _logistic(z[some], toxic[some].astype(float), weight[some])
     return model
 
 
@@ -262,8 +301,8 @@ def _scorer(model: ToxicModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
             scores, spans = [], []
             for text in batch.column("text").to_pylist():
                 words = tokens(text)
-                kept, total = passages(words, model, lexicon)
-                scores.append(probability(total, len(words), model))
+                kept = passages(words, model, lexicon)
+                scores.append(probability(kept, model))
                 if kept:  # offsets only where there is a passage: into the lower-cased text
                     at = [m.span() for m in TOKEN.finditer(text.lower())]
                     spans.append([{"start": at[a][0], "end": at[b][1], "score": s, "e": e} for a, b, s, e in kept])
@@ -290,8 +329,7 @@ def _clean_rows(model: ToxicModel) -> Callable[[Iterator[pa.RecordBatch]], Itera
         for batch in batches:
             keep = []
             for text in batch.column("text").to_pylist():
-                words = tokens(text or "")
-                keep.append(probability(passages(words, model, lexicon)[1], len(words), model) < THRESHOLD)
+                keep.append(probability(passages(tokens(text or ""), model, lexicon), model) < THRESHOLD)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
