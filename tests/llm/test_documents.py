@@ -296,6 +296,20 @@ def test_tokens_of_odd_blanks():
     assert [np.frombuffer(x, "<u4").tolist() for x in ours] == [tok.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_tokens_of_added_tokens_in_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    odd = [end, end * 2, f"{end}a b{end}", f"a {end} b", f" {end}  c ", f"a  {end}\n\n{end} d", f"<|endof{end}text|>", "<|endoftext|", "plain text", "", f"don{end}'t é{end}"]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in odd]
+    ours = packing.Tokenizer().encode(odd)
+    assert [np.frombuffer(x, "<u4").tolist() for x in ours] == want and want[3] == [64, 220, 50256, 275]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(x) + 1 for i, x in enumerate(want)}
+
+
 def test_fill_is_the_best_subset_sum():
     rng = np.random.default_rng(2)
     for _ in range(60):

@@ -13,7 +13,9 @@ pool. Sequence ids carry the partition's number.
 
 Ids are those of the library ``tokenizers``; its byte-level vocabulary is applied through
 ``tiktoken``, which gives the same ids several times faster, and the ids of pieces of text
-that repeat are remembered. Special tokens' strings in a text are ordinary text.
+that repeat are remembered. The vocabulary file's added tokens, as ``<|endoftext|>``, are
+found in a text first and have their own ids, as in the library; the parts between them are
+encoded each by itself.
 
 Defined cases: a null text is empty, and an empty document is the end id alone; a document
 of any length is cut; rows with the same id are separate documents with pieces of their own.
@@ -22,6 +24,7 @@ of any length is cut; rows with the same id are separate documents with pieces o
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -58,8 +61,24 @@ class Tokenizer:
         self.bytes_of = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         self.bytes_of[list(ranks.values())] = [len(x) for x in ranks]
         self.memory: dict[str, bytes] = {}
+        with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        if odd := [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]:
+            raise ValueError(f"added tokens that are not matched as they stand: {odd}")
+        self.added = {t["content"]: int(t["id"]).to_bytes(4, "little") for t in added}
+        # Of tokens that start at the same place the longest is meant.
+        names = sorted(self.added, key=len, reverse=True)
+        self.find_added = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text: added tokens have their own, the parts between them are encoded."""
+        if self.find_added is None or not any(name in t for t in texts for name in self.added):
+            return self._encode_parts(texts)
+        split = [self.find_added.split(t) for t in texts]
+        parts = iter(self._encode_parts([p for x in split for p in x[::2]]))
+        return [b"".join(self.added[p] if k % 2 else next(parts) for k, p in enumerate(x)) for x in split]
+
+    def _encode_parts(self, texts: list[str]) -> list[bytes]:
         split = [SPLIT.split(t) for t in texts]
         wanted = set()
         for parts in split:
