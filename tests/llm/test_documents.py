@@ -259,6 +259,17 @@ def test_mix(spark, docs, kind):
     assert mixing.mix(df).columns == df.columns
 
 
+def test_mix_takes_documents_without_words(spark):
+    rows = [(i, "w " * 20 if i < 30 else "", "a") for i in range(40)] + [(100 + i, None if i % 2 else " ", "b") for i in range(5)]
+    rows += [(200 + i, "v " * 20 if i < 40 else "", "c") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    # Targets: a 1200 of 600 words, b 0 of 0, c 900 of 800.
+    got = collections.Counter(r.doc_id for r in mixing.mix(df).collect())
+    assert all(got[i] == 2 for i in range(40)) and all(got[100 + i] == 1 for i in range(5))
+    assert all(got[200 + i] >= 1 for i in range(60)) and sum(got[200 + i] for i in range(40)) == 45
+    assert mixing.mix(df.where("source = 'b'")).count() == 5
+
+
 # ---------------------------------------------------------------- op7
 
 

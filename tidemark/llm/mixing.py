@@ -118,9 +118,12 @@ def mix(docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
     """``docs`` with each row as often as the mix takes it; a copy in service at the end is kept whole.
 
     A copy is taken if it stands in its source's order up to the last one served, which
-    a table of one row for each source and epoch tells: no text is shuffled.
+    a table of one row for each source and epoch tells: no text is shuffled. An epoch that
+    is served in full takes all documents, those without words too; a source without
+    words is taken once.
     """
-    plan = schedule(docs, seed=seed, **how).where("taken > 0")
+    whole = F.when(F.col("source_size") == 0, F.col("epoch") == 0).otherwise((F.col("epoch") + 1) * F.col("source_size") <= F.floor("target"))
+    plan = schedule(docs, seed=seed, **how).where((F.col("taken") > 0) | whole)
     last = plan.groupBy("source", "epoch").agg(F.max(F.struct(*ORDER)).alias("last"))
     cuts = materialize(last.groupBy("source").agg(F.collect_list("last").alias("lasts")).select(F.col("source").alias("queue"), "lasts"), "mix-cuts")
     own = _sized(docs.withColumn("_row", F.struct(*docs.columns)), seed, "_row")
