@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.centroids import OP13_SQL, op13_centroid_clusters
 from tidemark.llm.embeddings import op4_embedding_near_dedup
 from tidemark.llm.mixing import op3_source_mix
 from tidemark.llm.outliers import op10_quality_outliers
@@ -12,6 +13,7 @@ from tidemark.llm.simhash import op6_simhash_near_dedup
 from tidemark.llm.toolcalls import op1_tool_calls
 from tidemark.llm.toxicity import op8_toxicity
 from tidemark.llm.urlfilter import OP9_SQL, op9_url_filter
+from tidemark.llm.warc import OP12_SQL, op12_warc
 
 QUERIES = {
     "op1_tool_calls": op1_tool_calls,
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_quality_outliers": op10_quality_outliers,
+    "op12_warc": op12_warc,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
-SQL = {"op9_url_filter": OP9_SQL}
+SQL = {"op9_url_filter": OP9_SQL, "op12_warc": OP12_SQL, "op13_centroid_clusters": OP13_SQL}
