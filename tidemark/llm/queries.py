@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.centroids import OP13_SQL, op13_centroid_clusters
+from tidemark.llm.collocations import OP11_SQL, op11_collocations
 from tidemark.llm.embeddings import op4_embedding_near_dedup
 from tidemark.llm.mixing import op3_source_mix
 from tidemark.llm.outliers import op10_quality_outliers
@@ -26,8 +27,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_quality_outliers": op10_quality_outliers,
+    "op11_collocations": op11_collocations,
     "op12_warc": op12_warc,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
 
-SQL = {"op9_url_filter": OP9_SQL, "op12_warc": OP12_SQL, "op13_centroid_clusters": OP13_SQL}
+SQL = {"op9_url_filter": OP9_SQL, "op11_collocations": OP11_SQL, "op12_warc": OP12_SQL, "op13_centroid_clusters": OP13_SQL}
