@@ -16,18 +16,20 @@ word at once and advances all states byte by byte with numpy, dropping those tha
 trie; the states that accept at a word's end are counted by ``bincount``, and the tasks'
 counts are summed. Counts are exact: the tries compare bytes, hashes only thin candidates.
 
-Bucket counts travel as blocks of 65,536 buckets, and the driver gets one bit a bucket: their
-number grows with the texts' size, up to 2^30. A text is worked through in slices of bounded
+There are as many buckets as bytes of text, so few phrases share one. Their counts travel as
+blocks of 65,536 buckets, and the driver gets about 32 bits for each frequent bucket: two
+marks, of which a rare bucket has both by chance in one of 250 cases. A text is worked through in slices of bounded
 size, cut between words, where a slice sees the words of phrases that begin in it.
 
 Defined cases: null or empty texts have no words; a null language is ``und``; repeated rows
 count each time; words are told by their bytes and may be of any length; no phrase with
-enough occurrences gives no rows. Two phrases of one slice with the same 64-bit hash would
-be gathered as one (about one chance in 10^9 for a slice of 10^5 phrases).
+enough occurrences gives no rows. Two phrases of one task with the same 64-bit hash would
+be gathered as one (one chance in 10^7 for a task that gathers 10^6 phrases).
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -36,6 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,9 +52,9 @@ COVERED = 50
 NO_LANG = "und"
 
 #: Bytes of a slice of text, words a task counts before it sends them, phrases of a trie, bytes of tries broadcast at once.
-SLICE, HELD, PER_TRIE, BROADCAST_BYTES = 2 << 20, 500_000, 100_000, 64 << 20
-BLOCK_BITS = 16
-LEAST_BITS, MOST_BITS = 16, 30
+SLICE, HELD, PER_TRIE, BROADCAST_BYTES = 1 << 20, 300_000, 100_000, 64 << 20
+#: Places of a block; buckets at least and at most; marks at most, all as powers of 2.
+BLOCK_BITS, LEAST_BITS, MOST_BITS, MARK_BITS = 16, 24, 40, 28
 
 BLANK, END = 32, 10
 # Bytes as the words' pattern sees them (blanks, separators, lower case).
@@ -87,10 +90,15 @@ def slices(text: bytes, ahead: int, size: int | None = None) -> Iterator[tuple[b
 
 
 def by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
-    """The translated texts of each language, a separator after each."""
-    frame = pd.DataFrame({"lang": batch.column("lang").to_pylist(), "text": batch.column("text").to_pylist()})
-    for lang, rows in frame.groupby("lang", sort=True):
-        yield lang, ("\n".join(rows["text"]) + "\n").encode("utf-8", "surrogatepass").translate(TABLE)
+    """The translated texts of each language, a separator after each, about a slice at a time."""
+    text, lang = batch.column("text").cast(pa.binary()), batch.column("lang").dictionary_encode()
+    code = lang.indices.to_numpy()
+    size = pc.binary_length(text).to_numpy()
+    for i, name in enumerate(lang.dictionary.to_pylist()):
+        rows = np.flatnonzero(code == i)
+        part = np.cumsum(size[rows]) // SLICE
+        for at in np.split(rows, np.flatnonzero(np.diff(part)) + 1):
+            yield name, (b"\n".join(text.take(pa.array(at)).to_pylist()) + b"\n").translate(TABLE)
 
 
 class Words:
@@ -171,77 +179,135 @@ def stirred(h: np.ndarray) -> np.ndarray:
 # --------------------------------------------------------------- buckets by hash
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct places and the sums of their counts."""
+    at, where = np.unique(np.concatenate([a for a, _ in parts]), return_inverse=True)
+    n = np.bincount(where, weights=np.concatenate([n for _, n in parts]), minlength=len(at))
+    return at, n.astype(np.int64)
+
+
 class Buckets:
-    """Counts by bucket of one task, sent as one row for each block of buckets."""
+    """Counts by place, sent as one row for each block of places."""
+
+    def __init__(self):
+        self.parts, self.held, self.merged = [], 0, 0
+
+    def add(self, at: np.ndarray, n: np.ndarray | None = None) -> None:
+        if n is None:
+            at, n = np.unique(at, return_counts=True)
+        self.parts.append((at.astype(np.int64), n.astype(np.int64)))
+        self.held += len(at)
+        if self.held > 2 * max(HELD, self.merged):
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.parts = [_added(self.parts)]
+        self.held = self.merged = len(self.parts[0][0])
+        return self.parts[0]
+
+    def rows(self) -> list[tuple[int, bytes]]:
+        """(block, data): places in the block and counts up to 255 (what is more is as frequent)."""
+        at, n = self.merge()
+        block = at >> BLOCK_BITS
+        cut = [*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(at)]
+        places = (at & ((1 << BLOCK_BITS) - 1)).astype("<u2")
+        counts = np.minimum(n, 255).astype(np.uint8)
+        return [(int(block[lo]), places[lo:hi].tobytes() + counts[lo:hi].tobytes()) for lo, hi in itertools.pairwise(cut)]
 
-    def __init__(self, bits: int):
-        self.shift, self.parts = np.uint64(64 - bits), []
 
-    def add(self, h: np.ndarray) -> None:
-        at, n = np.unique(h >> self.shift, return_counts=True)
-        self.parts.append((at.astype(np.int64), n))
-        if sum(len(a) for a, _ in self.parts) > 4 * max(HELD, len(self.parts[0][0])):
-            self._merge()
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(data) // 3
+    return np.frombuffer(data[: 2 * n], dtype="<u2"), np.frombuffer(data[2 * n :], dtype=np.uint8)
 
-    def _merge(self) -> None:
-        at, where = np.unique(np.concatenate([a for a, _ in self.parts]), return_inverse=True)
-        n = np.bincount(where, weights=np.concatenate([n for _, n in self.parts]), minlength=len(at))
-        self.parts = [(at, n.astype(np.int64))]
 
-    def rows(self) -> Iterator[tuple[int, bytes]]:
-        """(block, data): places in the block and counts up to 255 (what is more is as frequent)."""
-        if self.parts:
-            self._merge()
-            at, n = self.parts[0]
-            block = at >> BLOCK_BITS
-            cut = np.flatnonzero(np.diff(block, prepend=-1))
-            for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(at)], strict=True):
-                places = (at[lo:hi] & ((1 << BLOCK_BITS) - 1)).astype("<u2").tobytes()
-                yield int(block[lo]), places + np.minimum(n[lo:hi], 255).astype(np.uint8).tobytes()
-        self.parts = []
+def _by_block(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(block, places, counts) of rows sorted by block; a block's rows are added up as they come."""
+    now, found = None, Buckets()
+    for batch in batches:
+        for block, data in zip(batch["block"].tolist(), batch["data"].tolist(), strict=True):
+            if block != now and now is not None:
+                yield now, *found.merge()
+                found = Buckets()
+            now = block
+            found.add(*_unpacked(data))
+    if now is not None:
+        yield now, *found.merge()
+
+
+def _frequent_rows(least: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The buckets counted ``least`` times or more, by their full number."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block, at, n in _by_block(batches):
+            kept = at[n >= least]
+            if len(kept):
+                yield pd.DataFrame({"bucket": kept + (block << BLOCK_BITS)})
+
+    return run
 
 
-def _frequent_bits(least: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Rows sorted by block to (block, bits) of the buckets counted ``least`` times or more."""
+def _places(bucket: np.ndarray, bits: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of a bucket among 2^width each: its first bits, and a hash's."""
+    first = bucket >> (bits - width) if bits > width else bucket
+    return first, (1 << width) + (stirred(bucket.astype(np.uint64)) >> np.uint64(64 - width)).astype(np.int64)
 
-    def bits(block: int, counts: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"block": [block], "bits": [np.packbits(counts >= least, bitorder="little").tobytes()]})
 
+def _place_rows(bits: int, width: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, counts = None, np.zeros(1 << BLOCK_BITS, dtype=np.int64)
+        found = Buckets()
         for batch in batches:
-            for block, data in zip(batch["block"].tolist(), batch["data"].tolist(), strict=True):
-                if block != now and now is not None:
-                    yield bits(now, counts)
-                    counts[:] = 0
-                now, n = block, len(data) // 3
-                counts[np.frombuffer(data[: 2 * n], dtype="<u2")] += np.frombuffer(data[2 * n :], dtype=np.uint8)
-        if now is not None:
-            yield bits(now, counts)
+            for at in _places(batch["bucket"].to_numpy(), bits, width):
+                found.add(at)
+        yield pd.DataFrame(found.rows(), columns=["block", "data"]).astype({"block": "int64"})
 
     return run
 
 
-def frequent(blocks: DataFrame, bits: int, least: int) -> np.ndarray:
-    """One bit for each of 2^bits buckets, packed: the driver's share is bounded by the parameter."""
-    n = shuffle_partitions(blocks.sparkSession)
-    placed = blocks.select("block", "data").repartition(n, "block").sortWithinPartitions("block")
-    out = np.zeros((1 << bits) // 8, dtype=np.uint8)
-    per = (1 << BLOCK_BITS) // 8
-    for r in placed.mapInPandas(_frequent_bits(least), "block int, bits binary").collect():
-        got = np.frombuffer(r.bits, dtype=np.uint8)
-        out[r.block * per : r.block * per + len(got)] = got[: len(out) - r.block * per]
-    return out
+def _mark_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for block, at, _ in _by_block(batches):
+        bits = np.zeros(1 << BLOCK_BITS, dtype=bool)
+        bits[at] = True
+        yield pd.DataFrame({"block": [block], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
 
-def marked(bits: np.ndarray, h: np.ndarray, shift: np.uint64) -> np.ndarray:
-    at = (h >> shift).astype(np.int64)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+def _sorted_blocks(rows: DataFrame) -> DataFrame:
+    return rows.select("block", "data").repartition(shuffle_partitions(rows.sparkSession), "block").sortWithinPartitions("block")
+
+
+@dataclass
+class Marks:
+    """The frequent ones of 2^bits buckets: a bucket is, if both its places are marked (some others are too)."""
+
+    bits: int
+    width: int
+    packed: np.ndarray
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        first, second = _places((h >> np.uint64(64 - self.bits)).astype(np.int64), self.bits, self.width)
+        ok = (self.packed[first >> 3] >> (first & 7).astype(np.uint8)) & 1 == 1
+        at = second[ok]
+        ok[ok] = (self.packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        return ok
+
+
+def frequent(blocks: DataFrame, bits: int, least: int) -> Marks:
+    """What the driver gets are 2^(width + 1) bits: about 32 for each frequent bucket, 2^(MARK_BITS + 1) at most."""
+    kept = materialize(_sorted_blocks(blocks).mapInPandas(_frequent_rows(least), "bucket long"), "phrase-buckets")
+    width = int(np.clip((16 * kept.count()).bit_length(), BLOCK_BITS, min(bits, MARK_BITS)))
+    out = np.zeros((2 << width) // 8, dtype=np.uint8)
+    per = (1 << BLOCK_BITS) // 8
+    marks = _sorted_blocks(kept.mapInPandas(_place_rows(bits, width), "block long, data binary")).mapInPandas(_mark_rows, "block long, bits binary")
+    for r in marks.collect():
+        out[r.block * per : (r.block + 1) * per] = np.frombuffer(r.bits, dtype=np.uint8)
+    return Marks(bits, width, out)
 
 
 # ------------------------------------------------------------------ passes for candidates
 
-FIRST = "lang string, phrase string, n long, block int, data binary"
+BLOCKS = "block long, data binary"
+FIRST = f"lang string, phrase string, n long, {BLOCKS}"
 
 
 def _first_pass(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -255,14 +321,14 @@ def _first_pass(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         return _batch(FIRST, [lang, word, n, empty, empty])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, pairs = {}, Buckets(bits)
+        counts, pairs, shift = {}, Buckets(), np.uint64(64 - bits)
         for batch in batches:
             for lang, text in by_lang(batch):
                 for part, own in slices(text, 1):
                     counts.setdefault(lang, Counter()).update(part[:own].split())
                     w = Words(part, own)
                     h, there = w.phrases(w.hashes(lang), 2)
-                    pairs.add(h[there])
+                    pairs.add(h[there] >> shift)
                     if sum(map(len, counts.values())) > HELD:
                         yield words(counts)
         yield words(counts)
@@ -282,25 +348,25 @@ def _batch(ddl: str, cols: list) -> pa.RecordBatch:
 
 
 def _blocks(ddl: str, buckets: Buckets) -> pa.RecordBatch:
-    block, data = zip(*buckets.rows(), strict=True) if buckets.parts else ((), ())
+    block, data = list(zip(*buckets.rows(), strict=True)) or [(), ()]
     given = {"block": block, "data": data}
     return _batch(ddl, [given.get(name, [None] * len(block)) for name, _ in _kinds(ddl)])
 
 
-def _safe(w: Words, lang: str, bits: list[np.ndarray], shift: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the phrases of n words, and those of whose shorter parts all buckets are frequent.
+def _safe(w: Words, lang: str, marks: list[Marks], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the phrases of n words, and those of whose shorter parts all buckets are marked.
 
-    ``bits`` has the frequent buckets of 2, 3, ... words.
+    ``marks`` are those of 2, 3, ... words.
     """
     h = w.hashes(lang)
     whole, there = w.phrases(h, n)
-    for k in range(2, min(n, len(bits) + 2)):
+    for k in range(2, min(n, len(marks) + 2)):
         part = w.phrases(h, k)[0]
         later = np.concatenate([part, np.zeros(n, dtype=np.uint64)])
         if w.own < len(h):  # parts that begin ahead of the slice's own words
             more = _ahead(w, h, k, n)
             later[len(part) : len(part) + len(more)] = more
-        ok = marked(bits[k - 2], later, shift)
+        ok = marks[k - 2].of(later)
         for i in range(n - k + 1):
             there &= ok[i : i + len(there)]
     return whole, there
@@ -319,35 +385,38 @@ def _ahead(w: Words, h: np.ndarray, k: int, n: int) -> np.ndarray:
     return np.array(out, dtype=np.uint64)
 
 
-def _bucket_pass(n: int, size: int, bits: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _bucket_pass(n: int, bits: int, marks: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Counts by bucket of the phrases of n words whose parts may be frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Buckets(size)
+        found = Buckets()
         for batch in batches:
             for lang, text in by_lang(batch):
                 for part, own in slices(text, n - 1):
-                    h, there = _safe(Words(part, own), lang, bits.value, np.uint64(64 - size), n)
-                    found.add(h[there])
-        yield _blocks("block int, data binary", found)
+                    h, there = _safe(Words(part, own), lang, marks.value, n)
+                    found.add(h[there] >> np.uint64(64 - bits))
+        yield _blocks(BLOCKS, found)
 
     return run
 
 
-def _gather_pass(longest: int, size: int, bits: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(lang, phrase, words) that may be frequent, once for each slice."""
-    shift = np.uint64(64 - size)
+def _gather_pass(longest: int, marks: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(lang, phrase, words) that may be frequent; a task repeats few of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = {n: np.zeros(0, dtype=np.uint64) for n in range(2, longest + 1)}
         for batch in batches:
             for lang, text in by_lang(batch):
                 for part, own in slices(text, longest - 1):
                     w, rows = Words(part, own), []
-                    for n in range(2, longest + 1):
-                        h, there = _safe(w, lang, bits.value[: n - 2], shift, n)
-                        at = np.flatnonzero(there & marked(bits.value[n - 2], h, shift))
-                        _, one = np.unique(h[at], return_index=True)
-                        rows += [(lang, w.text(i, n).decode("utf-8", "surrogatepass"), n) for i in at[one].tolist()]
+                    for n in seen:
+                        h, there = _safe(w, lang, marks.value, n)
+                        at = np.flatnonzero(there)
+                        at = at[marks.value[n - 2].of(h[at])]
+                        new, one = np.unique(h[at], return_index=True)
+                        fresh = ~np.isin(new, seen[n], assume_unique=True)
+                        seen[n] = np.concatenate([seen[n] if len(seen[n]) < HELD else seen[n][:0], new[fresh]])
+                        rows += [(lang, w.text(i, n).decode("utf-8", "surrogatepass"), n) for i in at[one[fresh]].tolist()]
                     yield _batch("lang string, phrase string, words int", list(zip(*rows, strict=True)) or [(), (), ()])
 
     return run
@@ -573,17 +642,17 @@ def phrase_counts(docs: DataFrame, longest: int = MAX_WORDS, least: int = MIN_CO
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG))
     texts = docs.select(lang.alias("lang"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = int(np.clip(int(size // 8).bit_length(), LEAST_BITS, MOST_BITS))
+    bits = int(np.clip(int(size).bit_length(), LEAST_BITS, MOST_BITS))
     first = materialize(texts.mapInArrow(_first_pass(bits), FIRST), "phrase-words")
     words = first.where(F.col("block").isNull()).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     words = materialize(words.select("lang", "phrase", F.lit(1).alias("words"), "n"), "phrase-words")
     marks = [frequent(first.where(F.col("block").isNotNull()), bits, least)]
     for n in range(3, longest + 1):
         sent = spark.sparkContext.broadcast(marks)
-        marks.append(frequent(texts.mapInArrow(_bucket_pass(n, bits, sent), "block int, data binary"), bits, least))
+        marks.append(frequent(texts.mapInArrow(_bucket_pass(n, bits, sent), BLOCKS), bits, least))
         sent.destroy()
     sent = spark.sparkContext.broadcast(marks)
-    gathered = texts.mapInArrow(_gather_pass(longest, bits, sent), "lang string, phrase string, words int").distinct()
+    gathered = texts.mapInArrow(_gather_pass(longest, sent), "lang string, phrase string, words int").distinct()
     gathered = materialize(gathered, "phrase-gathered")
     sent.destroy()
     # Of a frequent phrase each word is frequent (checked for pairs), and each part without an end a candidate.
