@@ -17,8 +17,8 @@ trie; the states that accept at a word's end are counted by ``bincount``, and th
 counts are summed. Counts are exact: the tries compare bytes, hashes only thin candidates.
 
 There are as many buckets as bytes of text, so few phrases share one. Their counts travel as
-blocks of 65,536 buckets, and the driver gets about 32 bits for each frequent bucket: two
-marks, of which a rare bucket has both by chance in one of 250 cases. A text is worked through in slices of bounded
+blocks of 65,536 buckets, and the driver gets about 100 bits for each frequent bucket: two
+marks, of which a rare bucket has both by chance in one of 2,000 cases. A text is worked through in slices of bounded
 size, cut between words, where a slice sees the words of phrases that begin in it.
 
 Defined cases: null or empty texts have no words; a null language is ``und``; repeated rows
@@ -53,6 +53,8 @@ NO_LANG = "und"
 
 #: Bytes of a slice of text, words a task counts before it sends them, phrases of a trie, bytes of tries broadcast at once.
 SLICE, HELD, PER_TRIE, BROADCAST_BYTES = 1 << 20, 300_000, 100_000, 64 << 20
+#: Hashes of gathered phrases that a task remembers, so as not to gather them again.
+SEEN = 4_000_000
 #: Places of a block; buckets at least and at most; marks at most, all as powers of 2.
 BLOCK_BITS, LEAST_BITS, MOST_BITS, MARK_BITS = 16, 24, 40, 28
 
@@ -293,9 +295,9 @@ class Marks:
 
 
 def frequent(blocks: DataFrame, bits: int, least: int) -> Marks:
-    """What the driver gets are 2^(width + 1) bits: about 32 for each frequent bucket, 2^(MARK_BITS + 1) at most."""
+    """What the driver gets are 2^(width + 1) bits: about 100 for each frequent bucket, 2^(MARK_BITS + 1) at most."""
     kept = materialize(_sorted_blocks(blocks).mapInPandas(_frequent_rows(least), "bucket long"), "phrase-buckets")
-    width = int(np.clip((16 * kept.count()).bit_length(), BLOCK_BITS, min(bits, MARK_BITS)))
+    width = int(np.clip((32 * kept.count()).bit_length(), BLOCK_BITS, min(bits, MARK_BITS)))
     out = np.zeros((2 << width) // 8, dtype=np.uint8)
     per = (1 << BLOCK_BITS) // 8
     marks = _sorted_blocks(kept.mapInPandas(_place_rows(bits, width), "block long, data binary")).mapInPandas(_mark_rows, "block long, bits binary")
@@ -414,8 +416,10 @@ def _gather_pass(longest: int, marks: Broadcast) -> Callable[[Iterator[pa.Record
                         at = np.flatnonzero(there)
                         at = at[marks.value[n - 2].of(h[at])]
                         new, one = np.unique(h[at], return_index=True)
-                        fresh = ~np.isin(new, seen[n], assume_unique=True)
-                        seen[n] = np.concatenate([seen[n] if len(seen[n]) < HELD else seen[n][:0], new[fresh]])
+                        known = seen[n] if len(seen[n]) < SEEN else seen[n][:0]
+                        place = np.searchsorted(known, new)
+                        fresh = np.append(known, ~new[-1:])[place] != new if len(new) else np.zeros(0, dtype=bool)
+                        seen[n] = np.insert(known, place[fresh], new[fresh])
                         rows += [(lang, w.text(i, n).decode("utf-8", "surrogatepass"), n) for i in at[one[fresh]].tolist()]
                     yield _batch("lang string, phrase string, words int", list(zip(*rows, strict=True)) or [(), (), ()])
 
