@@ -66,6 +66,14 @@ def test_embedding_edge_tables(spark):
     assert sorted((r.vec_id or -1, r.n_links, r.kept) for r in rows) == [(-1, 0, False), (1, 1, True), (1, 1, True)]
 
 
+def test_embedding_lengths_change_no_link(spark):
+    x = [[1e200, 1e200], [1e200, 1e200], [1e-200, 1e-200], [1.0, 1.0], [5e-324, 5e-324], [1.7e308, 1.6e308], [1e200, -1e200], [0.0, 0.0], [1e-300, 0.0], [3.0, 0.0]]
+    rows = embeddings.near_duplicates(spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in rows} == {
+        **dict.fromkeys((0, 1, 2, 3, 4, 5), (5, 0)), 6: (0, 6), 7: (0, 7), 8: (1, 8), 9: (1, 8)
+    }
+
+
 def test_url_filter_matches_sql(spark):
     ok, message, _ = oracle_check.compare(spark, oracle_check.duck(SF_SMALL), "op9", urlfilter.op9_url_filter, urlfilter.OP9_SQL, SF_SMALL)
     assert ok, message
@@ -126,6 +134,37 @@ def test_tool_calls(spark):
     assert toolcalls.link_tool_calls(df.limit(0)).count() == 0
 
 
+def test_deep_json_is_an_error_of_its_row(spark):
+    deep = lambda n: "[" * n + "]" * n
+    call = lambda a: json.dumps({"content": "x", "tool_calls": [{"id": "a", "name": "measure", "arguments": a}]})
+    rows = [(i, 0, "assistant", call('{"values":[1],"of":{"x":' + deep(n) + "}}")) for i, n in enumerate((400, 600, 1500, 9000, 60_000))]
+    rows += [(10 + i, 0, role, '{"tool_call_id":"a","content":' + deep(n) + "}") for i, (role, n) in enumerate([("tool", 1500), ("assistant", 9000), ("tool", 60_000), ("tool", 300)])]
+    inside = '{"content":"x","tool_calls":[{"id":"a","name":"measure","arguments":{"values":[1],"of":{"x":' + deep(1500) + "}}}]}"
+    out = toolcalls.link_tool_calls(spark.createDataFrame([*rows, (20, 0, "assistant", inside)], "conv_id long, turn long, role string, text string")).collect()
+    errors = {r.conv_id: r.error for r in out if r.kind == "call"}
+    assert errors == {0: None, **dict.fromkeys((1, 2, 3, 4), "arguments: nested too deeply")}
+    assert {r.conv_id: r.error for r in out if r.conv_id >= 10 and r.kind == "message"} == dict.fromkeys((10, 11, 12, 20), "nested too deeply")
+    assert [r.kind for r in out if r.conv_id == 13] == ["orphan_result"]
+
+
+def test_random_dependencies_against_a_plain_sort(spark):
+    rng = np.random.default_rng(4)
+    rows, want = [], {}
+    for conv in range(12):
+        n = int(rng.integers(2, 9))
+        needs = {i: sorted({int(j) for j in rng.integers(0, n, rng.integers(0, 3)) if conv % 3 == 0 or j < i}) for i in range(n)}
+        calls = [{"id": f"c{i}", "name": "search", "arguments": {"query": "q"}, "depends_on": [f"c{j}" for j in needs[i]]} for i in rng.permutation(n).tolist()]
+        rows.append((conv, 0, "assistant", json.dumps({"content": "", "tool_calls": calls})))
+        level, left = {}, set(range(n))
+        while ready := [i for i in left if all(j in level for j in needs[i])]:
+            level |= {i: max((level[j] + 1 for j in needs[i]), default=0) for i in ready}
+            left -= set(ready)
+        want |= {(conv, f"c{i}"): level.get(i) for i in range(n)}
+    out = toolcalls.link_tool_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r.conv_id, r.call_id): r.level for r in out if r.kind == "call"} == want
+    assert {k for k, v in want.items() if v is None} == {(r.conv_id, r.call_id) for r in out if r.error == "cycle"}
+
+
 def test_tool_call_query_covers_the_table(spark):
     table = read_table(spark, SF_SMALL, "conversations")
     out = toolcalls.op1_tool_calls(spark, SF_SMALL)

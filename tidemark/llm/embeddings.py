@@ -12,7 +12,7 @@ The answer is exact for any data; how many cells a vector is sent to depends on
 distances spread. In many dimensions random vectors are all about equally far from each
 other, the test excludes few cells, and the work grows with the square of the table.
 
-Defined cases: null or zero vectors, and those with null, infinite or NaN components, link
+Defined cases: a vector's length, however large or small, changes nothing; null or zero vectors, and those with null, infinite or NaN components, link
 with nothing, and so do rows without a vec_id; vectors of different dimension don't link;
 rows that repeat a vec_id have links of their own but are one node of the components.
 """
@@ -45,15 +45,27 @@ def _unit(raw: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
+def _scaled(x: np.ndarray) -> np.ndarray | None:
+    """The vector in a range where its squares neither overflow nor vanish; null if it is zero or not finite.
+
+    Scaling is by a power of two, so no angle changes; vectors of ordinary length stay as they are.
+    """
+    if not len(x) or not np.isfinite(x).all() or not x.any():
+        return None
+    with np.errstate(over="ignore", under="ignore"):
+        if 1e-200 < (x * x).sum() < 1e200:
+            return x
+    return np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(vec_id, dim, raw): the components as doubles; raw is null for vectors that can't link."""
     for batch in batches:
         out, dims = [], []
         for v in batch.column("embedding").to_pylist():
-            x = None if v is None or None in v else np.array(v, dtype="<f8")
-            ok = x is not None and len(x) and np.isfinite(x).all() and 0 < (x * x).sum() < np.inf
-            out.append(x.tobytes() if ok else None)
-            dims.append(len(x) if ok else 0)
+            x = None if v is None or None in v else _scaled(np.array(v, dtype="<f8"))
+            out.append(None if x is None else x.tobytes())
+            dims.append(0 if x is None else len(x))
         yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(dims, pa.int32()), pa.array(out, pa.binary())], names=["vec_id", "dim", "raw"])
 
 

@@ -11,7 +11,7 @@ as many as the longest chain; (level, turn, idx) is a topological order. Canonic
 sorted keys, no blanks and no escapes that aren't needed.
 
 Defined cases: a null text is empty and a null role plain; JSON that can't be read is a plain
-message; of calls that share an id, and of results for one call, the first by turn and place
+message; JSON nested deeper than MAX_DEPTH is too, with the error ``nested too deeply``; of calls that share an id, and of results for one call, the first by turn and place
 counts and the others are marked as repeated; a result without a call is an orphan; calls in
 a cycle, and those after one, have no level and the error ``cycle``; a dependency on an id
 that is no call of the conversation is ignored. Rows without a conv_id or id don't link.
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialize, read_table
 
 MAX_ROUNDS = 10_000
+#: Lists and objects inside each other that a JSON text may have; deeper ones count as unreadable.
+MAX_DEPTH = 500
 SURROGATE = re.compile("[\ud800-\udfff]")
 
 #: The tools of the registered query, in JSON Schema's words.
@@ -47,12 +49,22 @@ def _finite(text: str) -> float:
     return float(text)
 
 
+class TooDeep(ValueError):
+    pass
+
+
 def parsed(text: str):
-    """The value of a JSON text; ValueError if it isn't JSON, has a number out of range or is too deep."""
+    """The value of a JSON text; ValueError if it isn't JSON or has a number out of range, TooDeep beyond MAX_DEPTH."""
     try:
-        return json.loads(text, parse_constant=_finite, parse_float=_finite)
+        value = json.loads(text, parse_constant=_finite, parse_float=_finite)
     except RecursionError as e:
-        raise ValueError("nested too deeply") from e
+        raise TooDeep("nested too deeply") from e
+    level = [value]
+    for _ in range(MAX_DEPTH + 1):
+        level = [x for v in level if isinstance(v, (dict, list)) for x in (v.values() if isinstance(v, dict) else v)]
+        if not level:
+            return value
+    raise TooDeep("nested too deeply")
 
 
 def canonical(value) -> str:
@@ -99,14 +111,15 @@ def problem(value, schema: dict, at: str = "") -> str | None:
 
 
 def _references(value) -> Iterator[str]:
-    if isinstance(value, dict):
-        if isinstance(value.get("$ref"), str):
-            yield value["$ref"]
-        for v in value.values():
-            yield from _references(v)
-    elif isinstance(value, list):
-        for v in value:
-            yield from _references(v)
+    left = [value]
+    while left:
+        v = left.pop()
+        if isinstance(v, dict):
+            if isinstance(v.get("$ref"), str):
+                yield v["$ref"]
+            left.extend(v.values())
+        elif isinstance(v, list):
+            left.extend(v)
 
 
 EVENT = pa.schema(
@@ -125,6 +138,8 @@ def _call(call: dict, schemas: dict) -> tuple:
     if isinstance(arguments, str):
         try:
             arguments = parsed(arguments)
+        except TooDeep:
+            error = "arguments: nested too deeply"
         except ValueError:
             error = "arguments: not JSON"
     if name not in schemas if isinstance(name, str) else True:
@@ -143,10 +158,12 @@ def _call(call: dict, schemas: dict) -> tuple:
 
 def _parse(schemas: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def events(conv, turn, role, text) -> Iterator[tuple]:
-        value = None
+        value = error = None
         if text.lstrip()[:1] == "{" and role in ("assistant", "tool"):
             try:
                 value = parsed(text)
+            except TooDeep as e:
+                error = str(e)
             except ValueError:
                 value = None
         if role == "tool" and isinstance(value, dict) and isinstance(value.get("tool_call_id"), str):
@@ -160,7 +177,7 @@ def _parse(schemas: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 call_id, name, error, body, needs = _call(call, schemas)
                 yield conv, turn, i + 1, "call", call_id, name, error, body, needs
             return
-        yield conv, turn, 0, "message", None, role, None, canonical({"content": text, "role": role}), []
+        yield conv, turn, 0, "message", None, role, error, canonical({"content": text, "role": role}), []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +252,7 @@ def link_tool_calls(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     equal = equal.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("m")))).where("again > 1").select(events.columns)
     again = later.union(equal).select(*_plain(F.concat(F.lit("repeated_"), "kind"), F.lit("repeated")))
     unkeyed = events.where((F.col("kind") != "message") & ~keyed).select(*_plain(F.concat(F.lit("unkeyed_"), "kind"), F.lit("no id")))
-    plain = events.where(F.col("kind") == "message").select(*_plain(F.col("kind"), F.lit(None).cast("string")))
+    plain = events.where(F.col("kind") == "message").select(*_plain(F.col("kind"), F.col("error")))
     return out.unionByName(plain).unionByName(unkeyed).unionByName(again)
 
 
