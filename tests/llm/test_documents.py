@@ -109,15 +109,32 @@ def test_bk_tree_follows_only_edges_within_the_radius():
     assert all(d[c] == k for k, c in enumerate(forest.child[node]) if c >= 0)
 
 
-def test_keep_one(spark, docs, no_docs):
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_keep_one(spark, docs, no_docs, most, monkeypatch):
+    monkeypatch.setattr(simhash, "BROADCAST_KEYS", most)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     ids = sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x))
     marked = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect() if r.doc_id is not None}
-    assert ids == [*sorted(i for i, c in marked.items() if i == c), None, None]
+    # Of the two rows without an id one is like the empty texts of rows that have one.
+    assert ids == [*sorted(i for i, c in marked.items() if i == c), None]
     assert simhash.keep_one(no_docs).count() == 0 and simhash.near_duplicates(no_docs).count() == 0
 
 
+def test_keep_one_goes_by_texts_not_by_ids(spark):
+    words = lambda a: " ".join(f"w{(a * 7919 + i * i) % 1009}x{a}" for i in range(60))
+    rows = [(1, words(1)), (1, words(2)), (2, words(2)), (3, words(1)), (None, words(3)), (None, words(3)), (None, words(3) + " tail"), (None, words(4)), (5, words(4)), (7, words(5)), (7, words(5))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "9 as _id", "8 as _n", "7 as fp", "6 as k1", "'x' as `group`", "5 as row_key_one", "4 as first").repartition(3)
+    got = simhash.keep_one(df)
+    assert got.columns == df.columns
+    out = [(r.doc_id, r.text, r._id, r._n) for r in got.collect()]
+    near = brute_components(list(range(len(rows))), [brute_fingerprint(t) for _, t in rows])
+    assert collections.Counter(near.index(near[[t for _, t in rows].index(t)]) for _, t, _, _ in out).most_common(1)[0][1] == 1  # one of each group
+    assert len(out) == len(set(near))
+    assert {(i, t) for i, t, _, _ in out} >= {(1, words(1)), (1, words(2)), (5, words(4)), (7, words(5))}
+    assert all(r[2:] == (9, 8) for r in out)
+
+
 # ---------------------------------------------------------------- op5
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, read_table
+from tidemark.llm.common import checked_broadcast, materialize, read_table
 from tidemark.llm.components import components
 
 WORDS, SEED, RADIUS = 3, 42, 3
@@ -66,6 +66,13 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
 
 
+def _keyed_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same with the row's key."""
+    for batch in batches:
+        for out in _fingerprints(iter([batch])):
+            yield pa.RecordBatch.from_arrays([*out.columns, batch.column("k1"), batch.column("k2")], names=["doc_id", "fp", "k1", "k2"])
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) of every row; fp has the fingerprint's bits in a signed long."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
@@ -182,19 +189,47 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+#: Row keys (two longs each) that are broadcast at most; more meet their rows in a shuffle.
+BROADCAST_KEYS = 1_000_000
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """The name, or one with more underscores where the table has it."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, one row for each id.
+    """One row of each group of linked fingerprints: of those with the smallest id the first by the row's hash.
 
-    Ids that occur once are kept as they are; of rows that share an id the smallest
-    by text, then by the other columns, stays. Rows without an id are kept: no group
-    can be named by them.
+    Groups are of fingerprints, not of ids: rows that share an id but no near text are
+    groups of their own, and rows without an id are linked, and come last in their
+    group. Of rows alike in every column one stays. Only hashes of the rows that go
+    are joined with the texts, so where these are few no text is shuffled.
     """
-    marked = materialize(near_duplicates(docs), "simhash-marked")
-    kept = marked.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    joined = docs.join(kept.withColumnRenamed("doc_id", "_id").withColumnRenamed("n", "_n"), F.col("doc_id") == F.col("_id"))
-    once = joined.where("_n = 1").select(*docs.columns)
-    first = joined.where("_n > 1").groupBy("_id").agg(F.min(F.struct("text", *(c for c in docs.columns if c != "text"))).alias("r"))
-    return once.unionByName(first.select(*(F.col("r")[c].alias(c) for c in docs.columns))).unionByName(docs.where("doc_id is null"))
+    columns, one, two = docs.columns, *(_unused(docs, n) for n in ("row_key_one", "row_key_two"))
+    keyed = docs.withColumns({one: F.xxhash64(*columns), two: F.xxhash64(F.lit(1), *reversed(columns))})
+    rows = keyed.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"),
+        F.col(one).alias("k1"), F.col(two).alias("k2"),
+    )
+    prints = materialize(rows.mapInArrow(_keyed_fingerprints, "doc_id long, fp long, k1 long, k2 long"), "simhash")
+    distinct = materialize(prints.select("fp").distinct().select("fp", F.col("fp").alias("rep")), "simhash-distinct")
+    linked = components(links(distinct), "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    # A row of the documents is a key; equal rows share theirs.
+    keys = prints.join(linked, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+    keys = materialize(keys.groupBy("group", "k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")), "simhash-keys")
+    first = keys.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("first"))
+    first = first.select(F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"), F.lit(True).alias("stays"))
+    odd = keys.join(first, ["k1", "k2"], "left").where("stays is null or n > 1")
+    odd = materialize(odd.select(F.col("k1").alias(one), F.col("k2").alias(two), F.col("stays").isNotNull().alias("stays")), "simhash-odd")
+    few = odd.limit(BROADCAST_KEYS + 1).count()
+    kept = keyed.join(checked_broadcast(odd.drop("stays"), few, BROADCAST_KEYS), [one, two], "left_anti").select(*columns)
+    # Rows that stay and occur more than once: all columns are equal, so any value of each is theirs.
+    again = keyed.join(checked_broadcast(odd.where("stays").drop("stays"), few, BROADCAST_KEYS), [one, two], "left_semi")
+    once = again.groupBy(one, two).agg(*(F.any_value(F.col(f"`{c}`")).alias(c) for c in columns)).select(*columns)
+    return kept.unionByName(once)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
