@@ -53,6 +53,8 @@ NO_LANG = "und"
 
 #: Bytes of a slice of text, words a task counts before it sends them, phrases of a trie, bytes of tries broadcast at once.
 SLICE, HELD, PER_TRIE, BROADCAST_BYTES = 1 << 20, 300_000, 100_000, 64 << 20
+#: Phrases whose counts travel in one row.
+PART = 2048
 #: Hashes of gathered phrases that a task remembers, so as not to gather them again.
 SEEN = 4_000_000
 #: Places of a block; buckets at least and at most; marks at most, all as powers of 2.
@@ -582,8 +584,11 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield built(lang, held)
 
 
+COUNTS = "trie long, part int, width int, data binary"
+
+
 def _count_pass(tries: Broadcast, ahead: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(trie, i, n): occurrences in a task's texts of the phrases of the broadcast tries."""
+    """A task's occurrences of the broadcast tries' phrases, a row of counts for each run of PART phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[tuple[int, Trie]]] = {}
@@ -598,12 +603,38 @@ def _count_pass(tries: Broadcast, ahead: int) -> Callable[[Iterator[pa.RecordBat
                         for number, trie in known[lang]:
                             total[number] = total.get(number, 0) + trie.counted(w)
         for number, n in total.items():
-            i = np.flatnonzero(n)
-            yield _batch("trie long, i int, n long", [np.full(len(i), number), i, n[i]])
+            rows = []
+            for lo in range(0, len(n), PART):
+                part = n[lo : lo + PART]
+                if part.any():
+                    packed = part.astype(np.min_scalar_type(part.max()))
+                    rows.append((number, lo // PART, packed.itemsize, packed.tobytes()))
+            yield _batch(COUNTS, list(zip(*rows, strict=True)) or [()] * 4)
 
     return run
 
 
+def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(trie, i, n) of all tasks' counts, sorted by trie and part."""
+
+    def rows(at: tuple[int, int], total: np.ndarray) -> pd.DataFrame:
+        i = np.flatnonzero(total)
+        return pd.DataFrame({"trie": at[0], "i": i + at[1] * PART, "n": total[i]}).astype({"i": "int32"})
+
+    now, total = None, None
+    for batch in batches:
+        for trie, part, width, data in zip(*(batch[c].tolist() for c in ("trie", "part", "width", "data")), strict=True):
+            n = np.frombuffer(data, dtype=f"u{width}").astype(np.int64)
+            if now != (trie, part):
+                if now is not None:
+                    yield rows(now, total)
+                now, total = (trie, part), n
+            else:
+                total += n
+    if now is not None:
+        yield rows(now, total)
+
+
 def count_phrases(texts: DataFrame, candidates: DataFrame, longest: int) -> DataFrame:
     """(lang, phrase, n): occurrences of the distinct candidates (lang, phrase) in texts (lang, text).
 
@@ -625,7 +656,8 @@ def count_phrases(texts: DataFrame, candidates: DataFrame, longest: int) -> Data
     for members in passes:
         some = tries.where(F.col("trie").isin(members)).select("trie", "lang", "base", "check", F.size("phrases").alias("k")).collect()
         sent = spark.sparkContext.broadcast([(r.trie, r.lang, bytes(r.base), bytes(r.check), r.k) for r in some])
-        part = texts.mapInArrow(_count_pass(sent, longest - 1), "trie long, i int, n long").groupBy("trie", "i").agg(F.sum("n").alias("n"))
+        part = texts.mapInArrow(_count_pass(sent, longest - 1), COUNTS).repartition(shuffle_partitions(spark), "trie", "part")
+        part = part.sortWithinPartitions("trie", "part").mapInPandas(_summed, "trie long, i int, n long")
         parts.append(materialize(part, "phrase-counts"))
         sent.destroy()
     named = tries.select("trie", "lang", F.posexplode("phrases").alias("i", "phrase"))
