@@ -9,9 +9,7 @@ from conftest import ROOT, SF_SMALL
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 import oracle_check  # noqa: E402
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
-
-from tidemark.plans.queries import QUERIES  # noqa: E402
+from __spark_entry__ import QUERIES, entry, oracle_sql, queries  # noqa: E402
 
 
 def test_entry_smoke(spark):

@@ -73,6 +73,17 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     long = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), _text(c).alias("v")) for i, c in enumerate(cols)])))
     counts = long.select("i", value_kind(F.col("v")).alias("k")).groupBy("i", "k").agg(F.count(F.lit(1)).alias("n"))
 
+    name = F.get(F.array(*map(F.lit, cols)), F.col("i"))
+    return types_of(counts, "i").select(name.alias("column_name"), "inferred_type", "non_null", "total")
+
+
+def types_of(counts: DataFrame, by: str) -> DataFrame:
+    """(by, inferred_type, non_null, total) from counts (by, k, n) of values by kind.
+
+    Counts of parts of a table add up to those of the whole, so the types of all files
+    follow from the files' own counts.
+    """
+
     def covered(of: Sequence[int]) -> Column:
         return F.coalesce(F.sum(F.when(F.col("k").isin(*of), F.col("n"))), F.lit(0))
 
@@ -80,13 +91,26 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     inferred = F.when(n == 0, F.lit("string"))
     for t, (type_name, _) in enumerate(TYPES):
         inferred = inferred.when(F.col(f"n{t}") == n, F.lit(type_name))
-    stats = counts.groupBy("i").agg(
+    stats = counts.groupBy(by).agg(
         covered(range(INTEGER, TEXT + 1)).alias("non_null"),
         F.sum("n").alias("total"),
         *(covered(of).alias(f"n{t}") for t, (_, of) in enumerate(TYPES)),
     )
-    name = F.get(F.array(*map(F.lit, cols)), F.col("i"))
-    return stats.select(name.alias("column_name"), inferred.otherwise(F.lit("string")).alias("inferred_type"), n, "total")
+    return stats.select(by, inferred.otherwise(F.lit("string")).alias("inferred_type"), "non_null", "total")
+
+
+def widened(a: Column, b: Column) -> Column:
+    """The least type that holds the values of both: the join of a lattice.
+
+    Below all is null (a column without a value), above all string; numbers widen from
+    bigint over decimal(38,0) to double, dates to timestamps.
+    """
+    out = F.when(a.isNull(), b).when(b.isNull() | (a == b), a)
+    for chain in (("bigint", "decimal(38,0)", "double"), ("date", "timestamp")):
+        for i in range(len(chain) - 1, 0, -1):
+            both = a.isin(*chain[: i + 1]) & b.isin(*chain[: i + 1])
+            out = out.when(both & ((a == chain[i]) | (b == chain[i])), F.lit(chain[i]))
+    return out.otherwise(F.lit("string"))
 
 
 def schema_drift(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sales import typed_amount
+from tidemark.operators.sales import sales_validity, typed_amount
 
 
 def _pct(part: Column, total: Column) -> Column:
@@ -75,7 +75,7 @@ def sales_quality(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(cust.isNull()).alias("null_customer_ids"),
         F.count_if(amount <= 0).alias("invalid_amounts"),
-        F.count_if(cust.isNotNull() & (amount > 0)).alias("_valid"),
+        F.count_if(sales_validity(df)).alias("_valid"),
     )
     total = F.col("total_records")
     return stats.select(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.constants import AMOUNT_TYPE, RAW_AMOUNT_TYPE, SALES_JOB, SALES_SOURCE
 from tidemark.functions import amount_category, date_parts, is_weekend, parse_date
+from tidemark.operators.drift import NUMBER_PATTERN
 
 
 def as_of_literal(as_of: _dt.datetime | str | None) -> Column:
@@ -22,7 +23,10 @@ def as_of_literal(as_of: _dt.datetime | str | None) -> Column:
 
 
 def typed_amount(df: DataFrame, column: str = "amount") -> Column:
-    """Amounts as exact decimals, not yet rounded; text that is not a number becomes null."""
+    """Amounts as exact decimals, not yet rounded; text that is not a number becomes null.
+
+    A number of more digits than the type has is null too; ``reject_reason`` tells the two apart.
+    """
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.DecimalType):
         return F.col(column)
@@ -30,8 +34,9 @@ def typed_amount(df: DataFrame, column: str = "amount") -> Column:
 
 
 def sales_validity(df: DataFrame) -> Column:
-    """The row filter of the sales job: a customer and a positive amount."""
-    return F.col("customer_id").isNotNull() & (typed_amount(df) > 0)
+    """The row filter of the sales job: a customer and a positive amount that the output type holds."""
+    amount = typed_amount(df)
+    return F.col("customer_id").isNotNull() & (amount > 0) & amount.try_cast(AMOUNT_TYPE).isNotNull()
 
 
 def clean_sales(
@@ -48,7 +53,7 @@ def clean_sales(
     """
     date = parse_date("sale_date", df.schema["sale_date"].dataType)
     filtered = df.filter(sales_validity(df)).withColumns(
-        {"amount": typed_amount(df).cast(AMOUNT_TYPE), "sale_date": date}
+        {"amount": typed_amount(df).try_cast(AMOUNT_TYPE), "sale_date": date}
     )
     parts = date_parts("sale_date")
     cols = {
@@ -78,10 +83,14 @@ def reject_reason(df: DataFrame) -> Column:
     first = F.when(F.lit(False), F.lit(None).cast("string"))
     if CORRUPT_COLUMN in df.columns:
         first = F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed_row")
+    text = not isinstance(df.schema["amount"].dataType, T.DecimalType)
+    too_wide = amount.isNull() & F.trim(F.col("amount").cast("string")).rlike(NUMBER_PATTERN) if text else F.lit(False)
     return (
         first.when(F.col("customer_id").isNull(), "null_customer_id")
+        .when(too_wide, "amount_out_of_range")
         .when(amount.isNull(), "null_amount")
         .when(amount <= 0, "non_positive_amount")
+        .when(amount.try_cast(AMOUNT_TYPE).isNull(), "amount_out_of_range")
     )
 
 

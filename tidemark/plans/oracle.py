@@ -398,7 +398,7 @@ FROM (SELECT *, event_id % 8 = 0 AS refused, COALESCE(action = 'start_job', fals
     "AS reject_reason FROM events WHERE event_id % 17 = 0 OR event_id % 13 = 0",
     "customers_csv_roundtrip": f"WITH {RAW_CUSTOMERS} SELECT * REPLACE (CASE WHEN age % 9 = 0 THEN NULL ELSE age END AS age), "
     "COALESCE(age % 9 = 0, false) AS malformed FROM raw_customers",
-    "incremental_gold": f"WITH {TEXT_SALES}, {clean('text_sales')}, {METRICS}, {SEGMENTS} "
+    "incremental_gold_eager": f"WITH {TEXT_SALES}, {clean('text_sales')}, {METRICS}, {SEGMENTS} "
     "SELECT m.sale_id, m.customer_id, m.amount, m.sale_date, m.monthly_total, m.yearly_total, "
     "m.order_rank_in_month, m.running_total, s.customer_segment, s.total_orders "
     "FROM metrics m LEFT JOIN segments s USING (customer_id)",
