@@ -53,8 +53,8 @@ NO_LANG = "und"
 
 #: Bytes of a slice of text, words a task counts before it sends them, phrases of a trie, bytes of tries broadcast at once.
 SLICE, HELD, PER_TRIE, BROADCAST_BYTES = 1 << 20, 300_000, 100_000, 64 << 20
-#: Phrases whose counts travel in one row.
-PART = 2048
+#: Phrases whose counts travel in one row; frequent buckets for each part of a language's gathered phrases.
+PART, PER_PART = 2048, 10_000
 #: Hashes of gathered phrases that a task remembers, so as not to gather them again.
 SEEN = 4_000_000
 #: Places of a block; buckets at least and at most; marks at most, all as powers of 2.
@@ -287,6 +287,7 @@ class Marks:
     bits: int
     width: int
     packed: np.ndarray
+    kept: int
 
     def of(self, h: np.ndarray) -> np.ndarray:
         first, second = _places((h >> np.uint64(64 - self.bits)).astype(np.int64), self.bits, self.width)
@@ -299,13 +300,14 @@ class Marks:
 def frequent(blocks: DataFrame, bits: int, least: int) -> Marks:
     """What the driver gets are 2^(width + 1) bits: about 100 for each frequent bucket, 2^(MARK_BITS + 1) at most."""
     kept = materialize(_sorted_blocks(blocks).mapInPandas(_frequent_rows(least), "bucket long"), "phrase-buckets")
-    width = int(np.clip((32 * kept.count()).bit_length(), BLOCK_BITS, min(bits, MARK_BITS)))
+    n = kept.count()
+    width = int(np.clip((32 * n).bit_length(), BLOCK_BITS, min(bits, MARK_BITS)))
     out = np.zeros((2 << width) // 8, dtype=np.uint8)
     per = (1 << BLOCK_BITS) // 8
     marks = _sorted_blocks(kept.mapInPandas(_place_rows(bits, width), "block long, data binary")).mapInPandas(_mark_rows, "block long, bits binary")
     for r in marks.collect():
         out[r.block * per : (r.block + 1) * per] = np.frombuffer(r.bits, dtype=np.uint8)
-    return Marks(bits, width, out)
+    return Marks(bits, width, out, n)
 
 
 # ------------------------------------------------------------------ passes for candidates
@@ -404,15 +406,24 @@ def _bucket_pass(n: int, bits: int, marks: Broadcast) -> Callable[[Iterator[pa.R
     return run
 
 
-def _gather_pass(longest: int, marks: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(lang, phrase, words) that may be frequent; a task repeats few of them."""
+GATHERED = "lang string, part int, data binary"
+
+
+def _gather_pass(longest: int, parts: int, marks: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Phrases that may be frequent, a row for those of a language and part; a task repeats few of them."""
+
+    def rows(found: dict[tuple[str, int], list[bytes]]) -> pa.RecordBatch:
+        cols = [(lang, part, b"\n".join(phrases)) for (lang, part), phrases in found.items()]
+        found.clear()
+        return _batch(GATHERED, list(zip(*cols, strict=True)) or [()] * 3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = {n: np.zeros(0, dtype=np.uint64) for n in range(2, longest + 1)}
+        found, held = {}, 0
         for batch in batches:
             for lang, text in by_lang(batch):
                 for part, own in slices(text, longest - 1):
-                    w, rows = Words(part, own), []
+                    w = Words(part, own)
                     for n in seen:
                         h, there = _safe(w, lang, marks.value, n)
                         at = np.flatnonzero(there)
@@ -422,12 +433,37 @@ def _gather_pass(longest: int, marks: Broadcast) -> Callable[[Iterator[pa.Record
                         place = np.searchsorted(known, new)
                         fresh = np.append(known, ~new[-1:])[place] != new if len(new) else np.zeros(0, dtype=bool)
                         seen[n] = np.insert(known, place[fresh], new[fresh])
-                        rows += [(lang, w.text(i, n).decode("utf-8", "surrogatepass"), n) for i in at[one[fresh]].tolist()]
-                    yield _batch("lang string, phrase string, words int", list(zip(*rows, strict=True)) or [(), (), ()])
+                        group = (new[fresh] % np.uint64(parts)).astype(np.int64).tolist()
+                        for i, g in zip(at[one[fresh]].tolist(), group, strict=True):
+                            found.setdefault((lang, g), []).append(w.text(i, n))
+                        held += len(group)
+                    if held > HELD:
+                        yield rows(found)
+                        held = 0
+        yield rows(found)
 
     return run
 
 
+def _distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, phrase, words), each once, of rows sorted by language and part; a part has about PER_PART phrases."""
+
+    def rows(lang: str, phrases: set[bytes]) -> pd.DataFrame:
+        words = [p.count(b" ") + 1 for p in phrases]
+        return pd.DataFrame({"lang": lang, "phrase": [p.decode("utf-8", "surrogatepass") for p in phrases], "words": words}).astype({"words": "int32"})
+
+    now, phrases = None, set()
+    for batch in batches:
+        for lang, part, data in zip(batch["lang"].tolist(), batch["part"].tolist(), batch["data"].tolist(), strict=True):
+            if now != (lang, part):
+                if now is not None:
+                    yield rows(now[0], phrases)
+                now, phrases = (lang, part), set()
+            phrases.update(data.split(b"\n"))
+    if now is not None:
+        yield rows(now[0], phrases)
+
+
 # ------------------------------------------------------------------------- tries
 
 
@@ -688,7 +724,9 @@ def phrase_counts(docs: DataFrame, longest: int = MAX_WORDS, least: int = MIN_CO
         marks.append(frequent(texts.mapInArrow(_bucket_pass(n, bits, sent), BLOCKS), bits, least))
         sent.destroy()
     sent = spark.sparkContext.broadcast(marks)
-    gathered = texts.mapInArrow(_gather_pass(longest, sent), "lang string, phrase string, words int").distinct()
+    parts = max(1, -(-sum(m.kept for m in marks) // PER_PART))
+    gathered = texts.mapInArrow(_gather_pass(longest, parts, sent), GATHERED).repartition(shuffle_partitions(spark), "lang", "part")
+    gathered = gathered.sortWithinPartitions("lang", "part").mapInPandas(_distinct, "lang string, phrase string, words int")
     gathered = materialize(gathered, "phrase-gathered")
     sent.destroy()
     # Of a frequent phrase each word is frequent (checked for pairs), and each part without an end a candidate.
