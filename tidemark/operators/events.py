@@ -180,23 +180,30 @@ def orchestration_log(routed: DataFrame, at: Column, starts: DataFrame | None =
 
 # ----------------------------------------------------------------------- job runs
 
+TERMINAL_STATES = (STATE_SUCCEEDED, STATE_FAILED)
+
 
 def job_outcomes(runs: DataFrame) -> DataFrame:
     """Terminal job runs only (SUCCEEDED or FAILED)."""
-    return runs.filter(F.col("state").isin(STATE_SUCCEEDED, STATE_FAILED)).select(
+    return runs.filter(F.col("state").isin(*TERMINAL_STATES)).select(
         "job_name", "job_run_id", "state", "started_on"
     )
 
 
 def job_metrics(runs: DataFrame) -> DataFrame:
-    """Per job — runs, successes, failures, execution seconds (missing → 0)."""
-    secs = F.coalesce(F.col("execution_time_seconds"), F.lit(0))
+    """Per job — runs, successes, failures, execution seconds of the finished runs (missing → 0).
+
+    Runs that still run or were stopped count as runs, but not in the seconds: their time
+    would pull the average down. Without a finished run the seconds are null.
+    """
+    finished = F.col("state").isin(*TERMINAL_STATES)
+    secs = F.when(finished, F.coalesce(F.col("execution_time_seconds"), F.lit(0)))
     return runs.groupBy("job_name").agg(
         F.count(F.lit(1)).alias("runs"),
         F.count_if(F.col("state") == STATE_SUCCEEDED).alias("succeeded"),
         F.count_if(F.col("state") == STATE_FAILED).alias("failed"),
         F.sum(secs).cast("bigint").alias("total_execution_seconds"),
-        (F.sum(secs).cast("double") / F.count(F.lit(1))).alias("avg_execution_seconds"),
+        F.try_divide(F.sum(secs).cast("double"), F.count(secs)).alias("avg_execution_seconds"),
         F.max(secs).cast("bigint").alias("max_execution_seconds"),
     )
 
@@ -234,14 +241,16 @@ def readiness(
     This follows the workflow's AND condition, not the orchestrator's shortcut
     (which fires on either job). ``window`` defaults to the run date. The latest
     run per (window, job) is a max_by aggregate — combined map-side, so a busy job
-    never sends all its runs to one task.
+    never sends all its runs to one task. Of two notices of one run the one with a
+    terminal state counts. ``streaming.readiness_gate`` gives the same as a stream.
     """
     win = window if window is not None else F.to_date("started_on")
+    newest = F.struct("started_on", "job_run_id", F.col("state").isin(*TERMINAL_STATES), "state")
     latest = (
         runs.filter(F.col("job_name").isin(*required))
         .withColumn("run_window", win)
         .groupBy("run_window", "job_name")
-        .agg(F.max_by("state", F.struct("started_on", "job_run_id")).alias("latest_state"))
+        .agg(F.max_by("state", newest).alias("latest_state"))
     )
     names = list(labels) if labels else [f"state_{i}" for i in range(len(required))]
     per_job = [

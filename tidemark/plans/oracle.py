@@ -327,10 +327,11 @@ SQL: dict[str, str] = {
     "job_metrics": f"WITH {JOB_RUNS} SELECT job_name, COUNT(*) AS runs, "
     "COUNT(*) FILTER (WHERE state = 'SUCCEEDED') AS succeeded, "
     "COUNT(*) FILTER (WHERE state = 'FAILED') AS failed, "
-    "CAST(SUM(COALESCE(execution_time_seconds, 0)) AS BIGINT) AS total_execution_seconds, "
-    "CAST(SUM(COALESCE(execution_time_seconds, 0)) AS DOUBLE) / COUNT(*) AS avg_execution_seconds, "
-    "CAST(MAX(COALESCE(execution_time_seconds, 0)) AS BIGINT) AS max_execution_seconds "
-    "FROM runs GROUP BY job_name",
+    "CAST(SUM(secs) AS BIGINT) AS total_execution_seconds, "
+    "CAST(SUM(secs) AS DOUBLE) / NULLIF(COUNT(secs), 0) AS avg_execution_seconds, "
+    "CAST(MAX(secs) AS BIGINT) AS max_execution_seconds "
+    "FROM (SELECT *, CASE WHEN state IN ('SUCCEEDED', 'FAILED') THEN COALESCE(execution_time_seconds, 0) END AS secs "
+    "FROM runs) GROUP BY job_name",
     "job_failures": f"WITH {JOB_RUNS} SELECT job_name, job_run_id, "
     f"COALESCE(error_message, 'Unknown error') AS error_message, started_on, {TS} AS failure_time FROM runs "
     "WHERE state = 'FAILED'",

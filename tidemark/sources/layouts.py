@@ -7,6 +7,7 @@ line; each group is one typed read, and columns are matched by name.
 from __future__ import annotations
 
 import csv
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,13 @@ from tidemark.sources.files import CSV_OPTIONS
 FILE = "_file"
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """(path, file, length, modified) of all files under ``path``; no content is read.
+def literal_path(path: str) -> str:
+    """A path as a reader must get it, which takes paths as patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """(path, file, length, modified) of all files under ``path`` (or at the paths); no content is read.
 
     ``path`` is what a reader takes, ``file`` what rows read from it carry as their file.
     """
@@ -54,7 +60,7 @@ def layouts(spark: SparkSession, paths: dict[str, str]) -> list[Layout]:
     """
     if not paths:
         return []
-    lines = spark.read.text(sorted(paths.values())).select(
+    lines = spark.read.text([literal_path(p) for p in sorted(paths.values())]).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     )
     first = lines.where("block = 0").withColumn("i", F.monotonically_increasing_id())
@@ -70,7 +76,7 @@ def read_layout(spark: SparkSession, layout: Layout) -> DataFrame:
     """The rows of one layout as text, with the file each comes from."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in layout.columns])
     options = {**CSV_OPTIONS, "enforceSchema": "true"}  # the names are known; the header line is left out
-    rows = spark.read.schema(schema).options(**options).csv(list(layout.paths))
+    rows = spark.read.schema(schema).options(**options).csv([literal_path(p) for p in layout.paths])
     return rows.select(*(F.col(f"`{c}`") for c in layout.columns), F.col("_metadata.file_path").alias(FILE))
 
 
@@ -80,7 +86,11 @@ def read_mixed(spark: SparkSession, path: str, schema: T.StructType, pattern: st
     Columns a file lacks are null, others are left out. A value that its column's type can't
     hold is null; rows that need a reason for it go through ``operators.contracts``.
     """
-    files = {r.file: r.path for r in list_files(spark, path, pattern).collect()}
+    return read_files(spark, {r.file: r.path for r in list_files(spark, path, pattern).collect()}, schema)
+
+
+def read_files(spark: SparkSession, files: dict[str, str], schema: T.StructType) -> DataFrame:
+    """``read_mixed`` for given files (file → path, as ``list_files`` gives them)."""
     wanted = {f.name.lower(): f for f in schema.fields}
     out = None
     for layout in layouts(spark, files):
