@@ -20,6 +20,7 @@ from tidemark.operators.quality_state import (
     save_states,
     summarize,
 )
+from tidemark.plans import publish_job
 from tidemark.streaming.notices import ingest_notices, missing_files, staged_notices
 from tidemark.streaming.readiness_gate import PROVIDER, SHUFFLE, current_gate, newest_runs, stream_readiness
 
@@ -182,3 +183,44 @@ def test_drift_fails_on_a_shift_and_not_on_a_reshuffle(spark):
     assert came[("none", "distinct")] == (math.inf, False)
     with pytest.raises(ValueError, match="unknown kinds"):
         drift(state(data), state(data), [DriftRule("x", "chi", 1)])
+
+
+# ----------------------------------------------------------------- publishing
+
+SALES = "sale_id,customer_id,product_id,product_name,amount,sale_date\n"
+
+
+def test_readers_see_whole_runs_only(spark, tmp, monkeypatch):
+    def drop(name, text):
+        os.makedirs(f"{tmp}/raw/sales", exist_ok=True)
+        with open(f"{tmp}/raw/sales/{name}.csv", "w", encoding="utf-8") as f:
+            f.write(SALES + text)
+
+    def seen():
+        return rows(spark.table("published_test.processed_sales"), "sale_id", "running_total")
+
+    def publish():
+        return publish_job.publish_sales(spark, f"{tmp}/raw", f"{tmp}/out", "2024-06-01 00:00:00", "published_test")
+
+    drop("a", "1,c1,p,n,10.00,2024-01-01\n")
+    assert publish()["run"] == 1
+    first = seen()
+    reader = spark.table("published_test.processed_sales")
+    drop("b", "2,c1,p,n,5.00,2024-01-02\n")
+    whole = publish_job.run_sales_job
+
+    def broken(*args, **options):
+        whole(*args, **options)  # everything is written, and then the run fails
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(publish_job, "run_sales_job", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        publish()
+    assert seen() == first and len(first) == 1
+    monkeypatch.setattr(publish_job, "run_sales_job", whole)
+    assert publish()["run"] == 3
+    assert [r[0] for r in seen()] == ["1", "2"] and rows(reader, "sale_id") == [("1",)]
+    assert spark.table("published_test.customer_segments").count() == 1
+    assert publish_job.drop_old_runs(spark, f"{tmp}/out", "published_test", published=3, keep=1) == [1]
+    assert sorted(os.listdir(f"{tmp}/out")) == ["run=2", "run=3"] and len(seen()) == 2
+    assert not spark.catalog.tableExists("published_test.processed_sales_run1")

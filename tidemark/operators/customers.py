@@ -69,8 +69,7 @@ def map_customers(df: DataFrame) -> DataFrame:
     """rename/cast/prune to the 13-column output contract."""
     cols = []
     for name, dtype in PROCESSED_CUSTOMER_COLUMNS:
-        c = F.col(name)
-        cols.append((c.cast(dtype) if dtype else c).alias(name))
+        cols.append(F.col(name).cast(dtype).alias(name))
     return df.select(*cols)
 
 

@@ -3,6 +3,8 @@ mergeable quality states and drift, the jobs' own outputs and run events."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +21,10 @@ from tidemark.operators.quality_state import (
 )
 from tidemark.operators.sales import clean_sales, kept_rows
 from tidemark.plans.customer_job import run_customer_job
-from tidemark.plans.oracle import DEDUP, ORDERS_SALES, RAW_CUSTOMERS, ROUNDTRIP, TEXT_SALES, TS, clean
+from tidemark.plans.oracle import DEDUP, METRICS, ORDERS_SALES, RAW_CUSTOMERS, ROUNDTRIP, SEGMENTS, TEXT_SALES, TS, clean
 from tidemark.plans.oracle import SQL as BASE_SQL
-from tidemark.plans.queries import AS_OF, REQUIRED_JOBS, ROUNDTRIP_COLUMNS, raw_customer_rows, write_orders_csv
+from tidemark.plans.queries import AS_OF, REQUIRED_JOBS, ROUNDTRIP_COLUMNS, local_times, raw_customer_rows, write_orders_csv
+from tidemark.plans.publish_job import publish_sales
 from tidemark.plans.sales_job import run_sales_job
 from tidemark.schemas import RAW_CUSTOMERS as RAW_CUSTOMER_SCHEMA
 from tidemark.schemas import RAW_SALES
@@ -170,6 +173,38 @@ told AS (
 SELECT case_name, column_name, kind, value <= 0.15 AS passed FROM told"""
 
 
+# ------------------------------------------------------------------------ publishing
+
+
+def q_published_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """A reader of the catalog after the first run, after a run that failed, and after
+    the next good one; the failed run changes nothing."""
+    root, database = scratch_path(spark, "published"), f"published_{uuid.uuid4().hex[:12]}"
+    told: list[DataFrame] = []
+
+    def read(case: str) -> None:
+        seen = spark.table(f"{database}.processed_sales")
+        told.append(seen.select(F.lit(case).alias("case_name"), "sale_id", "customer_id", "amount", "running_total", "customer_segment"))
+
+    write_orders_csv(spark, sf, f"{root}/raw/sales/drop=1", "early")
+    publish_sales(spark, f"{root}/raw", f"{root}/out", AS_OF, database)
+    read("first")
+    try:
+        publish_sales(spark, f"{root}/none", f"{root}/out", AS_OF, database)
+    except Exception:  # raised by the job; what its readers see is what is asked for
+        pass
+    read("failed")
+    write_orders_csv(spark, sf, f"{root}/raw/sales/drop=2", "late")
+    publish_sales(spark, f"{root}/raw", f"{root}/out", AS_OF, database)
+    read("second")
+    return told[0].unionByName(told[1]).unionByName(told[2])
+
+
+def _published(case: str, rows: str) -> str:
+    return f"""SELECT '{case}' AS case_name, * FROM (WITH {TEXT_SALES.replace("FROM orders", rows)}, {clean('text_sales')}, {METRICS}, {SEGMENTS}
+SELECT m.sale_id, m.customer_id, m.amount, m.running_total, s.customer_segment FROM metrics m LEFT JOIN segments s USING (customer_id))"""
+
+
 # ---------------------------------------------------------------- sources and outputs
 
 
@@ -186,14 +221,14 @@ def q_plain_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     customers = clean_customers(raw_customer_rows(spark, sf), AS_OF)
     write_plain(customers.filter(F.lit(False)), path)
     write_plain(customers, path)
-    return spark.read.parquet(path)
+    return local_times(spark.read.parquet(path))
 
 
 def q_customers_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaned customers, partitioned by registration year."""
     path = scratch_path(spark, "customers-partitioned")
     write_partitioned(clean_customers(raw_customer_rows(spark, sf), AS_OF), path, ["registration_year"], spread_by=["customer_id"])
-    return spark.read.parquet(path)
+    return local_times(spark.read.parquet(path))
 
 
 def q_customer_lineage(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,6 +263,7 @@ QUERIES = {
     "notice_ingest": q_notice_ingest,
     "quality_state": q_quality_state,
     "quality_drift": q_quality_drift,
+    "published_sales": q_published_sales,
     "json_raw": q_json_raw,
     "plain_roundtrip": q_plain_roundtrip,
     "customers_partitioned": q_customers_partitioned,
@@ -251,10 +287,13 @@ SQL = {
     "notice_ingest": f"WITH {TEXT_SALES}, {clean('text_sales')} {ROUNDTRIP}",
     "quality_state": STATE_SQL,
     "quality_drift": DRIFT_SQL,
+    "published_sales": " UNION ALL ".join(
+        [_published(c, "FROM orders WHERE o_orderdate < DATE '1998-01-01'") for c in ("first", "failed")] + [_published("second", "FROM orders")]
+    ),
     "json_raw": f"WITH {TEXT_SALES}, {clean('text_sales')} {ROUNDTRIP}",
     "plain_roundtrip": BASE_SQL["processed_customers"],
     "customers_partitioned": BASE_SQL["processed_customers"],
-    "customer_lineage": f"WITH {RAW_CUSTOMERS}, {DEDUP} SELECT customer_id, 'customer_data_etl' AS job_name, {TS} AS processed_at, "
+    "customer_lineage": f"WITH {RAW_CUSTOMERS}, {DEDUP} SELECT CAST(customer_id AS VARCHAR) AS customer_id, 'customer_data_etl' AS job_name, {TS} AS processed_at, "
     "'raw/customers/' AS source_path FROM dedup",
     "run_events": f"""WITH {ORDERS_SALES}, {clean('orders_sales')}, {RAW_CUSTOMERS}, {DEDUP}
 SELECT 'ETL Job Completed' AS event_type, 'sales-data-etl' AS job_name, 'SUCCESS' AS status,

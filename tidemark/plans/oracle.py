@@ -285,7 +285,7 @@ SQL: dict[str, str] = {
     "END AS exact_valid_percentage FROM st",
     "dedup_customers": f"WITH {RAW_CUSTOMERS}, {DEDUP} SELECT * FROM dedup",
     "processed_customers": f"WITH {RAW_CUSTOMERS}, {DEDUP} "
-    "SELECT customer_id, concat_ws(' ', first_name, last_name) AS full_name, email, "
+    "SELECT CAST(customer_id AS VARCHAR) AS customer_id, concat_ws(' ', first_name, last_name) AS full_name, email, "
     "regexp_extract(email, '@(.+)', 1) AS email_domain, phone, age, "
     "CASE WHEN age < 25 THEN 'Young' WHEN age < 45 THEN 'Adult' WHEN age < 65 THEN 'Middle-aged' "
     "ELSE 'Senior' END AS age_group, city, state, "
@@ -414,7 +414,7 @@ FROM (SELECT *, event_id % 8 = 0 AS refused, COALESCE(action = 'start_job', fals
     "SELECT m.*, s.customer_segment, s.total_spent, s.total_orders "
     "FROM metrics m LEFT JOIN segments s USING (customer_id)",
     "mapped_customers": f"WITH {RAW_CUSTOMERS} "
-    "SELECT customer_id, concat_ws(' ', first_name, last_name) AS full_name, email, "
+    "SELECT CAST(customer_id AS VARCHAR) AS customer_id, concat_ws(' ', first_name, last_name) AS full_name, email, "
     "regexp_extract(email, '@(.+)', 1) AS email_domain, phone, age, "
     "CASE WHEN age < 25 THEN 'Young' WHEN age < 45 THEN 'Adult' WHEN age < 65 THEN 'Middle-aged' "
     "ELSE 'Senior' END AS age_group, city, state, "

@@ -210,14 +210,19 @@ def q_dedup_customers(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_latest(raw.filter(F.col("customer_id").isNotNull()))
 
 
+def local_times(customers: DataFrame) -> DataFrame:
+    """The contract's instant as the time of day it was given as, whatever the session's zone."""
+    return customers.withColumn("processed_timestamp", F.col("processed_timestamp").cast("timestamp_ntz"))
+
+
 def q_processed_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_customers(raw_customer_rows(spark, sf), as_of=AS_OF)
+    return local_times(clean_customers(raw_customer_rows(spark, sf), as_of=AS_OF))
 
 
 def q_mapped_customers(spark: SparkSession, sf: str) -> DataFrame:
     """B12 alone: every raw customer row (no filter, no dedup) enriched and mapped
     to the 13-column contract with its explicit casts."""
-    return map_customers(enrich_customers(raw_customer_rows(spark, sf), as_of=AS_OF))
+    return local_times(map_customers(enrich_customers(raw_customer_rows(spark, sf), as_of=AS_OF)))
 
 
 def q_age_groups(spark: SparkSession, sf: str) -> DataFrame:

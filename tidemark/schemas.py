@@ -31,7 +31,7 @@ RAW_SALES = T.StructType(
 
 # Output contract of the customer job: (name, Spark SQL type), in order.
 PROCESSED_CUSTOMER_COLUMNS = (
-    ("customer_id", None),
+    ("customer_id", "string"),
     ("full_name", "string"),
     ("email", "string"),
     ("email_domain", "string"),
@@ -41,22 +41,11 @@ PROCESSED_CUSTOMER_COLUMNS = (
     ("city", "string"),
     ("state", "string"),
     ("registration_year", "int"),
-    ("processed_timestamp", "timestamp_ntz"),
+    ("processed_timestamp", "timestamp"),
     ("data_source", "string"),
     ("etl_job_name", "string"),
 )
 
-SEGMENT_COLUMNS = (
-    "customer_id",
-    "total_spent",
-    "total_orders",
-    "avg_order_value",
-    "last_purchase_date",
-    "first_purchase_date",
-    "customer_lifetime_days",
-    "customer_segment",
-)
-
 # File-arrival notification: Records[].s3.{bucket.name, object.key}
 MANIFEST = T.StructType(
     [

@@ -115,14 +115,6 @@ def event_rows(
     )
 
 
-def log_event(
-    spark: SparkSession, path: str, run_id: str, event_type: str, detail: DataFrame
-) -> None:
-    """Append event rows to the ``pipeline_events`` Parquet table at ``path``."""
-    rows = event_rows(spark, run_id, event_type, detail)
-    rows.write.mode("append").parquet(path)
-
-
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PIPELINE_EVENTS).parquet(path)
 

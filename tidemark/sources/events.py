@@ -58,8 +58,3 @@ def parse_bus_events(df: DataFrame, body: str = "body") -> DataFrame:
         nested_or("_e.detail.jobRunId").alias("job_run_id"),
         nested_or("_e.detail.state").alias("state"),
     )
-
-
-def read_json_events(spark, path: str) -> DataFrame:
-    """Raw JSON-lines event files → (body) text rows, for the parsers above."""
-    return spark.read.text(path).withColumnRenamed("value", "body")
