@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, outliers, packing, quality, secrets, simhash, toxicity
 from tidemark.llm.common import read_table
@@ -394,6 +395,26 @@ def test_classifiers_on_edge_rows_and_held_out(spark, docs, labels, module, colu
     assert sum(r.predicted == r[column] for r in got) >= 0.9 * len(got)
 
 
+def test_toxic_documents_held_out_are_found_and_clean_ones_left(spark):
+    """Counts by class: most rows are clean, so a share of right answers would tell little."""
+    sf = SF_SMALL.replace("0.001", "0.1")
+    labels = read_table(spark, sf, "labels").where("toxic is not null")
+    got = toxicity.op8_toxicity(spark, sf).join(labels, "doc_id").where("held_out").groupBy("toxic", "predicted").count().collect()
+    n = collections.Counter({(r.toxic, r.predicted): r["count"] for r in got})
+    assert n[1, 1] >= 0.9 * (n[1, 0] + n[1, 1]) > 50
+    assert n[0, 1] <= 0.01 * (n[0, 0] + n[0, 1]) and n[1, 1] >= 0.95 * (n[0, 1] + n[1, 1])
+
+
+def test_odds_count_occurrences_but_no_document_decides_alone(spark):
+    rows = [(f"w{i} x{i} y{i} " + ("bad " * 9 if i < 30 else "bad" if i < 50 else "plain"), int(i < 30)) for i in range(300)]
+    sample = spark.createDataFrame(rows, "text string, label int")
+    several = toxicity._log_odds(sample, {0: 270, 1: 30})["bad"]
+    once = toxicity._log_odds(sample.withColumn("text", F.regexp_replace("text", "(bad )+", "bad ")), {0: 270, 1: 30})["bad"]
+    shouted = [(t, y) for t, y in rows[:-1]] + [("bad " * 10_000, 0)]
+    after = toxicity._log_odds(spark.createDataFrame(shouted, "text string, label int"), {0: 270, 1: 30})["bad"]
+    assert several > once + 0.5 and after > several - 0.5
+
+
 def test_chance_hits_of_a_long_clean_text_are_no_verdict(spark):
     rng = np.random.default_rng(6)
     word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 9))

@@ -2,9 +2,10 @@
 
 Fit. Over a bounded sample of labelled documents each token gets its log-odds between
 toxic and other documents under a Dirichlet prior made of the sample's own token
-frequencies; tokens whose log-odds are not significant stay unlisted. Counts are of
+frequencies; tokens whose log-odds are not significant stay unlisted. Significance counts
 documents, one of each group of near copies, so a text that was copied often lends its
-words no weight. A token is a word or a word's beginning of 4 to 6 letters. The listed
+words no weight; the odds are of occurrences, of which a document counts 1 + ln(n), so one
+that repeats a word a thousand times settles nothing. A token is a word or a word's beginning of 4 to 6 letters. The listed
 toxic tokens and the (slightly negative) score of every other token are log-likelihood
 ratios.
 
@@ -43,6 +44,8 @@ STEMS = (4, 5, 6)
 SHINGLE, HASHES = 5, 3
 #: The prior's weight for each token: a constant and a share of its document count.
 PRIOR_LEAST, PRIOR_SHARE = 0.5, 0.01
+#: A document's weight for a token is counted in this part of one, so that sums don't depend on their order.
+WEIGHT = 1000
 #: Nats of evidence above the log of the number of tokens, the least log-odds, and the most tokens listed.
 EVIDENCE, LEAST_ODDS, MAX_LISTED = 3.0, 1.5, 50_000
 #: A segment with a larger expectation is no passage.
@@ -160,12 +163,21 @@ def one_of_each(sample: DataFrame) -> DataFrame:
 
 
 def _count_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each token, by label: the documents that hold it, and their weights 1 + ln(occurrences)."""
     for batch in batches:
-        found: tuple[Counter, Counter] = (Counter(), Counter())
+        held: tuple[Counter, Counter] = (Counter(), Counter())
+        weighed: tuple[Counter, Counter] = (Counter(), Counter())
         for text, label in zip(batch["text"], batch["label"], strict=True):
-            found[label].update({t for w in set(tokens(text)) for t in features(w)})
-        words = list(found[0].keys() | found[1].keys())
-        yield pd.DataFrame({"token": words, "clean": [found[0][w] for w in words], "toxic": [found[1][w] for w in words]})
+            found = Counter()
+            for word, n in Counter(tokens(text)).items():
+                for token in features(word):
+                    found[token] += n
+            held[label].update(found.keys())
+            for token, n in found.items():
+                weighed[label][token] += round(WEIGHT * (1.0 + math.log(n)))
+        words = list(held[0].keys() | held[1].keys())
+        columns = [[x[w] for w in words] for x in (*held, *weighed)]
+        yield pd.DataFrame(dict(zip(("token", "clean", "toxic", "clean_w", "toxic_w"), (words, *columns), strict=True)))
 
 
 def _log_odds(sample: DataFrame, docs_by_label: dict[int, int]) -> dict[str, float]:
@@ -176,15 +188,16 @@ def _log_odds(sample: DataFrame, docs_by_label: dict[int, int]) -> dict[str, flo
     rho = n1 / (n0 + n1)
     counts = materialize(
         sample.select("text", "label")
-        .mapInPandas(_count_tokens, "token string, clean long, toxic long")
+        .mapInPandas(_count_tokens, "token string, clean long, toxic long, clean_w long, toxic_w long")
         .groupBy("token")
-        .agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")),
+        .agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"), (F.sum("clean_w") / WEIGHT).alias("cw"), (F.sum("toxic_w") / WEIGHT).alias("tw")),
         "toxic-counts",
     )
-    least = math.log(max(2, counts.count())) + EVIDENCE
-    t, c = F.col("t"), F.col("c")
-    prior = PRIOR_LEAST + PRIOR_SHARE * (t + c)
-    delta = F.log((t + prior * rho) / (n1 + 1.0 - t)) - F.log((c + prior * (1 - rho)) / (n0 + 1.0 - c))
+    words = counts.agg(F.count(F.lit(1)).alias("n"), *(F.sum(F.when(~F.col("token").endswith("*"), F.col(x))).alias(x) for x in ("cw", "tw"))).first()
+    least = math.log(max(2, words["n"])) + EVIDENCE
+    t, c, tw, cw = map(F.col, ("t", "c", "tw", "cw"))
+    prior = PRIOR_LEAST + PRIOR_SHARE * (tw + cw)
+    delta = F.log((tw + prior * rho) / (F.lit(words["tw"] or 0.0) + 1.0)) - F.log((cw + prior * (1 - rho)) / (F.lit(words["cw"] or 0.0) + 1.0))
     part = lambda x, share: F.when(x > 0, x * F.log(x / ((t + c) * share))).otherwise(0.0)
     listed = (
         counts.where((t >= 2) & (t > rho * (t + c)))
