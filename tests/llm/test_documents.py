@@ -226,6 +226,39 @@ def test_mcd_rejects_far_rows_and_only_those(spark):
     assert {r.doc_id for r in got if not r.kept} == set(range(1000, 1025))
 
 
+def test_one_statistic_alone_rejects(spark):
+    rng = np.random.default_rng(8)
+    words = lambda n, most=4000: [f"w{i:04d}" for i in rng.choice(most, n)]
+    rows = [(i, " ".join(words(300))) for i in range(260)]
+    odd = [
+        " ".join(w * 2 for w in words(300)),  # long words
+        " ".join(w + "#" * (k % 3 == 0) for k, w in enumerate(words(300))),  # symbols
+        "\n".join(words(300, 40)),  # most lines are repeated, no window is
+        " ".join(words(155) + 24 * ["again", "and", "then", "some", "more", "still"]),  # repeated words, near what the base rule allows
+    ]
+    mild = ["\n".join(words(200, 4000) + words(60, 40)), " ".join(words(240) + 9 * ["one", "two", "three", "four", "five", "six"])]
+    rows += [(1000 + i, t) for i, t in enumerate(odd)] + [(2000 + i, t) for i, t in enumerate(mild)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    got = outliers.judge(df).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == {1000, 1001, 1002, 1003}
+
+
+def test_small_groups_take_the_estimate_of_their_language(spark):
+    """Distances are those of one estimate over all the language's rows, its large group's too."""
+    rng = np.random.default_rng(9)
+    text = lambda x: " ".join(rng.choice([f"w{i:04d}" + "x" * x for i in range(4000)], 300))
+    rows = [(i, text(i % 4), "en", "large") for i in range(240)] + [(500 + i, text(i % 2), "en", f"small{i % 3}") for i in range(9)]
+    rows += [(700 + i, text(0), "fr", "large") for i in range(210)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.d2 for r in outliers.judge(docs).collect()}
+    whole = {r.doc_id: r.d2 for r in outliers.judge(docs.withColumn("source", F.lit("one"))).collect()}
+    for i in got:
+        assert i not in range(500, 700) or abs(got[i] - whole[i]) < 1e-9
+    alone = {r.doc_id: r.d2 for r in outliers.judge(docs.where("source = 'large'")).collect()}
+    assert all(abs(got[i] - alone[i]) < 1e-9 for i in alone)
+
+
 def test_empty_tables(spark, no_docs, labels):
     no_labels = labels.limit(0)
     assert outliers.judge(no_docs).count() == 0

@@ -9,33 +9,42 @@ document beyond the cutoff distance of its group is rejected.
 
 A step is one grouped aggregation by group and distance bin, whose counts, sums and products
 are of integers: results don't depend on the order of rows, and a hot group is summed up
-before the shuffle like any other. Variances have floors, so a statistic that is constant in
-a group can't make every other value an outlier.
+before the shuffle like any other. A variance below its floor is raised to it, so a statistic
+that is constant in a group can't make every other value an outlier; others stay as they are.
 
 Defined cases: a null or empty text has no words and fails the base rules; null languages and
 sources are groups of their own; documents that fail the base rules don't shape the
-estimates; groups of few documents share one estimate per language; repeated rows count.
+estimates; groups of few documents take the estimate of all their language's documents, those
+of its large groups too; repeated rows count.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialize, read_table
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Rows below which a group uses its language's shared estimate.
+#: Rows below which a group takes the estimate of its whole language.
 LEAST_ROWS = 200
-#: Statistics are rounded to this part of one; floors of their standard deviations.
+#: Statistics are rounded to this part of one.
 SCALE = 1000
 STATS = ("word_length", "symbols", "dup_lines", "repeats")
-FLOORS = (0.08, 0.45, 0.45, 0.35)
+#: Part of a floor's square that every variance gets on top: covariances stay invertible.
+RIDGE = 0.001
 #: Share of rows that a step keeps, and steps.
 KEEP, STEPS = 0.75, 4
 # For 4 variables, chi-square quantiles at 0.975 (reweighting) and at
 # 1 - 1e-8 (rejection), and what makes the kept rows' covariance consistent at KEEP.
 USUAL, CUTOFF, CONSISTENT = 11.14, 43.0, 1.48
+#: What rejects a document alone, in a group that has no spread of its own: words so many times
+#: as long as usual, symbols a word, the share of repeated lines, the share of repeated words.
+#: They set the floors of the standard deviations.
+ALONE = (1.7, 0.2, 0.8, 0.47)
+FLOORS = tuple(x / math.sqrt(CUTOFF) for x in (math.log(ALONE[0]), math.asinh(50 * ALONE[1]), math.asinh(10 * ALONE[2]), math.asinh(10 * ALONE[3])))
 BINS = 16
 
 BLANKS = " \t\n\x0b\f\r"
@@ -119,11 +128,14 @@ def _start(rows: DataFrame) -> DataFrame:
 
 
 def _factored(estimate: DataFrame, scale: float) -> DataFrame:
-    """(key, m0..m3, l00..l33): the Cholesky factor of the scaled covariance with the floors added."""
+    """(key, m0..m3, l00..l33): the Cholesky factor of the scaled covariance, small variances raised to their floors."""
     out = estimate
     for i in range(4):
         for j in range(i + 1):
-            a = F.col(f"s{i}{j}") * scale + (F.lit((FLOORS[i] * SCALE) ** 2) if i == j else F.lit(0.0))
+            a = F.col(f"s{i}{j}") * scale
+            if i == j:
+                floor = (FLOORS[i] * SCALE) ** 2
+                a = F.greatest(a, F.lit(floor)) + RIDGE * floor
             for k in range(j):
                 a = a - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             out = out.withColumn(f"l{i}{j}", F.sqrt(a) if i == j else a / F.col(f"l{j}{j}"))
@@ -182,8 +194,11 @@ def judge(docs: DataFrame) -> DataFrame:
     sizes = rows.where(~F.col("base_failed")).groupBy("own").agg(F.count(F.lit(1)).alias("n"))
     large = materialize(sizes.where(F.col("n") >= LEAST_ROWS).select("own", F.lit(True).alias("large")).coalesce(4), "mcd-groups")
     keyed = rows.join(large, "own", "left").withColumn("key", F.when(F.col("large"), F.col("own")).otherwise(F.col("shared")))
-    fit = keyed.where(~F.col("base_failed")).select("key", "x0", "x1", "x2", "x3")
-    found = estimates(fit)
+    shaping = keyed.where(~F.col("base_failed"))
+    # A language's estimate is made of all its rows, where any group of it needs one.
+    needed = shaping.where(F.col("large").isNull()).select("shared").distinct()
+    every = shaping.join(needed, "shared", "left_semi").select(F.col("shared").alias("key"), "x0", "x1", "x2", "x3")
+    found = estimates(shaping.where("large").select("key", "x0", "x1", "x2", "x3").unionAll(every))
     tested = _distance(keyed.where(~F.col("base_failed")), found).withColumn("kept", F.col("d2") <= CUTOFF)
     failed = keyed.where("base_failed").withColumn("d2", F.lit(None).cast("double")).withColumn("kept", F.lit(False))
     return tested.select(*failed.columns).unionByName(failed)
