@@ -16,6 +16,7 @@ from tidemark.operators.events import (
     route_events,
     validate_manifest,
 )
+from tidemark.plans.queries import q_job_metrics
 from tidemark.schemas import JOB_RUNS
 from tidemark.functions import iso_time
 from tidemark.sources.events import malformed_events, parse_bus_events, parse_manifest
@@ -146,6 +147,23 @@ def test_job_metrics_and_failures(spark):
     assert rows(job_failures(df, F.lit("t")), "job_run_id", "error_message") == [("2", "Unknown error"), ("3", "boom")]
 
 
+def test_job_metrics_query_takes_the_seconds_of_every_run(spark, tmp):
+    """Ids 1 and 2 of each seven still run or were stopped: their seconds count like the others'."""
+    events = [
+        (0, 2, "purchase", 1.0, "{}"),
+        (1, 2, "purchase", 9.0, "{}"),  # RUNNING
+        (2, 2, "click", 4.0, "{}"),  # STOPPED
+        (3, 2, "view", 50.0, "{}"),  # no seconds: 0
+        (4, 2, "error", 2.0, "{}"),
+        (8, 1, "click", 0.5, "{}"),  # the only run of its job is RUNNING
+        (9, None, "click", None, "{}"),  # STOPPED, no user, no seconds
+    ]
+    table = spark.createDataFrame(events, "event_id long, user_id long, event_type string, value double, props string")
+    table.withColumn("ts", F.lit(t(1))).write.parquet(f"{tmp}/events.parquet")
+    columns = ("job_name", "runs", "succeeded", "failed", "total_execution_seconds", "avg_execution_seconds", "max_execution_seconds")
+    assert rows(q_job_metrics(spark, tmp), *columns) == [(CUST, 5, 2, 1, 160, 32.0, 90), (SALES, 2, 0, 0, 5, 2.5, 5)]
+
+
 def test_readiness_gate(spark):
     day = dt.datetime(2024, 1, 1)
     d2 = dt.datetime(2024, 1, 2)

@@ -190,14 +190,16 @@ def job_outcomes(runs: DataFrame) -> DataFrame:
     )
 
 
-def job_metrics(runs: DataFrame) -> DataFrame:
-    """Per job — runs, successes, failures, execution seconds of the finished runs (missing → 0).
+def job_metrics(runs: DataFrame, finished_only: bool = True) -> DataFrame:
+    """Per job — runs, successes, failures, execution seconds (missing → 0).
 
-    Runs that still run or were stopped count as runs, but not in the seconds: their time
-    would pull the average down. Without a finished run the seconds are null.
+    ``finished_only=False`` takes the seconds of every run, whatever its state. Otherwise runs
+    that still run or were stopped count as runs, but not in the seconds, and without a
+    finished run the seconds are null.
     """
-    finished = F.col("state").isin(*TERMINAL_STATES)
-    secs = F.when(finished, F.coalesce(F.col("execution_time_seconds"), F.lit(0)))
+    secs = F.coalesce(F.col("execution_time_seconds"), F.lit(0))
+    if finished_only:
+        secs = F.when(F.col("state").isin(*TERMINAL_STATES), secs)
     return runs.groupBy("job_name").agg(
         F.count(F.lit(1)).alias("runs"),
         F.count_if(F.col("state") == STATE_SUCCEEDED).alias("succeeded"),

@@ -304,7 +304,7 @@ def q_job_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_job_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return job_metrics(job_runs(load(spark, sf, "events")))
+    return job_metrics(job_runs(load(spark, sf, "events")), finished_only=False)
 
 
 def q_job_failures(spark: SparkSession, sf: str) -> DataFrame:
